@@ -1,6 +1,12 @@
 from feedloom.functions.age import age_label, age_minutes
 from feedloom.functions.links import absolute_url, first_href, site_root
-from feedloom.functions.markup import clean_html, clean_html_compact, list_item_links, title_text
+from feedloom.functions.markup import (
+    clean_html,
+    clean_html_compact,
+    list_item_links,
+    title_text,
+    with_clean_text,
+)
 from feedloom.functions.tags import contains_all_terms, format_description, hashtags
 from feedloom.functions.text import squeeze, strip
 
@@ -19,4 +25,5 @@ __all__ = [
     "squeeze",
     "strip",
     "title_text",
+    "with_clean_text",
 ]

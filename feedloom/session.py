@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", checkpoint_dir: str | None = None) -> SparkSession:
@@ -25,8 +26,26 @@ def local_session(cores: str = "*", checkpoint_dir: str | None = None) -> SparkS
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder name under ``spark.checkpoint.dir``, which every executor can reach."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder name in the folder that all executors share.
+
+    That is the one named in ``spark.checkpoint.dir``. Where none is named, a session on one
+    machine gets a temporary one; a cluster has to name it.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = tempfile.mkdtemp(prefix="feedloom-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/feedloom/{purpose}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a table to the shared folder and go on from there.
+
+    For results that are costly and used more than once, as an extraction before a sort, whose
+    sampling would run it again. The table also outlives the executors that made it.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

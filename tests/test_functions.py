@@ -151,6 +151,24 @@ def test_clean_html_compact(spark, path):
     assert dict(zip(cases, got)) == cases
 
 
+@pytest.mark.parametrize("compact", [False, True])
+def test_with_clean_text(spark, compact):
+    cases = COMPACT if compact else SPACED
+    df = spark.createDataFrame([(k,) for k in cases], "html string")
+    cleaned = fn.with_clean_text(df, "html", "text", compact)
+    assert cleaned.columns == ["html", "text"]
+    assert {r.html: r.text for r in cleaned.collect()} == cases
+
+
+def test_text_is_cleaned_once(spark, capsys):
+    df = spark.createDataFrame([("a",)], "html string")
+    text = fn.with_clean_text(df, "html", "text").where("text like '%a%' and text <> 'b'")
+    text.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("ArrowEvalPython") == 1
+    assert plan.count("regexp_replace(") == 2
+
+
 def test_cleaners_agree_on_whole_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     for cleaner in (fn.clean_html, fn.clean_html_compact):
