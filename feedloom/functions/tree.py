@@ -36,18 +36,17 @@ class Element:
                 yield child
                 pending.append(iter(child.children))
 
-    def strings(self):
+    def strings(self, skip=None):
         """The shown text nodes below this element, in document order."""
         pending = [iter(self.children)]
         while pending:
             child = next(pending[-1], None)
             if child is None:
                 pending.pop()
-            elif isinstance(child, Element):
-                if child.tag not in UNSHOWN_TAGS:
-                    pending.append(iter(child.children))
-            else:
+            elif not isinstance(child, Element):
                 yield child
+            elif child.tag not in UNSHOWN_TAGS and not (skip and skip(child)):
+                pending.append(iter(child.children))
 
     def sole_string(self):
         """The text, if one text node is all there is, looking through single elements."""
@@ -58,8 +57,8 @@ class Element:
             node = node.children[0]
         return node
 
-    def joined_text(self, separator):
-        return separator.join(s for s in (t.strip() for t in self.strings()) if s)
+    def joined_text(self, separator, skip=None):
+        return separator.join(s for s in (t.strip() for t in self.strings(skip)) if s)
 
     def inner_html(self):
         out = []
@@ -139,16 +138,17 @@ def has_class(element, token):
     return token in (element.attrs.get("class") or "").split()
 
 
-def spaced_text(root, hidden_class, hidden_label):
+def spaced_text(root, hidden_class=None, hidden_label=None):
     """Text on single spaces, without the elements that only hold the hidden label."""
-    for element in list(root.walk()):
-        if (
+
+    def hidden(element):
+        return (
             element.tag == "span"
             and has_class(element, hidden_class)
             and element.sole_string() == hidden_label
-        ):
-            element.children = []
-    return " ".join(root.joined_text(" ").split())
+        )
+
+    return " ".join(root.joined_text(" ", hidden if hidden_class else None).split())
 
 
 def compact_text(root):

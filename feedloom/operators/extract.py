@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions import tree
+from feedloom.vocabulary import HIDDEN_CLASS, HIDDEN_LABEL
 
 #: Records gathered before a batch is handed back; one batch also ends after this much text.
 BATCH_ROWS = 4096
@@ -36,17 +37,24 @@ class Match:
     text_contains: str | None = None
 
     def holds(self, element) -> bool:
+        if self.tag is not None and element.tag != self.tag:
+            return False
         attrs = element.attrs
-        own_text = [c for c in element.children if isinstance(c, str)]
-        return (
-            (self.tag is None or element.tag == self.tag)
-            and (self.css_class is None or tree.has_class(element, self.css_class))
-            and (self.element_id is None or attrs.get("id") == self.element_id)
-            and all(attrs.get(k) == v for k, v in self.attr_equals)
-            and all(v in attrs.get(k, "") for k, v in self.attr_contains)
-            and all(k in attrs for k in self.has_attr)
-            and (self.text_equals is None or self.text_equals in own_text)
-            and (self.text_contains is None or any(self.text_contains in t for t in own_text))
+        if self.css_class is not None and not tree.has_class(element, self.css_class):
+            return False
+        if self.element_id is not None and attrs.get("id") != self.element_id:
+            return False
+        if self.attr_equals and not all(attrs.get(k) == v for k, v in self.attr_equals):
+            return False
+        if self.attr_contains and not all(v in attrs.get(k, "") for k, v in self.attr_contains):
+            return False
+        if self.has_attr and not all(k in attrs for k in self.has_attr):
+            return False
+        if self.text_equals is None and self.text_contains is None:
+            return True
+        own = [c for c in element.children if isinstance(c, str)]
+        return (self.text_equals is None or self.text_equals in own) and (
+            self.text_contains is None or any(self.text_contains in t for t in own)
         )
 
 
@@ -59,9 +67,10 @@ class Field:
     """One column of the record.
 
     ``steps`` are followed one after the other, each looking below the element found before and
-    taking match number ``nth`` (of the last step). ``take`` is ``text`` (readable text, single
-    spaces), ``inner_html``, ``exists``, or ``@name`` for an attribute. With ``scope='page'`` the
-    way starts at the page instead of the container.
+    taking match number ``nth`` (of the last step). ``take`` is ``text`` (readable text on single
+    spaces), ``clean_text`` (the same without hidden labels), ``compact_text`` (text nodes put
+    together as they are), ``inner_html``, ``exists``, or ``@name`` for an attribute. With
+    ``scope='page'`` the way starts at the page instead of the container.
     """
 
     steps: tuple[Selector, ...]
@@ -84,9 +93,9 @@ class CardRule:
 
 
 def _find_all(scope, selector: Selector) -> Iterator:
-    *outer, last = selector
+    outer, holds = selector[:-1], selector[-1].holds
     for element in scope.walk():
-        if last.holds(element) and _inside(element, outer):
+        if holds(element) and (not outer or _inside(element, outer)):
             yield element
 
 
@@ -116,7 +125,11 @@ def _take(fld: Field, container, page):
     if fld.take == "inner_html":
         return element.inner_html()
     if fld.take == "text":
-        return " ".join(element.joined_text(" ").split())
+        return tree.spaced_text(element)
+    if fld.take == "clean_text":
+        return tree.spaced_text(element, HIDDEN_CLASS, HIDDEN_LABEL)
+    if fld.take == "compact_text":
+        return tree.compact_text(element)
     return element.attrs.get(fld.take[1:])
 
 

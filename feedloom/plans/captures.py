@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom import vocabulary as v
 from feedloom.functions.age import age_label
-from feedloom.sources.pages import read_table
+from feedloom.sources.pages import spread
 
 CARDS_PER_PAGE = 25
 CARDS_PER_ROUND = 100
@@ -19,14 +19,30 @@ PARTS_PER_PAGE = 50
 SITE = "https://feed.example"
 
 
+# The given tables used here.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "documents": "doc_id bigint, text string, lang string, source string",
+    "pages": "page_id bigint, url string, html string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+}
+TEXT_TABLES = ("documents", "pages")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet", *columns)
+    """Scan some columns of a given table."""
+    scan = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    wide = name in TEXT_TABLES and not {"text", "html"}.isdisjoint(columns)
+    return spread(scan, columns[0]) if wide else scan
+
+
+def rows_in(spark: SparkSession, sf_dir: str, name: str) -> int:
+    return table(spark, sf_dir, name).count()
 
 
 def latest(spark: SparkSession, sf_dir: str) -> Column:
     """The time the feed was read, as a literal that can be pushed to the scan."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    newest = events.agg(F.max("ts").cast("string")).first()[0]
+    newest = table(spark, sf_dir, "events", "ts").agg(F.max("ts").cast("string")).first()[0]
     return F.lit(newest).cast("timestamp_ntz")
 
 
@@ -55,12 +71,12 @@ def posts(
         documents = table(spark, sf_dir, "documents", "doc_id", "text", "lang", "source")
         tagged = F.concat("text", F.lit(" #"), "lang", F.lit(" #"), "source")
         described = documents.select("doc_id", tagged.alias("description"))
-        doc = F.col("seq") % documents.count()
+        doc = F.col("seq") % rows_in(spark, sf_dir, "documents")
         out = out.withColumn("doc_id", doc).join(described, "doc_id").drop("doc_id")
     if link:
-        pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+        pages = table(spark, sf_dir, "pages", "page_id", "url")
         links = pages.select(F.col("page_id").alias("link_id"), F.col("url").alias("post_link"))
-        at = F.col("seq") % pages.count()
+        at = F.col("seq") % rows_in(spark, sf_dir, "pages")
         out = out.withColumn("link_id", at).join(links, "link_id").drop("link_id")
     return out
 

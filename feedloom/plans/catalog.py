@@ -53,7 +53,7 @@ def _read(spark, sf_dir, name, *columns):
 
 
 def _pages(spark, sf_dir, *columns):
-    return src.read_pages(spark, f"{sf_dir}/pages.parquet", *columns)
+    return captures.table(spark, sf_dir, "pages", *columns)
 
 
 # ---- ages and order ---------------------------------------------------------------------------
@@ -506,8 +506,7 @@ def _card_table(spark, sf_dir, rule, mark="class"):
     "from posts"
 )
 def extract_posts(spark, sf_dir):
-    cards = _feed_cards(spark, sf_dir, src.POST_CARD)
-    return fn.with_clean_text(cards, "description_html", "description").select(
+    return _feed_cards(spark, sf_dir, src.POST_CARD).select(
         "page_id",
         F.col("container_idx").cast("bigint").alias("container_idx"),
         "author",
@@ -518,6 +517,13 @@ def extract_posts(spark, sf_dir):
     )
 
 
+@query(f"with {sql.POSTS} select page_id, seq, {DESCRIPTION_SQL} as description from posts")
+def extract_then_clean(spark, sf_dir):
+    cards = _feed_cards(spark, sf_dir, src.POST_HTML_CARD)
+    cleaned = fn.with_clean_text(cards, "description_html", "description")
+    return cleaned.select("page_id", "seq", "description")
+
+
 @query(
     f"with {sql.POSTS} select page_id, seq, author, {DESCRIPTION_SQL} as description, "
     "rtrim(time_posted) as time_line, post_link, has_view_job, "
@@ -758,7 +764,8 @@ def all_posts_sorted(spark, sf_dir):
     f"qualify {FIRST_SQL} = 1) select *, {BY_SEQ} from d"
 )
 def all_posts_compact(spark, sf_dir):
-    return jobs.all_posts_compact(_card_table(spark, sf_dir, src.POST_CARD), numbered=True)
+    cards = _card_table(spark, sf_dir, src.COMPACT_POST_CARD)
+    return jobs.all_posts_compact(cards, numbered=True)
 
 
 @query(

@@ -68,6 +68,13 @@ def _complete(cards: DataFrame, columns) -> DataFrame:
     return accepted(check_required(cards, _names(columns)))
 
 
+def _described(cards: DataFrame, compact: bool = False) -> DataFrame:
+    """Cards with a description: as extracted, or cleaned here from ``description_html``."""
+    if "description" in cards.columns:
+        return cards
+    return with_clean_text(cards, "description_html", "description", compact)
+
+
 def _sorted_by_age(posts: DataFrame, columns, numbered: bool) -> DataFrame:
     aged = with_age(posts).select(*_names(columns), "seq", "age_minutes")
     if numbered:
@@ -83,9 +90,8 @@ def _feed_order(posts: DataFrame, columns, numbered: bool) -> DataFrame:
 def recent_posts_sorted(
     cards: DataFrame, search: Search = Search(), numbered: bool = False
 ) -> DataFrame:
-    """All posts with cleaned descriptions, youngest first (``description_html`` needed)."""
-    text = with_clean_text(search.before_text(cards), "description_html", "description")
-    posts = _complete(search.on_text(text), v.POST)
+    """All posts with cleaned descriptions, youngest first."""
+    posts = _complete(search.on_text(_described(search.before_text(cards))), v.POST)
     return _sorted_by_age(posts, v.POST, numbered)
 
 
@@ -122,12 +128,11 @@ def all_posts_compact(
 
     ``dedup`` keeps the first showing of each link; without it every showing is kept.
     """
-    found = search.before_text(cards)
+    found = _described(search.before_text(cards), compact=True)
+    complete = _complete(search.on_text(found), v.POST)
     if dedup:
-        complete = _complete(found, [("author", ""), ("time_posted", ""), ("post_link", "")])
-        found = first_per_key(complete.where("description_html is not null"), "post_link")
-    text = with_clean_text(found, "description_html", "description", compact=True)
-    return _feed_order(_complete(search.on_text(text), v.POST), v.POST, numbered)
+        complete = first_per_key(complete.select(*_names(v.POST), "seq"), "post_link")
+    return _feed_order(complete, v.POST, numbered)
 
 
 def capped_posts(

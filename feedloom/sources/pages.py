@@ -28,7 +28,10 @@ HAS_JOB_BUTTON = Field(
 AUTHOR_TEXT = Field(((_AUTHOR,),))
 AUTHOR_VISIBLE = Field(((_AUTHOR,), (_LEFT_TO_RIGHT, _VISIBLE)))
 BODY_TEXT = Field(((_BODY,),))
-DESCRIPTION_HTML = Field(((Match(css_class=v.DESCRIPTION_CLASS),),), take="inner_html")
+_DESCRIPTION = ((Match(css_class=v.DESCRIPTION_CLASS),),)
+DESCRIPTION_HTML = Field(_DESCRIPTION, take="inner_html")
+DESCRIPTION_TEXT = Field(_DESCRIPTION, take="clean_text")
+DESCRIPTION_COMPACT = Field(_DESCRIPTION, take="compact_text")
 TIME_VISIBLE = Field(((_TIME_LINE,), (_VISIBLE,)))
 TIME_LINE = Field(((_TIME_LINE,),))
 FIRST_LINK = Field(((Match(tag="a", has_attr=("href",)),),), take="@href")
@@ -38,16 +41,20 @@ JOB_LINK = Field(((Match(has_attr=("data-job-link",)),),), take="@data-job-link"
 
 _POST_CONTAINER = Match(css_class=v.POST_CONTAINER)
 
-#: Posts with the description as markup, for the text cleaners.
-POST_CARD = CardRule(
-    _POST_CONTAINER,
-    {
-        "author": AUTHOR_VISIBLE,
-        "description_html": DESCRIPTION_HTML,
-        "time_posted": TIME_VISIBLE,
-        "post_link": PERMALINK,
-    },
-)
+_POST_FIELDS = {
+    "author": AUTHOR_VISIBLE,
+    "time_posted": TIME_VISIBLE,
+    "post_link": PERMALINK,
+}
+
+#: Posts with the description cleaned.
+POST_CARD = CardRule(_POST_CONTAINER, {**_POST_FIELDS, "description": DESCRIPTION_TEXT})
+
+#: Posts with the description as compact text.
+COMPACT_POST_CARD = CardRule(_POST_CONTAINER, {**_POST_FIELDS, "description": DESCRIPTION_COMPACT})
+
+#: Posts with the description as markup, to be cleaned later.
+POST_HTML_CARD = CardRule(_POST_CONTAINER, {**_POST_FIELDS, "description_html": DESCRIPTION_HTML})
 
 #: Posts with the description as shown.
 PLAIN_POST_CARD = CardRule(
@@ -97,19 +104,17 @@ JOB_CARD = CardRule(
 )
 
 
-def read_table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Scan the given columns of a parquet table.
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that makes fewer tasks than the session has cores over all of them.
 
-    A table that makes fewer tasks than the session has cores is spread over them, since text
-    work on it would otherwise run in one task. Larger tables are left as they are split.
+    For work on long texts, which would otherwise run in one task. Larger tables are left as
+    they are split. Give the plain scan only: its number of tasks is known without running it.
     """
-    table = spark.read.parquet(path).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < cores:
-        return table.repartition(cores, columns[0])
-    return table
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
 
 
 def read_pages(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Captured pages ready for extraction; the first column names the page."""
-    return read_table(spark, path, *(columns or ("page_id", "url", "html")))
+    columns = columns or ("page_id", "url", "html")
+    return spread(spark.read.parquet(path).select(*columns), columns[0])

@@ -31,12 +31,22 @@ def rows_of(spark, html, rule, **kw):
 
 def test_post_cards_in_document_order(spark):
     html = "<main>" + card("Ann", "a <b>b</b>", "5m •", "l1") + card("Bob", "c", "3h", "l2")
-    first, second = rows_of(spark, html, src.POST_CARD)
+    first, second = rows_of(spark, html, src.POST_HTML_CARD)
     assert (first.container_idx, first.author, first.time_posted) == (0, "Ann", "5m •")
     assert (first.description_html, first.post_link, first.error) == ("a <b>b</b>", "l1", None)
     assert (second.container_idx, second.author, second.post_link) == (1, "Bob", "l2")
 
 
+def test_description_forms(spark):
+    label = '<span class="visually-hidden">hashtag</span>'
+    html = card("Ann", f"a <b>b</b> {label}#c", "5m", "l1")
+    spaced, compact, plain = (
+        rows_of(spark, html, rule)[0].description
+        for rule in (src.POST_CARD, src.COMPACT_POST_CARD, src.PLAIN_POST_CARD)
+    )
+    assert (spaced, compact, plain) == ("a b #c", "abhashtag#c", "a b hashtag #c")
+
+
 def test_missing_fields_are_null(spark):
     (row,) = rows_of(spark, '<div class="fie-impression-container">x</div>', src.JOB_BRANCH_CARD)
     assert (row.author, row.description, row.post_link, row.has_view_job) == (None, None, None, False)
