@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import strip
-from feedloom.operators.dedup import first_per_key
+from feedloom.operators.numbering import CHUNK_WIDTH
 from feedloom.vocabulary import NOT_AVAILABLE
 
 
@@ -35,13 +35,29 @@ def union_branches(jobs: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def first_on_page(
-    df: DataFrame, columns: Sequence[str], page: str = "page_id", index: str = "container_idx"
+    df: DataFrame,
+    columns: Sequence[str],
+    page: str = "page_id",
+    index: str = "container_idx",
+    width: int = CHUNK_WIDTH,
 ) -> DataFrame:
     """Replace columns by the value of the first container of the same page.
 
-    The first containers are found with one row per page and task, then joined back; a page
-    with very many containers is never gathered in a window.
+    The first containers are found by an aggregate, so no page is gathered. The join back meets
+    a page in pieces of ``width`` index values, so that a page with very many containers spreads.
     """
-    first = first_per_key(df.select(page, index, *columns), page, index).drop(index)
-    rest = df.drop(*columns)
-    return rest.join(first, page).select(*df.columns)
+    first, piece = "_first", "_piece"
+    pieces = F.sequence(F.expr(f"_low div {width}"), F.expr(f"_high div {width}"))
+    firsts = (
+        df.groupBy(page)
+        .agg(
+            F.min_by(F.struct(*columns), index).alias(first),
+            F.min(index).alias("_low"),
+            F.max(index).alias("_high"),
+        )
+        .select(page, first, F.explode(pieces).alias(piece))
+    )
+    rest = df.drop(*columns).withColumn(piece, F.expr(f"{index} div {width}"))
+    return rest.join(firsts, [page, piece]).select(
+        *[F.col(first)[c].alias(c) if c in columns else F.col(c) for c in df.columns]
+    )

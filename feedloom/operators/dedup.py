@@ -24,6 +24,6 @@ def distinct_keys(df: DataFrame, key: str) -> DataFrame:
 def first_unseen(df: DataFrame, history: DataFrame, key: str, seq: str = "seq") -> DataFrame:
     """First record per key among the keys that ``history`` does not have.
 
-    The duplicates go first, so the join against the history meets every key once.
+    Duplicates go first on both sides, so the join meets every key once.
     """
-    return first_per_key(df, key, seq).join(history.select(key), key, "left_anti")
+    return first_per_key(df, key, seq).join(distinct_keys(history, key), key, "left_anti")

@@ -5,18 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.numbering import number_rows
+from feedloom.operators.numbering import CHUNK_WIDTH, number_rows
 from feedloom.operators.ordering import by_age
 
-#: Up to here a cap is a top-k (every task keeps n rows); beyond, rows are numbered instead.
-TOP_K_ROWS = 100_000
+#: Up to here the last ``seq`` taken is found by a top-k, beyond by counts per chunk.
+TOP_K_ROWS = 1_000
 
 
-def cap(df: DataFrame, n: int, seq: str = "seq") -> DataFrame:
-    """The first ``n`` records in feed order."""
+def cap(df: DataFrame, n: int, seq: str = "seq", width: int = CHUNK_WIDTH) -> DataFrame:
+    """The first ``n`` records in feed order.
+
+    First the ``seq`` at which to stop is found, from that column alone; then the records up to
+    it are read. The condition reaches the scan, so files that start later are skipped, and
+    whatever else belongs to a record is only read for those taken.
+    """
     if n <= TOP_K_ROWS:
-        return df.orderBy(seq).limit(n)
-    return number_rows(df, [seq], name="_position").where(F.col("_position") < n).drop("_position")
+        last = df.select(seq).orderBy(seq).limit(n).agg(F.max(seq)).scalar()
+        return df.where(F.col(seq) <= last)
+    chunk = F.expr(f"`{seq}` div {width}")
+    sizes = df.groupBy(chunk.alias("_chunk")).agg(F.count("*").alias("_count"))
+    so_far = F.sum("_count").over(Window.orderBy("_chunk"))
+    before = sizes.withColumn("_so_far", so_far).where(F.col("_so_far") - F.col("_count") < n)
+    near = df.where(chunk <= before.agg(F.max("_chunk")).scalar())
+    numbered = number_rows(near, [seq], name="_position", width=width)
+    return numbered.where(F.col("_position") < n).drop("_position")
 
 
 def cap_then_sort(df: DataFrame, n: int, seq: str = "seq") -> DataFrame:

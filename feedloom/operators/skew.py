@@ -1,0 +1,26 @@
+"""Joins in which one group may hold a large share of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+
+
+def join_groups(
+    rows: DataFrame, groups: DataFrame, by: str, salt: Column, how: str = "inner"
+) -> DataFrame:
+    """Join rows with a table that has one row per group.
+
+    ``salt`` is a small integer computed from the row and tells which copy of the group to
+    meet, so the rows of a large group are spread over ``SALTS`` tasks. The side with the
+    groups is narrow; where it is small, Spark broadcasts it after seeing its size.
+    """
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", salt).join(copies, [by, "_salt"], how).drop("_salt")
+
+
+def salt_of(column: str) -> Column:
+    """A salt from the values of a column."""
+    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")

@@ -1,0 +1,275 @@
+"""Relational operators on small fixtures, with hot keys, and under any split of the input."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from feedloom.operators import branches, counts, dedup, filters, limits, ordering, paging
+from feedloom.operators.numbering import number_rows
+
+SPLITS = [1, 4, 32]
+
+
+def frame(spark, rows, schema, parts=4):
+    rows = list(rows)
+    random.Random(parts).shuffle(rows)
+    return spark.createDataFrame(rows, schema).repartition(parts)
+
+
+def plan_of(df, capsys):
+    capsys.readouterr()
+    df.explain()
+    return capsys.readouterr().out
+
+
+def hot_rows(n=900, keys=40, seed=1):
+    """(seq, key): a third of the rows has one key."""
+    rnd = random.Random(seed)
+    return [(i, "hot" if rnd.random() < 0.34 else f"k{rnd.randrange(keys)}") for i in range(n)]
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+def test_first_per_key(spark, parts):
+    rows = hot_rows()
+    first = {}
+    for seq, key in rows:
+        first.setdefault(key, seq)
+    got = dedup.first_per_key(frame(spark, rows, "seq bigint, key string", parts), "key")
+    assert {r.key: r.seq for r in got.collect()} == first
+    assert got.count() == len(first)
+
+
+def test_first_per_key_reduces_before_the_shuffle(spark, capsys):
+    plan = plan_of(dedup.first_per_key(frame(spark, hot_rows(), "seq bigint, key string"), "key"), capsys)
+    assert plan.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+def test_first_unseen(spark, parts):
+    rows = hot_rows()
+    history = [("hot",), ("hot",), ("k1",), ("other",)]
+    want = {}
+    for seq, key in rows:
+        if key not in ("hot", "k1"):
+            want.setdefault(key, seq)
+    got = dedup.first_unseen(
+        frame(spark, rows, "seq bigint, key string", parts), frame(spark, history, "key string"), "key"
+    )
+    assert {r.key: r.seq for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+@pytest.mark.parametrize("width", [1, 7, 100, 65_536])
+def test_number_rows(spark, parts, width):
+    rnd = random.Random(width)
+    rows = [
+        (rnd.choice([None, "a", "b"]), rnd.choice([5.0, 60.0, float("inf"), float("inf")]), i * 3)
+        for i in range(300)
+    ]
+    df = frame(spark, rows, "g string, age double, seq bigint", parts)
+    whole = number_rows(df, ["age", "seq"], width=width)
+    ordered = sorted(rows, key=lambda r: r[1:])
+    assert [(r.g, r.age, r.seq) for r in whole.orderBy("position").collect()] == ordered
+    assert sorted(r.position for r in whole.collect()) == list(range(300))
+    for r in number_rows(df, ["seq"], by=["g"], width=width).collect():
+        assert r.position == sum(1 for g, _, s in rows if g == r.g and s < r.seq)
+
+
+def test_number_rows_has_no_window_over_all_rows(spark, capsys):
+    df = frame(spark, [(i, "x" * 10) for i in range(100)], "seq bigint, text string")
+    plan = plan_of(number_rows(df, ["seq"]), capsys)
+    single = plan[plan.index("SinglePartition"):]
+    assert single.index("HashAggregate") < single.index("Scan")
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+@pytest.mark.parametrize("n", [0, 1, 60, 299, 1000])
+def test_cap(spark, parts, n):
+    df = frame(spark, [(i * 5, f"t{i}") for i in range(300)], "seq bigint, text string", parts)
+    assert sorted(r.seq for r in limits.cap(df, n).collect()) == [i * 5 for i in range(min(n, 300))]
+
+
+@pytest.mark.parametrize("n", [1, 59, 60, 61, 299, 300, 1000])
+@pytest.mark.parametrize("width", [1, 50, 65_536])
+def test_large_cap(spark, n, width, monkeypatch):
+    monkeypatch.setattr(limits, "TOP_K_ROWS", 0)
+    df = frame(spark, [(i * 5, f"t{i}") for i in range(300)], "seq bigint, text string")
+    got = sorted(r.seq for r in limits.cap(df, n, width=width).collect())
+    assert got == [i * 5 for i in range(min(n, 300))]
+
+
+def test_cap_reaches_the_scan(spark, capsys):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = plan_of(limits.cap(events.select("event_id", "props"), 10, "event_id"), capsys)
+    assert "LessThanOrEqual(event_id,ScalarSubquery" in plan
+
+
+def test_cap_then_sort_is_not_top_k(spark):
+    rows = [(0, "3h"), (1, "5m"), (2, "1m")]
+    df = ordering.with_age(frame(spark, rows, "seq bigint, time_posted string"))
+    assert [r.time_posted for r in limits.cap_then_sort(df, 2).collect()] == ["5m", "3h"]
+
+
+def test_by_age_puts_unknown_last(spark):
+    rows = [(0, "N/A"), (1, "3h • Edited • "), (2, None), (3, "59m"), (4, "3h •"), (5, "2d")]
+    df = ordering.with_age(frame(spark, rows, "seq bigint, time_posted string"))
+    assert [r.seq for r in ordering.by_age(df).collect()] == [3, 1, 4, 0, 2, 5]
+
+
+def soft_cap_rule(rows, soft, hard):
+    taken, batches = [], sorted({b for _, b in rows})
+    for batch in batches:
+        if len(taken) >= soft:
+            break
+        for seq in sorted(s for s, b in rows if b == batch):
+            taken.append(seq)
+            if len(taken) >= hard:
+                return taken
+    return taken
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+@pytest.mark.parametrize("size", [1, 3, 4, 80])
+def test_soft_cap(spark, parts, size):
+    rows = [(i, i // size) for i in range(200)]
+    df = frame(spark, rows, "seq bigint, batch bigint", parts)
+    got = [r.seq for r in limits.soft_cap(df, 5, 60).orderBy("seq").collect()]
+    assert got == soft_cap_rule(rows, 5, 60)
+
+
+def test_first_rounds(spark):
+    df = frame(spark, [(i, i // 10) for i in range(50)], "seq bigint, round bigint")
+    assert limits.first_rounds(df, 3).count() == 30
+
+
+PAGES = {
+    "a": [1, 2, 4, 5],
+    "b": [2, 3],
+    "c": list(range(1, 400)),
+    "d": [1],
+    "e": [0, 1, 2],
+}
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+def test_page_prefix(spark, parts):
+    rows = [(f, p, i) for f, ps in PAGES.items() for p in ps for i in range(3)]
+    df = frame(spark, rows, "feed string, page_no int, i int", parts)
+    got = sorted(tuple(r) for r in paging.page_prefix(df).collect())
+    last = {"a": 2, "b": 0, "c": 399, "d": 1, "e": 2}
+    assert got == sorted(r for r in rows if 1 <= r[1] <= last[r[0]])
+    assert paging.page_range(df, 2).count() == sum(3 for ps in PAGES.values() for p in ps if p in (1, 2))
+
+
+def stop_rule(heights, after):
+    still, previous = 0, None
+    for at, height in heights:
+        still = still + 1 if height == previous else 0
+        previous = height
+        if still >= after:
+            return at
+    return None
+
+
+@pytest.mark.parametrize("parts", SPLITS)
+@pytest.mark.parametrize("width", [3, 10, 65_536])
+@pytest.mark.parametrize("after", [1, 2])
+def test_stop_rounds(spark, parts, width, after):
+    rnd = random.Random(width * after)
+    feeds = {
+        "golden": [10, 20, 20, 30, 30, 30],
+        "never": list(range(40)),
+        "late": [*range(37), 36, 36],
+        "one": [5],
+        **{f"r{i}": [rnd.randrange(4) for _ in range(30)] for i in range(6)},
+    }
+    rows = [(f, 2 * i, h) for f, hs in feeds.items() for i, h in enumerate(hs)]
+    stops = paging.stop_rounds(
+        frame(spark, rows, "feed string, round bigint, height bigint", parts), after, width=width
+    )
+    want = {f: stop_rule([(2 * i, h) for i, h in enumerate(hs)], after) for f, hs in feeds.items()}
+    assert {r.feed: r.stop_round for r in stops.collect()} == {f: r for f, r in want.items() if r is not None}
+    assert want["golden"] == {1: 4, 2: 10}[after]
+    kept = paging.until_stopped(frame(spark, rows, "feed string, round bigint, height bigint"), stops)
+    in_time = [r for r in rows if want[r[0]] is None or r[1] <= want[r[0]]]
+    assert sorted(tuple(r) for r in kept.collect()) == sorted(in_time)
+
+
+def test_new_since(spark):
+    rows = [("a", i) for i in range(10)] + [("b", i) for i in range(5)]
+    progress = frame(spark, [("a", 7), ("z", 1)], "feed string, next_seq bigint")
+    got = paging.new_since(frame(spark, rows, "feed string, seq bigint"), progress)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(r for r in rows if r[0] == "b" or r[1] >= 7)
+
+
+def test_required_and_rejected(spark):
+    rows = [(1, "a", "x"), (2, None, "y"), (3, "c", None), (4, None, None), (5, "", "z")]
+    checked = filters.check_required(frame(spark, rows, "id int, a string, b string"), ["a", "b"])
+    assert sorted(r.id for r in filters.accepted(checked).collect()) == [1, 5]
+    got = {r.id: r.error for r in filters.rejected(checked, ["id"]).collect()}
+    assert got == {2: "missing: a", 3: "missing: b", 4: "missing: a, b"}
+
+
+def test_required_keeps_an_earlier_error(spark):
+    rows = [(1, None, "ValueError"), (2, "x", None)]
+    checked = filters.check_required(frame(spark, rows, "id int, a string, error string"), ["a"])
+    assert [r.error for r in filters.rejected(checked, ["id"]).collect()] == ["ValueError"]
+
+
+def test_recency_and_kind(spark):
+    rows = [(1, "5m", "post"), (2, "24h", "job"), (3, "25h", "post"), (4, "2mo", "post"), (5, None, "post")]
+    df = frame(spark, rows, "id int, time_posted string, kind string")
+    assert sorted(r.id for r in filters.labelled_within(df).collect()) == [1, 2]
+    assert sorted(r.id for r in filters.labelled_within(df, strict_units=False).collect()) == [1, 2, 4]
+    assert [r.id for r in filters.of_kind(df, "job").collect()] == [2]
+    at = df.withColumn(
+        "posted_at", F.timestamp_add("HOUR", F.lit(0) - F.col("id") * 10, F.lit("2024-01-05").cast("timestamp"))
+    )
+    recent = filters.posted_within(at, F.lit("2024-01-05").cast("timestamp"))
+    assert sorted(r.id for r in recent.collect()) == [1, 2]
+
+
+def test_recency_reaches_the_scan(spark, capsys):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts")
+    as_of = F.lit("2024-01-20").cast("timestamp_ntz")
+    assert "GreaterThanOrEqual(ts,2024-01-19" in plan_of(filters.posted_within(events, as_of, posted_at="ts"), capsys)
+
+
+def test_defaults_and_branches(spark):
+    rows = [(1, True, " l ", "d", None), (2, False, "l", "d2", "x"), (3, True, None, "d", "y"), (4, False, None, None, "")]
+    df = frame(spark, rows, "id int, has_view_job boolean, job_link string, description string, a string")
+    content = branches.with_content(df)
+    assert {r.id: r.content for r in content.collect()} == {1: "l", 2: "d2", 3: "N/A", 4: None}
+    assert sorted(r.id for r in filters.non_empty(content).collect()) == [1, 2, 3]
+    filled = branches.with_defaults(df, ["a"])
+    assert {r.id: r.a for r in filled.collect()} == {1: "N/A", 2: "x", 3: "y", 4: ""}
+    both = branches.union_branches(df.select("id", "a"), df.select("a", "id"))
+    assert both.count() == 8
+
+
+@pytest.mark.parametrize("width", [1, 4, 65_536])
+def test_first_on_page(spark, width):
+    rows = [(p, i, f"p{p}c{i}" if i else None, i) for p in (1, 2) for i in range(30 * p)] + [(3, 9, "x", 9)]
+    df = frame(spark, rows, "page_id bigint, container_idx int, a string, b int")
+    got = branches.first_on_page(df, ["a"], width=width)
+    assert got.columns == df.columns
+    want = sorted((p, i, "x" if p == 3 else None, b) for p, i, _, b in rows)
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_counts(spark):
+    df = frame(spark, [(i, f"k{i % 3}") for i in range(10)], "seq bigint, page_id string")
+    assert {r.page_id: r.containers for r in counts.containers_per_page(df).collect()} == {"k0": 4, "k1": 3, "k2": 3}
+    assert sorted((r.seq, r.accepted) for r in counts.running_count(df, width=4).collect()) == [(i, i + 1) for i in range(10)]
+    counted, observation = counts.with_row_count(df)
+    counted.collect()
+    assert observation.get["rows"] == 10
+
+
+def test_feed_position(spark):
+    df = frame(spark, [(2, 1), (1, 5), (1, 0)], "page_id bigint, container_idx int")
+    ordered = df.withColumn("seq", ordering.feed_position()).orderBy("seq")
+    assert [(r.page_id, r.container_idx) for r in ordered.collect()] == [(1, 0), (1, 5), (2, 1)]
+    with pytest.raises(Exception, match="too many containers"):
+        frame(spark, [(1, 1 << 26)], "page_id bigint, container_idx int").select(ordering.feed_position()).collect()
