@@ -16,14 +16,17 @@ SITE_ROOT = r"(?i)^([a-z][a-z0-9+.-]*://[^/?#]*)"
 HAS_SCHEME = r"(?i)^[a-z][a-z0-9+.-]*:"
 
 
-@F.pandas_udf(T.StringType())
-def _join_url(base: pd.Series, href: pd.Series) -> pd.Series:
+def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
     return pd.Series(
         [None if h is None or b is None else urljoin(b, h) for b, h in zip(base, href)],
         dtype=object,
     )
 
 
+# Declared nondeterministic so that conditions on a link do not make the optimizer resolve it again.
+_join_url = F.pandas_udf(_joined, T.StringType()).asNondeterministic()
+
+
 def first_href(fragment: Column | str) -> Column:
     """The ``href`` of the first link in a piece of HTML, NULL without one."""
     html = as_column(fragment)

@@ -821,5 +821,5 @@ def job_or_post_content(spark, sf_dir):
     f"from ({sql.prefix('jobs', 'feed', 'page_no')}) where company_name is not null and contains(job_title, 'red')"
 )
 def job_listings(spark, sf_dir):
-    cards = extract_cards(captures.job_pages(spark, sf_dir), src.JOB_CARD, keep=("feed", "page_no"))
-    return jobs.job_listings(cards, pages=None, query="red").drop("container_idx")
+    pages = captures.job_pages(spark, sf_dir)
+    return jobs.job_listings(pages, last=None, query="red").drop("container_idx")

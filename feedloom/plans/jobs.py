@@ -1,16 +1,19 @@
 """The whole jobs: from captured pages or card tables to an ordered table.
 
-Every job takes ``cards``, records of :func:`feedloom.operators.extract.extract_cards` or a table
-like it, with ``seq`` for the feed order. The columns of the result are internal names; write it
-with :func:`feedloom.sinks.export.shown` and the matching column list of the vocabulary.
-With ``numbered`` the result carries its ``position`` instead of being sorted.
+The post jobs take ``cards``, records of :func:`feedloom.operators.extract.extract_cards` or a
+table like it, with ``seq`` for the feed order. Sorting and numbering read their input twice, so
+write extracted cards to a table first (:func:`feedloom.session.staged`).
+
+The columns of a result are internal names; write it with :func:`feedloom.sinks.export.shown` and
+the matching column list of the vocabulary. With ``numbered`` a result carries its ``position``
+instead of being sorted.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom import vocabulary as v
@@ -19,6 +22,7 @@ from feedloom.functions.markup import with_clean_text
 from feedloom.operators.branches import job_or_post, with_content, with_defaults
 from feedloom.operators.counts import containers_per_page
 from feedloom.operators.dedup import first_per_key
+from feedloom.operators.extract import extract_cards
 from feedloom.operators.filters import (
     accepted,
     check_required,
@@ -28,10 +32,11 @@ from feedloom.operators.filters import (
     of_kind,
     posted_within,
 )
-from feedloom.operators.limits import cap, first_rounds, soft_cap
+from feedloom.operators.limits import TOP_K_ROWS, cap, first_rounds, soft_cap
 from feedloom.operators.numbering import number_rows
 from feedloom.operators.ordering import by_age, in_feed_order, with_age
 from feedloom.operators.paging import page_prefix, page_range
+from feedloom.sources.pages import JOB_CARD
 
 
 @dataclass(frozen=True)
@@ -75,11 +80,14 @@ def _described(cards: DataFrame, compact: bool = False) -> DataFrame:
     return with_clean_text(cards, "description_html", "description", compact)
 
 
-def _sorted_by_age(posts: DataFrame, columns, numbered: bool) -> DataFrame:
+def _sorted_by_age(posts: DataFrame, columns, numbered: bool, capped: bool = False) -> DataFrame:
     aged = with_age(posts).select(*_names(columns), "seq", "age_minutes")
-    if numbered:
-        return number_rows(aged, ["age_minutes", "seq"]).drop("age_minutes")
-    return by_age(aged).drop("age_minutes")
+    if not numbered:
+        return by_age(aged).drop("age_minutes")
+    if capped:  # no more rows than the cap, so one task can number them
+        place = F.row_number().over(Window.orderBy("age_minutes", "seq")).cast("bigint") - 1
+        return aged.withColumn("position", place).drop("age_minutes")
+    return number_rows(aged, ["age_minutes", "seq"]).drop("age_minutes")
 
 
 def _feed_order(posts: DataFrame, columns, numbered: bool) -> DataFrame:
@@ -104,7 +112,7 @@ def capped_posts_sorted(
 ) -> DataFrame:
     """The first posts of the first rounds, then youngest first."""
     taken = capped_posts(cards, search, posts, rounds, ordered=False)
-    return _sorted_by_age(taken, v.POST, numbered)
+    return _sorted_by_age(taken, v.POST, numbered, capped=posts <= TOP_K_ROWS)
 
 
 def all_posts(cards: DataFrame, search: Search = Search(), numbered: bool = False) -> DataFrame:
@@ -201,12 +209,13 @@ def job_or_post_content(
 
 
 def job_listings(
-    cards: DataFrame, pages: int | None = 1, query: str | None = None
+    pages: DataFrame, last: int | None = 1, query: str | None = None
 ) -> DataFrame:
-    """Complete job cards of the result pages before the first missing one.
+    """Complete job cards of the result pages 1 to ``last`` before the first missing one.
 
-    ``cards`` has ``feed`` and ``page_no``; ``pages`` limits how many pages are read.
+    Takes captured pages (``feed, page_no, html``): what comes after a gap is not parsed.
     """
-    read = cards if pages is None else page_range(cards, pages)
-    listed = _complete(page_prefix(read), v.JOB)
+    read = pages if last is None else page_range(pages, last)
+    cards = extract_cards(page_prefix(read), JOB_CARD, keep=("feed", "page_no"))
+    listed = _complete(cards, v.JOB)
     return listed if query is None else matching(listed, query, "job_title")

@@ -131,11 +131,10 @@ def test_job_listings(spark):
         items = item.format(f"Software Engineer {page}", "Co", "Rome") + "<li><strong>Half</strong></li>"
         rows.append(("f", page, f"<ul class='scaffold-layout__list-container'>{items}</ul>"))
     captured = spark.createDataFrame(rows, "feed string, page_no int, html string")
-    found = extract_cards(captured, src.JOB_CARD, keep=("feed", "page_no"))
-    assert [r.page_no for r in jobs.job_listings(found).collect()] == [1]
-    assert sorted(r.page_no for r in jobs.job_listings(found, pages=None).collect()) == [1, 2]
-    assert jobs.job_listings(found, pages=9, query="software engineer 2").count() == 1
-    assert shown(jobs.job_listings(found), v.JOB).columns == ["Job Title", "Location", "Company_Name"]
+    assert [r.page_no for r in jobs.job_listings(captured).collect()] == [1]
+    assert sorted(r.page_no for r in jobs.job_listings(captured, last=None).collect()) == [1, 2]
+    assert jobs.job_listings(captured, last=9, query="software engineer 2").count() == 1
+    assert shown(jobs.job_listings(captured), v.JOB).columns == ["Job Title", "Location", "Company_Name"]
 
 
 def test_empty_feed(spark):
