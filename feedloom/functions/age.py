@@ -5,12 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from feedloom.functions.text import as_column, strip
+from feedloom.functions.text import SPACE, as_column
 
 # Label grammar and unit factors.
-CUT_AFTER_BULLET = r"(?d)•.*$"
-COUNT_AND_UNIT = r"^(\d+)([mh])"
-COUNT_AND_WHOLE_UNIT = r"^(\d+)([mh])(?![a-zA-Z])"
+COUNT_AND_UNIT = r"(\d+)([mh])"
+NOT_IN_A_WORD = r"(?![a-zA-Z])"
 MINUTES_PER_HOUR = 60
 MINUTES_PER_DAY = 1440
 EDITED_SUFFIX = " • Edited • "
@@ -22,17 +21,16 @@ UNKNOWN_AGE = float("inf")
 def age_minutes(label: Column | str, strict_units: bool = False) -> Column:
     """Minutes named by an age label; infinity where the label gives none.
 
+    What follows the first bullet does not count. A bullet is neither space, digit nor unit, so
+    a pattern anchored at the start reads the same with or without the rest of the label.
     The label is read by its prefix, so ``2mo`` counts as two minutes unless ``strict_units``.
     """
-    pattern = COUNT_AND_WHOLE_UNIT if strict_units else COUNT_AND_UNIT
-    head = strip(F.regexp_replace(as_column(label), CUT_AFTER_BULLET, ""))
-    count = F.regexp_extract(head, pattern, 1).try_cast("double")
-    unit = F.regexp_extract(head, pattern, 2)
-    return (
-        F.when(unit == "m", count)
-        .when(unit == "h", count * F.lit(MINUTES_PER_HOUR))
-        .otherwise(F.lit(UNKNOWN_AGE))
-    )
+    pattern = f"^{SPACE}*{COUNT_AND_UNIT}" + (NOT_IN_A_WORD if strict_units else "")
+    label = as_column(label)
+    count = F.regexp_extract(label, pattern, 1).try_cast("double")
+    hours = F.regexp_extract(label, pattern, 2) == "h"
+    per_unit = F.when(hours, F.lit(float(MINUTES_PER_HOUR))).otherwise(F.lit(1.0))
+    return F.coalesce(count * per_unit, F.lit(UNKNOWN_AGE))
 
 
 def age_label(posted_at: Column | str, as_of: Column, edited: Column | None = None) -> Column:

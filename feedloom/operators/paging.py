@@ -53,7 +53,7 @@ def page_prefix(
 ) -> DataFrame:
     """The records of a feed up to its first missing page."""
     last = contiguous_pages(df.select(feed, page_no), feed, page_no, first)
-    kept = join_groups(df.where(F.col(page_no) >= first), last, feed, salt_of(page_no))
+    kept = join_groups(df.where(F.col(page_no) >= first), last, feed, salt_of(df, page_no))
     return kept.where(F.col(page_no) <= F.col("last_page")).select(*df.columns)
 
 
@@ -93,7 +93,7 @@ def until_stopped(
     df: DataFrame, stops: DataFrame, feed: str = "feed", round_no: str = "round"
 ) -> DataFrame:
     """The records up to the stop round of their feed; all of a feed that never stops."""
-    kept = join_groups(df, stops, feed, salt_of(round_no), "left")
+    kept = join_groups(df, stops, feed, salt_of(df, round_no), "left")
     in_time = F.col("stop_round").isNull() | (F.col(round_no) <= F.col("stop_round"))
     return kept.where(in_time).select(*df.columns)
 
@@ -102,6 +102,6 @@ def new_since(
     df: DataFrame, progress: DataFrame, feed: str = "feed", seq: str = "seq"
 ) -> DataFrame:
     """The records beyond those taken before; ``progress`` has the feed's ``next_seq``."""
-    kept = join_groups(df, progress.select(feed, "next_seq"), feed, salt_of(seq), "left")
+    kept = join_groups(df, progress.select(feed, "next_seq"), feed, salt_of(df, seq), "left")
     unread = F.col("next_seq").isNull() | (F.col(seq) >= F.col("next_seq"))
     return kept.where(unread).select(*df.columns)

@@ -21,6 +21,11 @@ def join_groups(
     return rows.withColumn("_salt", salt).join(copies, [by, "_salt"], how).drop("_salt")
 
 
-def salt_of(column: str) -> Column:
-    """A salt from the values of a column."""
-    return F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int")
+#: Columns that tell the records of a group apart, beside the one the operator works on.
+ROW_COLUMNS = ("seq", "container_idx")
+
+
+def salt_of(rows: DataFrame, column: str) -> Column:
+    """A salt from the values that tell the rows of a group apart."""
+    others = [c for c in ROW_COLUMNS if c in rows.columns and c != column]
+    return F.pmod(F.xxhash64(column, *others), F.lit(SALTS)).cast("int")

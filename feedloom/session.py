@@ -8,19 +8,17 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: str = "*", checkpoint_dir: str | None = None) -> SparkSession:
+def local_session(cores: str = "*") -> SparkSession:
     """A session for tests and measurements; a cluster brings its own."""
-    builder = (
+    session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("feedloom")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .getOrCreate()
     )
-    if checkpoint_dir:
-        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
-    session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     return session
 
@@ -36,7 +34,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="feedloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/feedloom/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -4,7 +4,7 @@ from feedloom.session import local_session
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    session = local_session("8", checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
+def spark():
+    session = local_session("8")
     yield session
     session.stop()

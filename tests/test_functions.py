@@ -1,4 +1,5 @@
 import math
+import random
 import re
 
 import pytest
@@ -36,6 +37,11 @@ AGES = {
     "٣h": math.inf,
     "0m": 0,
     "23h •": 1380,
+    "•\n5m": math.inf,
+    "•5m\n": math.inf,
+    "6m\n•": 6,
+    "7 • 5m": math.inf,
+    "\n8h": 480,
 }
 
 
@@ -43,6 +49,18 @@ def test_age_minutes(spark):
     assert evaluate(spark, list(AGES), fn.age_minutes) == list(AGES.values())
 
 
+def test_age_minutes_matches_the_rule(spark):
+    """The rule step by step: cut at the bullet, strip, read the prefix."""
+
+    def rule(label):
+        found = re.match(r"([0-9]+)([mh])", re.sub(r"•.*$", "", label).strip())
+        return math.inf if not found else float(found[1]) * (60 if found[2] == "h" else 1)
+
+    rnd = random.Random(3)
+    labels = ["".join(rnd.choices("12mhd •\n\u00a0", k=rnd.randrange(9))) for _ in range(3000)]
+    assert evaluate(spark, labels, fn.age_minutes) == [rule(label) for label in labels]
+
+
 def test_age_minutes_of_missing_label(spark):
     assert evaluate(spark, [None], fn.age_minutes) == [math.inf]
 
