@@ -16,6 +16,15 @@ VOID_TAGS = frozenset(
 UNSHOWN_TAGS = frozenset(("script", "style", "template"))
 
 
+class Comment:
+    """A comment, declaration or processing instruction; never shown, but it divides texts."""
+
+    __slots__ = ("markup",)
+
+    def __init__(self, markup):
+        self.markup = markup
+
+
 class Element:
     __slots__ = ("tag", "attrs", "children", "parent")
 
@@ -43,10 +52,11 @@ class Element:
             child = next(pending[-1], None)
             if child is None:
                 pending.pop()
-            elif not isinstance(child, Element):
+            elif isinstance(child, str):
                 yield child
-            elif child.tag not in UNSHOWN_TAGS and not (skip and skip(child)):
-                pending.append(iter(child.children))
+            elif isinstance(child, Element):
+                if child.tag not in UNSHOWN_TAGS and not (skip and skip(child)):
+                    pending.append(iter(child.children))
 
     def sole_string(self):
         """The text, if one text node is all there is, looking through single elements."""
@@ -72,6 +82,8 @@ class Element:
                 out.append(f"<{child.tag}{attrs}>")
                 end = "" if child.tag in VOID_TAGS else f"</{child.tag}>"
                 pending.append((iter(child.children), end))
+            elif isinstance(child, Comment):
+                out.append(child.markup)
             elif pending[-1][1] in ("</script>", "</style>"):
                 out.append(child)
             else:
@@ -83,15 +95,23 @@ class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.current = Element("", {}, None)
-        self.glue = False
+        self.pieces = []  # of the text node that is being read
+
+    def end_text(self):
+        if self.pieces:
+            self.current.children.append("".join(self.pieces))
+            self.pieces = []
+
+    def handle_data(self, data):
+        self.pieces.append(data)
 
     def handle_starttag(self, tag, attrs):
+        self.end_text()
         first_wins = {}
         for name, value in attrs:
             first_wins.setdefault(name, value or "")
         element = Element(tag, first_wins, self.current)
         self.current.children.append(element)
-        self.glue = False
         if tag not in VOID_TAGS:
             self.current = element
 
@@ -101,30 +121,40 @@ class _Builder(HTMLParser):
         self.current = parent
 
     def handle_endtag(self, tag):
+        self.end_text()
         node = self.current
         while node is not self.root and node.tag != tag:
             node = node.parent
         if node is not self.root:
             self.current = node.parent
-            self.glue = False
 
-    def handle_data(self, data):
-        if self.glue:
-            self.current.children[-1] += data
-        else:
-            self.current.children.append(data)
-            self.glue = True
+    def add_comment(self, markup):
+        self.end_text()
+        self.current.children.append(Comment(markup))
 
     def handle_comment(self, data):
-        self.glue = False
+        self.add_comment(f"<!--{data}-->")
+
+    def handle_decl(self, decl):
+        self.add_comment(f"<!{decl}>")
 
-    handle_decl = handle_pi = handle_comment
+    def handle_pi(self, data):
+        self.add_comment(f"<?{data}>")
 
     def unknown_decl(self, data):
-        self.glue = False
         if data.upper().startswith("CDATA["):
+            self.end_text()
             self.handle_data(data[len("CDATA["):])
-            self.glue = False
+            self.end_text()
+        else:
+            self.add_comment(f"<![{data}]>")
+
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
+    def close(self):
+        super().close()
+        self.end_text()
 
 
 def parse(html):

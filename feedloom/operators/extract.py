@@ -92,9 +92,9 @@ class CardRule:
     within: Match | None = None
 
 
-def _find_all(scope, selector: Selector) -> Iterator:
+def _matching(elements, selector: Selector) -> Iterator:
     outer, holds = selector[:-1], selector[-1].holds
-    for element in scope.walk():
+    for element in elements:
         if holds(element) and (not outer or _inside(element, outer)):
             yield element
 
@@ -113,13 +113,17 @@ def _nth(elements: Iterator, nth: int):
     return next((e for i, e in enumerate(elements) if i == nth), None)
 
 
-def _take(fld: Field, container, page):
-    element = page if fld.scope == "page" else container
+def _take(fld: Field, container, below, page):
+    """The value of a field; ``below`` holds the elements of the container."""
+    element, elements = container, below
+    if fld.scope == "page":
+        element, elements = page, page.walk()
     for i, selector in enumerate(fld.steps):
         nth = fld.nth if i == len(fld.steps) - 1 else 0
-        element = _nth(_find_all(element, selector), nth)
+        element = _nth(_matching(elements, selector), nth)
         if element is None:
             return False if fld.take == "exists" else None
+        elements = element.walk()
     if fld.take == "exists":
         return True
     if fld.take == "inner_html":
@@ -134,8 +138,8 @@ def _take(fld: Field, container, page):
 
 
 def _containers(page, rule: CardRule):
-    scope = page if rule.within is None else _nth(_find_all(page, (rule.within,)), 0)
-    return () if scope is None else _find_all(scope, (rule.container,))
+    scope = page if rule.within is None else _nth(_matching(page.walk(), (rule.within,)), 0)
+    return () if scope is None else _matching(scope.walk(), (rule.container,))
 
 
 def extract_cards(
@@ -182,7 +186,10 @@ def extract_cards(
                 try:
                     page = tree.parse(text or "")
                     for index, container in enumerate(_containers(page, rule)):
-                        record = {n: _take(f, container, page) for n, f in rule.fields.items()}
+                        below = list(container.walk())
+                        record = {
+                            n: _take(f, container, below, page) for n, f in rule.fields.items()
+                        }
                         record["container_idx"] = index
                         add(row, record)
                 except (AssertionError, ValueError, RecursionError) as problem:

@@ -119,7 +119,7 @@ def test_page_scope(spark):
 
 
 def test_inner_html_round_trip(spark):
-    body = 'a &amp; b &lt;i&gt;<br><img src="x?a=1&amp;b=2" alt="&quot;q&quot;"><script>1 < 2</script>'
+    body = 'a &amp; b &lt;i&gt;<br><img src="x?a=1&amp;b=2" alt="&quot;q&quot;"><script>1 < 2</script><!-- c -->x'
     rule = CardRule(Match(css_class="c"), {"h": Field(((Match(tag="p"),),), take="inner_html")})
     (r,) = rows_of(spark, f'<div class="c"><p>{body}</p></div>', rule)
     assert r.h == body

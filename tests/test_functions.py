@@ -121,6 +121,13 @@ SPACED = {
     "<ul><li>a<li>b</ul>c": "a b c",
     "<p>one</p></div><p>two": "one two",
     "x<br/>y<hr>z": "x y z",
+    "a</i>b</div>c": "a b c",
+    "one<!-- note -->two": "one two",
+    '<span class="visually-hidden">hashtag<!-- x --></span>y': "hashtag y",
+    '<span class="visually-hidden"> <b>hashtag</b></span>y': "hashtag y",
+    "<SPAN CLASS=\"visually-hidden\">hashtag</SPAN >y": "y",
+    "<span class='visually-hidden'>hashtag</span>y": "y",
+    '<span title="visually-hidden">hashtag</span>visually-hidden': "hashtag visually-hidden",
     "a\u0001b<i>c</i>": "a\u0001b c",
     "": "",
 }
@@ -147,6 +154,11 @@ def test_paths_agree_on_broken_markup(spark):
     )
 
 
+def test_many_stray_brackets_are_read_in_one_go(spark):
+    text = "a < " * 50_000
+    assert evaluate(spark, [text], lambda c: fn.clean_html(c, "tree")) == [text.strip()]
+
+
 COMPACT = {
     "a<b>b</b> c": "abc",
     '<span class="visually-hidden">hashtag</span><span>#</span>tag': "hashtag#tag",
