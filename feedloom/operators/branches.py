@@ -44,7 +44,8 @@ def first_on_page(
     """Replace columns by the value of the first container of the same page.
 
     The first containers are found by an aggregate, so no page is gathered. The join back meets
-    a page in pieces of ``width`` index values, so that a page with very many containers spreads.
+    a page in pieces of ``width`` index values, so that a page with very many containers spreads;
+    ``index`` counts the containers of a page and has no wide gaps.
     """
     first, piece = "_first", "_piece"
     pieces = F.sequence(F.expr(f"_low div {width}"), F.expr(f"_high div {width}"))
