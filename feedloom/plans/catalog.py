@@ -711,6 +711,21 @@ def stream_quarantine(spark, sf_dir):
     return passed.unionByName(stream.read_rounds(spark, bad, rejects).drop("round"))
 
 
+@query(
+    f"with {sql.POSTS} select page_id, seq % 25 as container_idx, author, {DESCRIPTION_SQL} as description, "
+    "rtrim(time_posted) as time_posted, post_link from posts"
+)
+def stream_extract(spark, sf_dir):
+    path, good, bad = (shared_folder(spark, name) for name in ("captured", "good", "bad"))
+    captures.feed_pages(spark, sf_dir).repartition(FEED_FILES, "page_id").write.parquet(path)
+    pages = stream.read_feed(spark, path, v.CAPTURED_PAGES, files_per_round=4)
+    cards = extract_cards(pages.where(may_hold(v.POST_CONTAINER)), src.POST_CARD)
+    sink = stream.Quarantine(good, bad, ("author", "post_link"), ("page_id", "container_idx"))
+    stream.write_rounds(cards, sink, shared_folder(spark, "checkpoint"))
+    written = stream.read_rounds(spark, good, cards.drop("error").schema).drop("round")
+    return written.withColumn("container_idx", F.col("container_idx").cast("bigint"))
+
+
 # ---- whole jobs -------------------------------------------------------------------------------
 
 

@@ -29,8 +29,14 @@ def tags(text: str) -> str:
     return f"list_filter({found}, lambda w, i: list_position({found}, w) = i)"
 
 
+# The entities in the pages; a text may end before their semicolon.
 ENTITY_CODES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"),
+    ("&lt;?", "<"),
+    ("&gt;?", ">"),
+    ("&quot;?", '"'),
+    ("&middot;?", "·"),
+    ("&copy;?", "©"),
+    ("&amp;?", "&"),
 )
 
 
@@ -41,7 +47,7 @@ def without_markup(html: str) -> str:
     ):
         html = f"regexp_replace({html}, '{pattern}', chr(1), 'gs')"
     for code, char in ENTITY_CODES:
-        html = f"replace({html}, '{code}', '{char}')"
+        html = f"regexp_replace({html}, '{code}', '{char}', 'g')"
     return html
 
 

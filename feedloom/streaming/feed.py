@@ -129,8 +129,11 @@ class Quarantine:
         self.path, self.rejects, self.required, self.keys = path, rejects, required, keys
 
     def __call__(self, records: DataFrame, round_no: int) -> None:
-        checked = check_required(records, self.required)
-        accepted(checked).write.mode("overwrite").parquet(round_folder(self.path, round_no))
-        rejected(checked, self.keys).write.mode("overwrite").parquet(
-            round_folder(self.rejects, round_no)
-        )
+        checked = check_required(records, self.required).persist()
+        try:
+            accepted(checked).write.mode("overwrite").parquet(round_folder(self.path, round_no))
+            rejected(checked, self.keys).write.mode("overwrite").parquet(
+                round_folder(self.rejects, round_no)
+            )
+        finally:
+            checked.unpersist()

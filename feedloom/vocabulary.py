@@ -60,24 +60,6 @@ CAPTURED_PAGES = T.StructType(
     ]
 )
 
-#: One post card with its fields taken out; ``seq`` is the order in the feed.
-POST_CARDS = T.StructType(
-    [
-        T.StructField("page_id", T.LongType()),
-        T.StructField("container_idx", T.IntegerType()),
-        T.StructField("seq", T.LongType()),
-        T.StructField("kind", T.StringType()),
-        T.StructField("author", T.StringType()),
-        T.StructField("description_html", T.StringType()),
-        T.StructField("time_posted", T.StringType()),
-        T.StructField("post_link", T.StringType()),
-        T.StructField("profile_link", T.StringType()),
-        T.StructField("has_view_job", T.BooleanType()),
-        T.StructField("job_link", T.StringType()),
-    ]
-)
-
-
 def string_schema(columns) -> T.StructType:
     """The declared schema of one of the output column lists above."""
     return T.StructType([T.StructField(shown, T.StringType()) for _, shown in columns])
