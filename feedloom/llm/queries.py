@@ -5,20 +5,75 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedloom.llm import sketch_dedup
+from feedloom.llm import fingerprints, phrase_index, sketch_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrase_index.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+CONTAMINATION_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+asked AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+sizes AS (SELECT DISTINCT least(len(w), 10) AS size FROM asked WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS size,
+    array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+  FROM asked, range(1, greatest(len(w) - 9, 1) + 1) AS r(i) WHERE len(w) > 0),
+grams AS (
+  SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS gram
+  FROM words, sizes, range(1, len(w) - size + 2) AS r(i)),
+hits AS (SELECT doc_id, i, size, item_id FROM grams JOIN windows USING (size, gram)),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, range(i, i + size) AS r(p) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+def fingerprint_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edit_trial(_table(spark, sf_dir, "documents"))
+
+
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_phrase_index": contamination,
+    "op4_oph_fingerprints": fingerprint_trial,
     "op10_sketch_dedup": near_duplicate_groups,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_phrase_index": CONTAMINATION_SQL,
+}
