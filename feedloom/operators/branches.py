@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import strip
-from feedloom.operators.numbering import CHUNK_WIDTH
 from feedloom.vocabulary import NOT_AVAILABLE
 
+#: Containers of a page that meet its first one in one piece.
+PIECE_WIDTH = 65_536
+
 
 def with_defaults(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Show ``N/A`` where a field is missing."""
@@ -39,7 +41,7 @@ def first_on_page(
     columns: Sequence[str],
     page: str = "page_id",
     index: str = "container_idx",
-    width: int = CHUNK_WIDTH,
+    width: int = PIECE_WIDTH,
 ) -> DataFrame:
     """Replace columns by the value of the first container of the same page.
 

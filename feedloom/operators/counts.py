@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from feedloom.operators.numbering import CHUNK_WIDTH, number_rows
+from feedloom.operators.numbering import number_rows
 
 
 def containers_per_page(cards: DataFrame, page: str = "page_id") -> DataFrame:
@@ -13,11 +13,9 @@ def containers_per_page(cards: DataFrame, page: str = "page_id") -> DataFrame:
     return cards.groupBy(page).agg(F.count("*").alias("containers"))
 
 
-def running_count(
-    df: DataFrame, by: tuple[str, ...] = (), seq: str = "seq", width: int = CHUNK_WIDTH
-) -> DataFrame:
+def running_count(df: DataFrame, by: tuple[str, ...] = (), seq: str = "seq") -> DataFrame:
     """How many records were accepted up to and including each one."""
-    numbered = number_rows(df, [seq], by=by, name="_position", width=width)
+    numbered = number_rows(df, [seq], by=by, name="_position")
     return numbered.withColumn("accepted", F.col("_position") + 1).drop("_position")
 
 

@@ -2,33 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.numbering import CHUNK_WIDTH, number_rows
+from feedloom.operators.numbering import number_rows
 from feedloom.operators.ordering import by_age
 
-#: Up to here the last ``seq`` taken is found by a top-k, beyond by counts per chunk.
-TOP_K_ROWS = 1_000
-
 
-def cap(df: DataFrame, n: int, seq: str = "seq", width: int = CHUNK_WIDTH) -> DataFrame:
-    """The first ``n`` records in feed order.
+def cap(df: DataFrame, n: int, seq: str | Sequence[str] = "seq") -> DataFrame:
+    """The first ``n`` records in feed order, never more.
 
-    First the ``seq`` at which to stop is found, from that column alone; then the records up to
-    it are read. The condition reaches the scan, so files that start later are skipped, and
-    whatever else belongs to a record is only read for those taken.
+    First the place at which to stop is found from the order columns alone; then the records up
+    to it are read. With one order column the condition reaches the scan, so files that start
+    later are skipped, and whatever else belongs to a record is only read for those taken.
+    Records without a place in the feed are not taken. Of records in the same place any are.
     """
-    if n <= TOP_K_ROWS:
-        last = df.select(seq).orderBy(seq).limit(n).agg(F.max(seq)).scalar()
-        return df.where(F.col(seq) <= last)
-    chunk = F.expr(f"`{seq}` div {width}")
-    sizes = df.groupBy(chunk.alias("_chunk")).agg(F.count("*").alias("_count"))
-    so_far = F.sum("_count").over(Window.orderBy("_chunk"))
-    before = sizes.withColumn("_so_far", so_far).where(F.col("_so_far") - F.col("_count") < n)
-    near = df.where(chunk <= before.agg(F.max("_chunk")).scalar())
-    numbered = number_rows(near, [seq], name="_position", width=width)
-    return numbered.where(F.col("_position") < n).drop("_position")
+    order = [seq] if isinstance(seq, str) else list(seq)
+    known = df.dropna(subset=order)
+    if n <= 0:
+        return known.limit(0)
+    place = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    numbered = number_rows(known.select(*order), order, name="_position")
+    taken = numbered.where(F.col("_position") < n)
+    last = taken.agg(F.max(place)).scalar()
+    beyond = numbered.where(F.col("_position") == n)
+    if beyond.where(place == last).isEmpty():
+        return known.where(place <= last)
+    ties = taken.where(place == last).count()
+    return known.where(place < last).union(known.where(place == last).limit(ties))
 
 
 def cap_then_sort(df: DataFrame, n: int, seq: str = "seq") -> DataFrame:
@@ -42,12 +45,10 @@ def soft_cap(
     """Take whole batches until ``soft`` records are there, but never more than ``hard``.
 
     A batch is taken if fewer than ``soft`` records precede it. Whatever is taken lies within
-    the first ``hard`` records, and within those the count before a batch is its rank less one,
-    so the window runs over at most ``hard`` rows.
+    the first ``hard`` records, and of those the first ``soft`` end in the last batch to take.
     """
-    first = df.orderBy(batch, seq).limit(hard)
-    before = F.rank().over(Window.orderBy(batch)) - 1
-    return first.withColumn("_before", before).where(F.col("_before") < soft).drop("_before")
+    last = cap(df.select(batch, seq), min(soft, hard), [batch, seq]).agg(F.max(batch)).scalar()
+    return cap(df.where(F.col(batch) <= last), hard, [batch, seq])
 
 
 def first_rounds(df: DataFrame, rounds: int, column: str = "round") -> DataFrame:

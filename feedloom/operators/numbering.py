@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: How much of the ``seq`` range one window group covers. As ``seq`` is unique, no group can
-#: hold more rows than this. Take more where ``seq`` has wide gaps.
-CHUNK_WIDTH = 65_536
+from feedloom.session import staged
+
+#: ``monotonically_increasing_id`` holds the partition above this many bits, the row below.
+ROW_BITS = 33
 
 
 def number_rows(
@@ -17,34 +18,33 @@ def number_rows(
     order: Sequence[str],
     by: Sequence[str] = (),
     name: str = "position",
-    width: int = CHUNK_WIDTH,
 ) -> DataFrame:
     """Add the 0-based position of each row in ``order``, for each group of ``by``.
 
-    The last column of ``order`` is a unique integer. Its range is cut into chunks; a chunk is
-    numbered on its own, then moved by the rows before it. Those counts are aggregated before
-    they are shuffled, and the running sum over them sees one row per chunk, so neither a large
-    group nor a large run of equal leading values ends up in one task.
+    One range shuffle puts the table in order, whatever the values are and however many rows
+    share a group. It is written to the shared folder with the place of each row in its
+    partition. What has to meet in one place is one count per partition and group in it, so
+    neither a large group nor a long run of equal leading values makes a large task. Rows that
+    are equal in all of ``order`` are numbered in any order.
     """
-    *lead, seq = order
-    chunk, count, before, within = "_chunk", "_count", "_before", "_within"
-    keys = [*by, *lead, chunk]
-    chunked = df.withColumn(chunk, F.expr(f"`{seq}` div {width}"))
-
-    earlier = Window.partitionBy(*by).orderBy(*lead, chunk).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
+    row, part, first, count, before = "_row", "_part", "_first", "_count", "_before"
+    keys = [*by, *order]
+    placed = staged(
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumn(row, F.monotonically_increasing_id()),
+        "numbered",
+    ).withColumn(part, F.shiftright(row, ROW_BITS))
+
+    earlier = Window.partitionBy(*by).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        chunked.groupBy(*keys)
-        .agg(F.count("*").alias(count))
+        placed.groupBy(*by, part)
+        .agg(F.count("*").alias(count), F.min(row).alias(first))
         .withColumn(before, F.coalesce(F.sum(count).over(earlier), F.lit(0)))
-        .select(*[F.col(k).alias(f"_of_{k}") for k in keys], before)
-    )
-    numbered = chunked.withColumn(
-        within, F.row_number().over(Window.partitionBy(*keys).orderBy(seq))
+        .select(*[F.col(k).alias(f"_of_{k}") for k in [*by, part]], first, before)
     )
-    same_chunk = [numbered[k].eqNullSafe(offsets[f"_of_{k}"]) for k in keys]
-    return numbered.join(offsets, same_chunk).select(
-        *[numbered[c] for c in df.columns],
-        (F.col(before) + F.col(within) - 1).cast("bigint").alias(name),
+    same = [placed[k].eqNullSafe(offsets[f"_of_{k}"]) for k in by]
+    return placed.join(offsets, [*same, placed[part] == offsets[f"_of_{part}"]]).select(
+        *[placed[c] for c in df.columns],
+        (F.col(row) - F.col(first) + F.col(before)).alias(name),
     )

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedloom.operators.numbering import CHUNK_WIDTH, number_rows
+from feedloom.operators.numbering import number_rows
 from feedloom.operators.skew import join_groups, salt_of
 
+#: Rounds of a feed that are compared in one window.
+CHUNK_WIDTH = 65_536
+
 
 def page_range(df: DataFrame, last: int, first: int = 1, page_no: str = "page_no") -> DataFrame:
     """Pages ``first`` to ``last``, both included."""
@@ -70,7 +73,7 @@ def stop_rounds(
     Rounds are numbered per feed and compared in chunks. The last ``after`` rounds of a chunk
     are also given to the next one as its past, so that no window holds more than a chunk.
     """
-    placed = number_rows(rounds.select(feed, round_no, height), [round_no], by=[feed], width=width)
+    placed = number_rows(rounds.select(feed, round_no, height), [round_no], by=[feed])
     own = F.expr(f"position div {width}")
     near_end = F.col("position") % width >= width - after
     spread = placed.withColumn("_own", own).withColumn(

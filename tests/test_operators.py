@@ -60,19 +60,18 @@ def test_first_unseen(spark, parts):
 
 
 @pytest.mark.parametrize("parts", SPLITS)
-@pytest.mark.parametrize("width", [1, 7, 100, 65_536])
-def test_number_rows(spark, parts, width):
-    rnd = random.Random(width)
+def test_number_rows(spark, parts):
+    rnd = random.Random(parts)
     rows = [
         (rnd.choice([None, "a", "b"]), rnd.choice([5.0, 60.0, float("inf"), float("inf")]), i * 3)
         for i in range(300)
     ]
     df = frame(spark, rows, "g string, age double, seq bigint", parts)
-    whole = number_rows(df, ["age", "seq"], width=width)
+    whole = number_rows(df, ["age", "seq"])
     ordered = sorted(rows, key=lambda r: r[1:])
     assert [(r.g, r.age, r.seq) for r in whole.orderBy("position").collect()] == ordered
     assert sorted(r.position for r in whole.collect()) == list(range(300))
-    for r in number_rows(df, ["seq"], by=["g"], width=width).collect():
+    for r in number_rows(df, ["seq"], by=["g"]).collect():
         assert r.position == sum(1 for g, _, s in rows if g == r.g and s < r.seq)
 
 
@@ -90,13 +89,19 @@ def test_cap(spark, parts, n):
     assert sorted(r.seq for r in limits.cap(df, n).collect()) == [i * 5 for i in range(min(n, 300))]
 
 
-@pytest.mark.parametrize("n", [1, 59, 60, 61, 299, 300, 1000])
-@pytest.mark.parametrize("width", [1, 50, 65_536])
-def test_large_cap(spark, n, width, monkeypatch):
-    monkeypatch.setattr(limits, "TOP_K_ROWS", 0)
-    df = frame(spark, [(i * 5, f"t{i}") for i in range(300)], "seq bigint, text string")
-    got = sorted(r.seq for r in limits.cap(df, n, width=width).collect())
-    assert got == [i * 5 for i in range(min(n, 300))]
+@pytest.mark.parametrize("n", [1, 2, 5, 1001, 2999, 3000, 5000])
+def test_cap_with_equal_and_missing_places(spark, n):
+    rows = [(i // 3, f"t{i}") for i in range(3000)] + [(None, "x")] * 5
+    got = limits.cap(frame(spark, rows, "seq bigint, text string"), n).collect()
+    assert sorted(r.seq for r in got) == [i // 3 for i in range(min(n, 3000))]
+    assert len({r.text for r in got}) == len(got)
+
+
+@pytest.mark.parametrize("lead", [1, 97, 5000])
+def test_number_rows_with_wide_gaps_and_many_leading_values(spark, lead):
+    rows = [(i * 7919 % lead, (i * 37 % 5000) << 40) for i in range(5000)]
+    got = number_rows(frame(spark, rows, "age bigint, seq bigint"), ["age", "seq"]).collect()
+    assert [(r.age, r.seq) for r in sorted(got, key=lambda r: r.position)] == sorted(rows)
 
 
 def test_cap_reaches_the_scan(spark, capsys):
@@ -261,7 +266,7 @@ def test_first_on_page(spark, width):
 def test_counts(spark):
     df = frame(spark, [(i, f"k{i % 3}") for i in range(10)], "seq bigint, page_id string")
     assert {r.page_id: r.containers for r in counts.containers_per_page(df).collect()} == {"k0": 4, "k1": 3, "k2": 3}
-    assert sorted((r.seq, r.accepted) for r in counts.running_count(df, width=4).collect()) == [(i, i + 1) for i in range(10)]
+    assert sorted((r.seq, r.accepted) for r in counts.running_count(df).collect()) == [(i, i + 1) for i in range(10)]
     counted, observation = counts.with_row_count(df)
     counted.collect()
     assert observation.get["rows"] == 10
