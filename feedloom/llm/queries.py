@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import fingerprints, phrase_index, sketch_dedup
+from feedloom.llm import (
+    chat_windows,
+    fingerprints,
+    line_runs,
+    lpt_shards,
+    phrase_index,
+    sketch_dedup,
+    weighted_mix,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +68,165 @@ FROM words LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_runs.drop_repeated_lines(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LINE_DEDUP_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, i, line, key, length(key) >= 20 AS counts
+  FROM (SELECT doc_id, i, l[i] AS line, translate(
+      regexp_replace(l[i], '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+      range(1, len(l) + 1) AS r(i))),
+common AS (
+  SELECT key, max(doc_id) AS owner FROM lines WHERE counts
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT doc_id, i, line, counts AND owner IS NOT NULL AND owner <> doc_id AS dropped
+  FROM lines LEFT JOIN common USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+
+def shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lpt_shards.shards(_table(spark, sf_dir, "documents"), 8)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = weighted_mix.mix(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+MIX_SQL = r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    0.25::DOUBLE + 0.75::DOUBLE * (length(regexp_replace(coalesce(text, ''), '[^\p{L} ]', '', 'g'))::DOUBLE
+      / greatest(length(coalesce(text, '')), 1)::DOUBLE) AS w,
+    (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0'), 1, 13))::BIGINT::DOUBLE + 0.5)
+      / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
+ranked AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight,
+    3 * source_size AS most, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM sizes),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(most) OVER (
+      ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS rest,
+    CAST(sum(weight) OVER (
+      ORDER BY most / weight, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS BIGINT) AS sharing
+  FROM ranked),
+level AS (
+  SELECT rest, sharing FROM levels WHERE most * sharing > weight * rest ORDER BY most / weight, place LIMIT 1),
+goals AS (
+  SELECT l.source, l.source_size, CASE WHEN l.most * l.sharing > l.weight * l.rest
+    THEN (l.weight * v.rest)::DOUBLE / v.sharing::DOUBLE ELSE l.most::DOUBLE END AS target
+  FROM levels l LEFT JOIN level v ON true),
+ordered AS (
+  SELECT d.*, g.source_size, g.target, floor(g.target / greatest(g.source_size, 1)) AS epochs,
+    coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY 1.0::DOUBLE - exp(ln(u) / w), doc_id, size
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+  CAST(size * (epochs + CASE WHEN ahead + size / 2 <= target - epochs * source_size THEN 1 ELSE 0 END)
+    AS BIGINT) AS taken
+FROM ordered
+"""
+
+#: The template of the windows is tried on texts that look like one.
+MARKED = "\\### Assistant: </turn> ok"
+
+
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(1).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.explode(F.array(*[
+            F.struct(F.lit(i).cast("long").alias("turn"), F.lit(r).alias("role"), F.lit(MARKED).alias("text"))
+            for i, r in enumerate(("user", "assistant"))
+        ])).alias("row"),
+    ).select("conv_id", "row.*")
+    windows = chat_windows.chat_windows(turns.unionByName(marked))
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    # Windows of a conversation in order; its whole text is what the digests are of.
+    read = chat_windows.read_back(windows).select(
+        "conv_id",
+        "window",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.array_join(lines, "").alias("turns"),
+        "loss_text",
+    )
+    sizes = windows.select("conv_id", F.length("formatted").alias("chars"))
+    back = read.groupBy("conv_id").agg(
+        F.sum("n_turns").alias("n_turns"),
+        F.array_sort(F.collect_list(F.struct("window", "turns", "loss_text"))).alias("parts"),
+    )
+    loss = F.array_join(F.col("parts.loss_text"), "")
+    return (
+        back.join(
+            sizes.groupBy(F.col("conv_id").alias("of")).agg(F.sum("chars").alias("formatted_chars")),
+            F.col("conv_id").eqNullSafe(F.col("of")),
+        )
+        .select(
+            "conv_id",
+            "n_turns",
+            F.sha2(F.array_join(F.col("parts.turns"), ""), 256).alias("turns_sha256"),
+            F.length(loss).cast("long").alias("loss_chars"),
+            F.sha2(loss, 256).alias("loss_sha256"),
+            F.col("formatted_chars").cast("long").alias("formatted_chars"),
+        )
+    )
+
+
+CHAT_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+sized AS (
+  SELECT *, CAST(ceil(strlen(text) / 4.0) AS BIGINT) + 4 AS tokens,
+    15 + length(replace(replace(replace(role, '%', '%25'), '<', '%3C'), '>', '%3E'))
+      + length(replace(replace(replace(text, '%', '%25'), '<', '%3C'), '>', '%3E')) AS chars,
+    row_number() OVER w AS nth, first(role) OVER w AS first_role
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
+heads AS (
+  SELECT conv_id, tokens AS system_tokens, chars AS system_chars FROM sized WHERE nth = 1 AND role = 'system'),
+counted AS (
+  SELECT s.*, h.system_tokens, h.system_chars, s.nth = 1 AND s.role = 'system' AS is_system,
+    CASE WHEN s.nth = 1 AND s.role = 'system' THEN 0 ELSE tokens END AS own,
+    greatest(floor((1024 - 256 - coalesce(system_tokens, 0)) / 2), 1) AS step
+  FROM sized s LEFT JOIN heads h ON s.conv_id IS NOT DISTINCT FROM h.conv_id),
+slots AS (
+  SELECT *, own > step AS large, floor((sum(own) OVER w - 1) / step) AS slot
+  FROM counted WINDOW w AS (PARTITION BY conv_id ORDER BY nth ROWS UNBOUNDED PRECEDING)),
+marked AS (
+  SELECT *, NOT is_system AND (lag(nth) OVER w IS NULL OR lag(is_system) OVER w OR large
+    OR lag(large) OVER w OR slot <> lag(slot) OVER w) AS starts
+  FROM slots WINDOW w AS (PARTITION BY conv_id ORDER BY nth)),
+spans AS (
+  SELECT *, greatest(sum(starts::INT) OVER (PARTITION BY conv_id ORDER BY nth ROWS UNBOUNDED PRECEDING) - 1, 0) AS span
+  FROM marked),
+carried AS (
+  SELECT *, NOT is_system AND row_number() OVER w <= 2 AND sum(tokens) OVER w <= 256
+    AND span < max(span) OVER (PARTITION BY conv_id) AS again
+  FROM spans WINDOW w AS (PARTITION BY conv_id, span ORDER BY nth DESC ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) + coalesce(sum(chars) FILTER (WHERE again), 0)
+    + coalesce(max(system_chars), 0) * max(span) AS BIGINT) AS formatted_chars
+FROM carried GROUP BY conv_id
+"""
+
+
 def fingerprint_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_trial(_table(spark, sf_dir, "documents"))
 
@@ -70,10 +237,17 @@ def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_phrase_index": contamination,
+    "op3_line_runs": line_dedup,
     "op4_oph_fingerprints": fingerprint_trial,
+    "op5_lpt_shards": shards,
+    "op6_weighted_mix": mixed,
+    "op7_chat_windows": chat_formatting,
     "op10_sketch_dedup": near_duplicate_groups,
 }
 
 ORACLE: dict[str, str] = {
     "op2_phrase_index": CONTAMINATION_SQL,
+    "op3_line_runs": LINE_DEDUP_SQL,
+    "op6_weighted_mix": MIX_SQL,
+    "op7_chat_windows": CHAT_SQL,
 }
