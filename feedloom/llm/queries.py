@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import (
+    bwt_dedup,
     chat_windows,
     fingerprints,
     line_runs,
@@ -231,6 +232,18 @@ def fingerprint_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edit_trial(_table(spark, sf_dir, "documents"))
 
 
+def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bwt_dedup.repeated_strings(_table(spark, sf_dir, "documents"))
+    lengths = F.transform("removed", lambda s: s["stop"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda a, x: a + x).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -242,6 +255,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lpt_shards": shards,
     "op6_weighted_mix": mixed,
     "op7_chat_windows": chat_formatting,
+    "op8_bwt_dedup": repeats_removed,
     "op10_sketch_dedup": near_duplicate_groups,
 }
 
