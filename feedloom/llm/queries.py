@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from feedloom.llm import (
     bwt_dedup,
     chat_windows,
+    cotraining,
     fingerprints,
     line_runs,
     lpt_shards,
     phrase_index,
     sketch_dedup,
+    string_kernel,
     weighted_mix,
 )
 
@@ -23,6 +25,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return cotraining.quality(docs, cotraining.fit_quality(docs, _table(spark, sf_dir, "labels")))
+
+
 def contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrase_index.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -244,11 +251,23 @@ def repeats_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = string_kernel.fit_labelled(docs, _table(spark, sf_dir, "labels"))
+    return string_kernel.toxicity(docs, model).select(
+        "doc_id",
+        (F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 0).alias("held_out"),
+        "score",
+        "predicted",
+    )
+
+
 def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_cotraining": quality,
     "op2_phrase_index": contamination,
     "op3_line_runs": line_dedup,
     "op4_oph_fingerprints": fingerprint_trial,
@@ -256,6 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_weighted_mix": mixed,
     "op7_chat_windows": chat_formatting,
     "op8_bwt_dedup": repeats_removed,
+    "op9_string_kernel": toxicity,
     "op10_sketch_dedup": near_duplicate_groups,
 }
 
