@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import SPACE, as_column
 
 # Label grammar and unit factors.
-COUNT_AND_UNIT = r"(\d+)([mh])"
+COUNT_AND_UNIT = r"(\p{Nd}+)([mh])"
 NOT_IN_A_WORD = r"(?![a-zA-Z])"
 MINUTES_PER_HOUR = 60
 MINUTES_PER_DAY = 1440
@@ -17,6 +19,12 @@ PLAIN_SUFFIX = " • "
 
 UNKNOWN_AGE = float("inf")
 
+#: All decimal digits beyond ASCII, and the ASCII ones they stand for.
+OTHER_DIGITS = "".join(
+    chr(i) for i in range(128, 0x110000) if unicodedata.decimal(chr(i), None) is not None
+)
+AS_ASCII = "".join(str(unicodedata.decimal(c)) for c in OTHER_DIGITS)
+
 
 def age_minutes(label: Column | str, strict_units: bool = False) -> Column:
     """Minutes named by an age label; infinity where the label gives none.
@@ -27,7 +35,9 @@ def age_minutes(label: Column | str, strict_units: bool = False) -> Column:
     """
     pattern = f"^{SPACE}*{COUNT_AND_UNIT}" + (NOT_IN_A_WORD if strict_units else "")
     label = as_column(label)
-    count = F.regexp_extract(label, pattern, 1).try_cast("double")
+    digits = F.regexp_extract(label, pattern, 1)
+    plain = F.when(digits.rlike("[^0-9]"), F.translate(digits, OTHER_DIGITS, AS_ASCII)).otherwise(digits)
+    count = plain.try_cast("double")
     hours = F.regexp_extract(label, pattern, 2) == "h"
     per_unit = F.when(hours, F.lit(float(MINUTES_PER_HOUR))).otherwise(F.lit(1.0))
     return F.coalesce(count * per_unit, F.lit(UNKNOWN_AGE))

@@ -9,9 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feedloom.functions import tree
 from feedloom.functions.text import as_column
 
-FIRST_HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+#: What holds text that only looks like markup, and what stands before all of it.
+NO_MARKUP = r"(?is)<!--.*?-->|<(script|style|title|textarea)\b[^>]*>.*?</\1\s*>|^\s*<!doctype[^<>]*>"
+ANCHOR = r"(?i)<a[\s/>]"
+PLAIN_LINK = r'''(?i)^<a\s+href="([^"&<>]*)"'''
 SITE_ROOT = r"(?i)^([a-z][a-z0-9+.-]*://[^/?#]*)"
 HAS_SCHEME = r"(?i)^[a-z][a-z0-9+.-]*:"
 
@@ -27,11 +31,40 @@ def _joined(base: pd.Series, href: pd.Series) -> pd.Series:
 _join_url = F.pandas_udf(_joined, T.StringType()).asNondeterministic()
 
 
+def _first_links(html: pd.Series) -> pd.Series:
+    def first(text):
+        links = (e for e in tree.parse(text).walk() if e.tag == "a" and "href" in e.attrs)
+        return next((e.attrs["href"] for e in links), None)
+
+    return pd.Series([None if t is None else first(t) for t in html], dtype=object)
+
+
+_first_link = F.pandas_udf(_first_links, T.StringType()).asNondeterministic()
+
+
 def first_href(fragment: Column | str) -> Column:
-    """The ``href`` of the first link in a piece of HTML, NULL without one."""
+    """The ``href`` of the first link in a piece of HTML, NULL without one.
+
+    Read by expressions where everything before the link is plain markup and the link is written
+    ``<a href="...">`` without references. Other rows with an anchor go through the element tree.
+    """
     html = as_column(fragment)
-    value = F.concat(F.regexp_extract(html, FIRST_HREF, 1), F.regexp_extract(html, FIRST_HREF, 2))
-    return F.when(html.rlike(FIRST_HREF), F.replace(value, F.lit("&amp;"), F.lit("&")))
+    bare = F.regexp_replace(html, NO_MARKUP, "")
+    at = F.regexp_instr(bare, F.lit(ANCHOR))
+    before = F.substr(bare, F.lit(1), at - 1)
+    link = F.substr(bare, at)
+    # Outside of attributes: quotes are paired and every tag is closed.
+    plain = (
+        ~before.rlike(r"(?i)<[!?]|<[^>]*'|<(?:script|style|title|textarea|template|xmp|plaintext|noscript)\b")
+        & (F.pmod(F.regexp_count(before, F.lit('"')), F.lit(2)) == 0)
+        & (F.regexp_count(before, F.lit("<")) == F.regexp_count(before, F.lit(">")))
+        & link.rlike(PLAIN_LINK)
+    )
+    none = ~html.rlike(ANCHOR)
+    return F.coalesce(
+        F.when(~none & plain, F.regexp_extract(link, PLAIN_LINK, 1)),
+        _first_link(F.when(~none & ~plain, html)),
+    )
 
 
 def site_root(url: Column | str) -> Column:

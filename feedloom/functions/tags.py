@@ -21,9 +21,12 @@ def hashtags(text: Column | str) -> Column:
 
 
 def format_description(text: Column | str) -> Column:
-    """The text on single spaces, followed by its distinct hashtags with one more ``#`` each."""
+    """The text on single spaces, followed by its distinct hashtags with one more ``#`` each.
+
+    NULL for a missing text.
+    """
     marked = F.transform(hashtags(text), lambda tag: F.concat(F.lit("#"), tag))
-    return F.btrim(F.concat_ws(" ", squeeze(text), F.array_join(marked, " ")))
+    return F.btrim(F.concat(squeeze(text), F.lit(" "), F.array_join(marked, " ")))
 
 
 def contains_all_terms(text: Column | str, query: str) -> Column:

@@ -1,7 +1,7 @@
 """A minimal element tree for irregular HTML, used inside Arrow tasks only.
 
-Unclosed elements end with their parent and stray end tags are ignored; no tag closes another
-one implicitly.
+Unclosed elements end with their parent or where a start tag implies it, as a list item ends the
+one before; stray end tags are ignored.
 """
 
 from __future__ import annotations
@@ -15,6 +15,29 @@ VOID_TAGS = frozenset(
 )
 UNSHOWN_TAGS = frozenset(("script", "style", "template"))
 
+# What a start tag ends, and up to which elements it looks for that.
+_BLOCKS = (
+    "address article aside blockquote center details dialog dir div dl dd dt fieldset figcaption "
+    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section "
+    "summary table ul"
+).split()
+_BARRIERS = {*_BLOCKS, "button", "caption", "object", "select", "tbody", "td", "template", "th", "tr"}
+_BARRIERS -= {"address", "div", "p"}
+_ENDED_BY = {
+    "li": ({"li"}, _BARRIERS - {"li"}),
+    "dt": ({"dt", "dd"}, _BARRIERS - {"dt", "dd"}),
+    "dd": ({"dt", "dd"}, _BARRIERS - {"dt", "dd"}),
+    "option": ({"option"}, {"select", "datalist", "optgroup"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
+    "tr": ({"tr", "td", "th"}, {"table"}),
+    "td": ({"td", "th"}, {"tr", "table"}),
+    "th": ({"td", "th"}, {"tr", "table"}),
+    "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+    "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th"}, {"table"}),
+}
+_KEEPS_PARAGRAPH = {"button", "table", "td", "th", "caption", "object", "template", "applet", "marquee"}
+
 
 class Comment:
     """A comment, declaration or processing instruction; never shown, but it divides texts."""
@@ -107,6 +130,7 @@ class _Builder(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self.end_text()
+        self.end_implied(tag)
         first_wins = {}
         for name, value in attrs:
             first_wins.setdefault(name, value or "")
@@ -115,6 +139,22 @@ class _Builder(HTMLParser):
         if tag not in VOID_TAGS:
             self.current = element
 
+    def end_open(self, ended, scope):
+        """End the outermost open element of ``ended`` below the nearest one of ``scope``."""
+        node, last = self.current, None
+        while node is not self.root and node.tag not in scope:
+            if node.tag in ended:
+                last = node
+            node = node.parent
+        if last is not None:
+            self.current = last.parent
+
+    def end_implied(self, tag):
+        if tag in _BLOCKS:
+            self.end_open({"p"}, _KEEPS_PARAGRAPH)
+        if tag in _ENDED_BY:
+            self.end_open(*_ENDED_BY[tag])
+
     def handle_startendtag(self, tag, attrs):
         parent = self.current
         self.handle_starttag(tag, attrs)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feedloom import functions as fn
+from feedloom.functions import tree
 
 
 def evaluate(spark, values, build):
@@ -34,7 +35,8 @@ AGES = {
     "5M": math.inf,
     "• 5m": math.inf,
     "now": math.inf,
-    "٣h": math.inf,
+    "٣h": 180,
+    "१२m": 12,
     "0m": 0,
     "23h •": 1380,
     "•\n5m": math.inf,
@@ -53,11 +55,11 @@ def test_age_minutes_matches_the_rule(spark):
     """The rule step by step: cut at the bullet, strip, read the prefix."""
 
     def rule(label):
-        found = re.match(r"([0-9]+)([mh])", re.sub(r"•.*$", "", label).strip())
+        found = re.match(r"(\d+)([mh])", re.sub(r"•.*$", "", label).strip())
         return math.inf if not found else float(found[1]) * (60 if found[2] == "h" else 1)
 
     rnd = random.Random(3)
-    labels = ["".join(rnd.choices("12mhd •\n\u00a0", k=rnd.randrange(9))) for _ in range(3000)]
+    labels = ["".join(rnd.choices("12٣mhd •\n\u00a0", k=rnd.randrange(9))) for _ in range(3000)]
     assert evaluate(spark, labels, fn.age_minutes) == [rule(label) for label in labels]
 
 
@@ -259,5 +261,23 @@ def test_links(spark):
     df = spark.createDataFrame(cases, "base string, href string, want string")
     assert df.where(~fn.absolute_url("base", "href").eqNullSafe(F.col("want"))).count() == 0
     html = ['<p><a name="n">x</a><a class="k" href="/in/a&amp;b">y</a>', "<p>no link</p>",
-            "<a href='/q'>z</a>", "<abbr href=\"/no\">z</abbr>"]
-    assert evaluate(spark, html, fn.first_href) == ["/in/a&b", None, "/q", None]
+            "<a href='/q'>z</a>", "<abbr href=\"/no\">z</abbr>", "<a href=foo>x</a>",
+            '<!-- <a href="/hid"> --><a href="/shown">x</a>', '<a href="/q?a=1&#38;b=2">x</a>',
+            '<b title="x>y"></b><a data-x="1>2" href="/k">x</a>', '<b title="<a href=\'/t\'>"></b><A HREF="/u">x</A>',
+            "<script>var t = '<a href=\"/s\">'</script><p>it's</p><a href=\"/v\">x</a>", None]
+    assert evaluate(spark, html, fn.first_href) == [
+        "/in/a&b", None, "/q", None, "foo", "/shown", "/q?a=1&b=2", "/k", "/u", "/v", None]
+
+
+def test_start_tags_end_open_elements():
+    def text(html, tag, nth=0):
+        found = [e for e in tree.parse(html).walk() if e.tag == tag]
+        return tree.spaced_text(found[nth])
+
+    assert text("<ul><li>a<p>b<li>c<ul><li>d<li>e</ul>f<li>g</ul>", "li", 1) == "c d e f"
+    assert text("<ul><li>a<p>b<li>c</ul>", "li") == "a b"
+    assert text("<p>a<b>b<div>c</div>d", "p") == "a b"
+    assert text("<dl><dt>a<dd>b<dt>c</dl>", "dd") == "b"
+    assert text("<table><tr><td>a<td>b<tr><td>c</table>", "tr") == "a b"
+    assert text("<select><option>a<option>b</select>", "option") == "a"
+    assert text("<li>a<button><p>b<p>c</button>d", "li") == "a b c d"
