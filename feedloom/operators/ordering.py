@@ -26,13 +26,18 @@ def in_feed_order(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.orderBy(seq)
 
 
-#: Containers of one page fit in this; a page is one string of less than 2^31 characters.
-PAGE_STRIDE = 1 << 26
+def feed_position(*place: str):
+    """Feed order of a container, as one column that compares by these columns in turn.
+
+    By default the page and the index there. Name the round, and the feed, before them where a
+    page is captured more than once: ``feed_position("round", "page_id", "container_idx")``.
+    """
+    return F.struct(*(place or ("page_id", "container_idx")))
 
 
-def feed_position(page: str = "page_id", index: str = "container_idx"):
-    """Feed order of a container from its page and its index there."""
-    fits = F.col(index) < PAGE_STRIDE
-    return F.when(fits, F.col(page) * F.lit(PAGE_STRIDE) + F.col(index)).otherwise(
-        F.raise_error(F.lit("too many containers on one page")).cast("bigint")
+def check_order(df: DataFrame, seq: str = "seq") -> DataFrame:
+    """The records, failing while they are read if two have the same place in the feed."""
+    again = df.groupBy(seq).count().where("count > 1").select(
+        F.raise_error(F.concat(F.lit("several records at "), F.to_json(F.struct(seq)))).cast("boolean").alias("_same")
     )
+    return df.join(F.broadcast(again.limit(1)), F.lit(True), "left").where("_same IS NULL").drop("_same")

@@ -1,4 +1,8 @@
-"""Pages and rounds: ranges, the first gap, stagnation, and what is new."""
+"""Pages and rounds: ranges, the first gap, stagnation, and what is new.
+
+Joins meet a table of one row per feed. Spark broadcasts it where it has seen that it is small;
+else a feed with a large share of the rows is split by the skew handling of adaptive execution.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.operators.numbering import number_rows
-from feedloom.operators.skew import join_groups, salt_of
 
 #: Rounds of a feed that are compared in one window.
 CHUNK_WIDTH = 65_536
@@ -56,8 +59,8 @@ def page_prefix(
 ) -> DataFrame:
     """The records of a feed up to its first missing page."""
     last = contiguous_pages(df.select(feed, page_no), feed, page_no, first)
-    kept = join_groups(df.where(F.col(page_no) >= first), last, feed, salt_of(df, page_no))
-    return kept.where(F.col(page_no) <= F.col("last_page")).select(*df.columns)
+    kept = df.where(F.col(page_no) >= first).join(last, feed)
+    return kept.where(F.col(page_no) <= F.col("last_page")).select(*[df[c] for c in df.columns])
 
 
 def stop_rounds(
@@ -96,15 +99,15 @@ def until_stopped(
     df: DataFrame, stops: DataFrame, feed: str = "feed", round_no: str = "round"
 ) -> DataFrame:
     """The records up to the stop round of their feed; all of a feed that never stops."""
-    kept = join_groups(df, stops, feed, salt_of(df, round_no), "left")
+    kept = df.join(stops, feed, "left")
     in_time = F.col("stop_round").isNull() | (F.col(round_no) <= F.col("stop_round"))
-    return kept.where(in_time).select(*df.columns)
+    return kept.where(in_time).select(*[df[c] for c in df.columns])
 
 
 def new_since(
     df: DataFrame, progress: DataFrame, feed: str = "feed", seq: str = "seq"
 ) -> DataFrame:
     """The records beyond those taken before; ``progress`` has the feed's ``next_seq``."""
-    kept = join_groups(df, progress.select(feed, "next_seq"), feed, salt_of(df, seq), "left")
+    kept = df.join(progress.select(feed, "next_seq"), feed, "left")
     unread = F.col("next_seq").isNull() | (F.col(seq) >= F.col("next_seq"))
-    return kept.where(unread).select(*df.columns)
+    return kept.where(unread).select(*[df[c] for c in df.columns])

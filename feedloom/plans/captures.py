@@ -17,6 +17,8 @@ CARDS_PER_PAGE = 25
 CARDS_PER_ROUND = 100
 PARTS_PER_PAGE = 50
 SITE = "https://feed.example"
+#: Read out after the age of a post, but not shown.
+AGO = "ago"
 
 
 # The given tables used here.
@@ -33,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     """Scan some columns of a given table."""
     scan = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet").select(*columns)
     wide = name in TEXT_TABLES and not {"text", "html"}.isdisjoint(columns)
-    return spread(scan, columns[0]) if wide else scan
+    return spread(scan) if wide else scan
 
 
 def rows_in(spark: SparkSession, sf_dir: str, name: str) -> int:
@@ -101,13 +103,15 @@ def card_html(mark: str = "class") -> Column:
         "author",
         F.lit(f'</span></span></span></a><span class="{v.TIME_CLASS}"><span aria-hidden="true">'),
         "time_posted",
-        F.lit(f'</span></span><div class="{v.DESCRIPTION_CLASS} {v.BODY_CLASS}"><p>'),
+        F.lit(f'</span><span class="{v.HIDDEN_CLASS}">{AGO}</span></span><div class="{v.DESCRIPTION_CLASS} {v.BODY_CLASS}"><p>'),
         _escaped("description"),
         F.lit(f"</p>{hidden}</div>"),
         F.when(F.col("has_view_job"), F.concat(F.lit(button), "job_link", F.lit('"></i>')))
         .otherwise(F.lit("")),
         F.lit('<button data-permalink="'),
         _escaped("post_link"),
+        F.lit('" data-kind="'),
+        "kind",
         F.lit('"></button></div>'),
     )
 

@@ -227,13 +227,14 @@ def first_per_link(spark, sf_dir):
 
 
 @query(
-    f"with {sql.POSTS}, h as (select post_link from posts where event_type = 'error') "
+    f"with {sql.POSTS}, h as (select post_link from posts where seq * 2 < (select count(*) from pages)) "
     "select seq, author, p.post_link from posts p anti join h on h.post_link = p.post_link "
     f"qualify row_number() over (partition by p.post_link order by seq) = 1"
 )
 def unseen_links(spark, sf_dir):
     posts = captures.posts(spark, sf_dir, link=True)
-    history = posts.where("event_type = 'error'")
+    # The links of the first posts; about half of all links come later.
+    history = posts.where(F.col("seq") * 2 < captures.rows_in(spark, sf_dir, "pages"))
     return dedup.first_unseen(posts.select("seq", "author", "post_link"), history, "post_link")
 
 
@@ -309,6 +310,15 @@ def soft_cap(spark, sf_dir):
     return limits.soft_cap(dedup.first_per_key(posts, "author"), soft=5, hard=60)
 
 
+@query(
+    f"with {sql.POSTS} select seq, author, time_posted from posts order by seq "
+    "limit (select count(*) // 2 from events)"
+)
+def cap_large(spark, sf_dir):
+    posts = captures.posts(spark, sf_dir).select("seq", "author", "time_posted")
+    return limits.cap(posts, captures.rows_in(spark, sf_dir, "events") // 2)
+
+
 @query(f"with {sql.POSTS} select seq, author, batch from posts where batch < 50")
 def cap_rounds(spark, sf_dir):
     posts = captures.posts(spark, sf_dir).select("seq", "author", "batch")
@@ -502,8 +512,7 @@ def _card_table(spark, sf_dir, rule, mark="class"):
 
 @query(
     f"with {sql.POSTS} select page_id, seq % 25 as container_idx, author, {DESCRIPTION_SQL} as description, "
-    f"rtrim(time_posted) as time_posted, post_link, page_id * {ordering.PAGE_STRIDE} + seq % 25 as feed_position "
-    "from posts"
+    "rtrim(time_posted) as time_posted, post_link, kind from posts"
 )
 def extract_posts(spark, sf_dir):
     return _feed_cards(spark, sf_dir, src.POST_CARD).select(
@@ -513,10 +522,30 @@ def extract_posts(spark, sf_dir):
         "description",
         "time_posted",
         "post_link",
-        ordering.feed_position().alias("feed_position"),
+        "kind",
     )
 
 
+@query(f"with {sql.POSTS} select page_id, author, rtrim(time_posted) as time_posted, {BY_AGE} from posts")
+def posts_by_age_from_pages(spark, sf_dir):
+    pages = captures.feed_pages(spark, sf_dir).where(may_hold(v.POST_CONTAINER))
+    cards = extract_cards(pages, src.POST_CARD).withColumn("seq", ordering.feed_position())
+    aged = ordering.with_age(cards).select("page_id", "seq", "author", "time_posted", "age_minutes")
+    return number_rows(aged, ["age_minutes", "seq"]).drop("age_minutes", "seq")
+
+
+@query(
+    f"with {sql.POSTS}, shown as (select r.round, posts.* from posts cross join (select unnest([0, 1]) as round) r) "
+    "select round, page_id, author, row_number() over (order by round, page_id, seq) - 1 as position from shown"
+)
+def order_over_rounds(spark, sf_dir):
+    pages = captures.feed_pages(spark, sf_dir).where(may_hold(v.POST_CONTAINER))
+    rounds = pages.withColumn("round", F.explode(F.array(F.lit(0), F.lit(1))))
+    cards = extract_cards(rounds, src.POST_CARD, keep=("round", "page_id"))
+    placed = cards.withColumn("seq", ordering.feed_position("round", "page_id", "container_idx"))
+    return number_rows(placed.select("round", "page_id", "author", "seq"), ["seq"]).drop("seq")
+
+
 @query(f"with {sql.POSTS} select page_id, seq, {DESCRIPTION_SQL} as description from posts")
 def extract_then_clean(spark, sf_dir):
     cards = _feed_cards(spark, sf_dir, src.POST_HTML_CARD)
@@ -526,7 +555,7 @@ def extract_then_clean(spark, sf_dir):
 
 @query(
     f"with {sql.POSTS} select page_id, seq, author, {DESCRIPTION_SQL} as description, "
-    "rtrim(time_posted) as time_line, post_link, has_view_job, "
+    f"concat(rtrim(time_posted), ' {captures.AGO}') as time_line, post_link, has_view_job, "
     "case when has_view_job then trim(job_link) end as job_link from posts"
 )
 def extract_job_branch(spark, sf_dir):
@@ -566,6 +595,39 @@ def extract_jobs(spark, sf_dir):
     return complete.drop("container_idx")
 
 
+@query(
+    f"with {sql.JOBS} select feed, page_no, job_title, location, company_name from jobs "
+    "where company_name is not null"
+)
+def extract_unclosed_jobs(spark, sf_dir):
+    """The same cards without end tags of items and paragraphs."""
+    pages = captures.job_pages(spark, sf_dir).withColumn("html", F.regexp_replace("html", "</li>", "<p>"))
+    cards = extract_cards(pages, src.JOB_CARD, keep=("feed", "page_no"))
+    complete = filters.accepted(
+        filters.check_required(cards, ["job_title", "location", "company_name"])
+    )
+    return complete.drop("container_idx")
+
+
+@query(
+    "select event_id as seq, concat('/in/', user_id, case when event_id % 3 = 2 then '?a=1&b=2' else '' end) as href "
+    "from events"
+)
+def odd_links(spark, sf_dir):
+    """First links that are unquoted, after a comment with another, or written with references."""
+    to = F.concat(F.lit("/in/"), "user_id")
+    html = (
+        F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("<p>it's <a href="), to, F.lit(">x</a>")))
+        .when(
+            F.col("event_id") % 3 == 1,
+            F.concat(F.lit('<!-- <a href="/hidden"> --><b title="1>0"></b><a href="'), to, F.lit('">x</a>')),
+        )
+        .otherwise(F.concat(F.lit('<a data-x="1" href="'), to, F.lit('?a=1&#38;b=2">x</a>')))
+    )
+    events = _read(spark, sf_dir, "events", "event_id", "user_id")
+    return events.select(F.col("event_id").alias("seq"), fn.first_href(html).alias("href"))
+
+
 HEADLINE_SQL = "regexp_extract(html, '<h1>(.*?)</h1>', 1, 's')"
 
 
@@ -701,14 +763,12 @@ def stream_stop_and_resume(spark, sf_dir):
     "select event_id, case when event_type = 'error' then 'missing: event_type' end as error from events"
 )
 def stream_quarantine(spark, sf_dir):
-    good, bad = shared_folder(spark, "good"), shared_folder(spark, "bad")
     kind = F.when(F.col("event_type") != "error", F.col("event_type"))
     followed = _followed(spark, sf_dir).withColumn("event_type", kind)
-    sink = stream.Quarantine(good, bad, ("event_type",), ("event_id",))
+    sink = stream.Quarantine(shared_folder(spark, "checked"), ("event_type",), ("event_id",))
     stream.write_rounds(followed, sink, shared_folder(spark, "checkpoint"))
-    rejects = T.StructType([EVENTS["event_id"], T.StructField("error", T.StringType())])
-    passed = stream.read_rounds(spark, good, EVENTS).select("event_id", F.lit(None).cast("string").alias("error"))
-    return passed.unionByName(stream.read_rounds(spark, bad, rejects).drop("round"))
+    passed = sink.accepted(spark, EVENTS).select("event_id", F.lit(None).cast("string").alias("error"))
+    return passed.unionByName(sink.rejected(spark, EVENTS))
 
 
 @query(
@@ -716,39 +776,48 @@ def stream_quarantine(spark, sf_dir):
     "rtrim(time_posted) as time_posted, post_link from posts"
 )
 def stream_extract(spark, sf_dir):
-    path, good, bad = (shared_folder(spark, name) for name in ("captured", "good", "bad"))
+    path = shared_folder(spark, "captured")
     captures.feed_pages(spark, sf_dir).repartition(FEED_FILES, "page_id").write.parquet(path)
     pages = stream.read_feed(spark, path, v.CAPTURED_PAGES, files_per_round=4)
     cards = extract_cards(pages.where(may_hold(v.POST_CONTAINER)), src.POST_CARD)
-    sink = stream.Quarantine(good, bad, ("author", "post_link"), ("page_id", "container_idx"))
+    required, keys = ("author", "post_link"), ("page_id", "container_idx")
+    sink = stream.Quarantine(shared_folder(spark, "checked"), required, keys)
     stream.write_rounds(cards, sink, shared_folder(spark, "checkpoint"))
-    written = stream.read_rounds(spark, good, cards.drop("error").schema).drop("round")
+    written = sink.accepted(spark, cards.schema).drop("round", "kind")
     return written.withColumn("container_idx", F.col("container_idx").cast("bigint"))
 
 
+#: The page behind a job button.
+JOB_PAGE = CardRule(Match(css_class="job"), {"job_description": Field(((Match(tag="h1"),),))})
+
 # ---- whole jobs -------------------------------------------------------------------------------
 
 
-def _search(spark, sf_dir, **conditions):
-    return jobs.Search(as_of=captures.latest(spark, sf_dir), **conditions)
+def _cards(spark, sf_dir, rule=src.POST_CARD):
+    """Cards taken from captured pages, with the round that showed them."""
+    cards = _card_table(spark, sf_dir, rule)
+    return cards.withColumn("round", F.expr(f"seq div {captures.CARDS_PER_ROUND}"))
 
 
-def _cards(spark, sf_dir):
-    posts = captures.posts(spark, sf_dir, text=True, link=True)
-    return posts.withColumn("round", F.col("batch"))
+#: What a job shows of a post: cleaned text, and the age without the spaces around it.
+SHOWN_SQL = (
+    f"author, {DESCRIPTION_SQL} as description, rtrim(time_posted) as time_posted, post_link, seq"
+)
+AGE_SQL = f"{sql.minutes('time_posted')} <= 1440"
 
 
 @query(
-    f"with {sql.POSTS} select author, {DESCRIPTION_SQL} as description, rtrim(time_posted) as time_posted, "
-    f"post_link, seq, {BY_AGE} from posts where {SEARCH_SQL}"
+    f"with {sql.POSTS} select {SHOWN_SQL}, {BY_AGE} from posts where {SEARCH_SQL} and {AGE_SQL} and kind = 'post'"
 )
 def recent_posts_sorted(spark, sf_dir):
-    cards = _card_table(spark, sf_dir, src.POST_CARD)
-    return jobs.recent_posts_sorted(cards, jobs.Search(query=SEARCH), numbered=True)
+    search = jobs.Search(query=SEARCH, kind="post", hours=24)
+    found = jobs.recent_posts_sorted(_cards(spark, sf_dir), search, numbered=True)
+    path = export.export_versioned(found, f"{shared_folder(spark, 'recent')}/file", ".parquet")
+    return spark.read.schema(found.schema).parquet(path)
 
 
 @query(
-    f"with {sql.POSTS} select {POST_SQL}, {BY_AGE} from (select * from posts where kind = 'post' "
+    f"with {sql.POSTS} select {SHOWN_SQL}, {BY_AGE} from (select * from posts where kind = 'post' "
     "and batch < 110 order by seq limit 100)"
 )
 def capped_posts_sorted(spark, sf_dir):
@@ -758,7 +827,7 @@ def capped_posts_sorted(spark, sf_dir):
 
 
 @query(
-    f"with {sql.POSTS} select {POST_SQL}, {BY_SEQ} from posts where kind = 'post' and {SEARCH_SQL}"
+    f"with {sql.POSTS} select {SHOWN_SQL}, {BY_SEQ} from posts where kind = 'post' and {SEARCH_SQL}"
 )
 def all_posts(spark, sf_dir):
     search = jobs.Search(query=SEARCH, kind="post")
@@ -766,10 +835,10 @@ def all_posts(spark, sf_dir):
 
 
 @query(
-    f"with {sql.POSTS} select {POST_SQL}, {BY_AGE} from posts where kind = 'post' and {RECENT_SQL}"
+    f"with {sql.POSTS} select {SHOWN_SQL}, {BY_AGE} from posts where kind = 'post' and {AGE_SQL}"
 )
 def all_posts_sorted(spark, sf_dir):
-    search = _search(spark, sf_dir, kind="post", hours=24)
+    search = jobs.Search(kind="post", hours=24)
     return jobs.all_posts_sorted(_cards(spark, sf_dir), search, numbered=True)
 
 
@@ -784,12 +853,51 @@ def all_posts_compact(spark, sf_dir):
 
 
 @query(
-    f"with {sql.POSTS} select {POST_SQL} from posts where {SEARCH_SQL} and batch < 70 order by seq limit 60"
+    f"with {sql.POSTS} select {SHOWN_SQL} from posts where {SEARCH_SQL} and batch < 70 order by seq limit 60"
 )
 def capped_posts(spark, sf_dir):
     return jobs.capped_posts(_cards(spark, sf_dir), jobs.Search(query=SEARCH))
 
 
+@query(f"with {sql.POSTS} select page_id, count(*) as containers from posts group by page_id")
+def post_counts(spark, sf_dir):
+    return jobs.page_counts(_card_table(spark, sf_dir, src.LINK_CARD))
+
+
+#: Markup that no reader accepts.
+BROKEN = "<![broken"
+
+
+@query(
+    f"with {sql.POSTS} select page_id, cast(-1 as bigint) as container_idx, 'AssertionError' as error from posts "
+    "where page_id % 10 = 3 group by page_id "
+    "union all select page_id, seq % 25, 'missing: time_posted' from posts where page_id % 10 <> 3 and value < 10"
+)
+def job_errors(spark, sf_dir):
+    pages = captures.feed_pages(spark, sf_dir)
+    html = F.when(F.col("page_id") % 10 == 3, F.concat(F.lit(BROKEN), "html")).otherwise(F.col("html"))
+    cards = extract_cards(pages.withColumn("html", html), src.POST_CARD)
+    values = captures.posts(spark, sf_dir).select(
+        F.col("page_id").alias("of_page"), (F.col("seq") % captures.CARDS_PER_PAGE).alias("at"), "value"
+    )
+    there = (F.col("page_id") == F.col("of_page")) & (F.col("container_idx") == F.col("at"))
+    partial = cards.join(values, there, "left").withColumn(
+        "time_posted", F.when(F.col("value") >= 10, F.col("time_posted"))
+    )
+    left_out = jobs.incomplete(partial, v.POST)
+    # A page that was not read has no containers.
+    return left_out.withColumn("container_idx", F.coalesce("container_idx", F.lit(-1)).cast("bigint"))
+
+
+@query(f"with {sql.POSTS} select author as \"Author\", description as \"Description\", time_posted as \"Time Posted\", "
+       "post_link as \"Post Link\" from posts where author = 'nobody'")
+def empty_feed(spark, sf_dir):
+    none = captures.posts(spark, sf_dir, text=True, link=True).where("author = 'nobody'")
+    path = shared_folder(spark, "empty")
+    export.export(export.shown(jobs.all_posts(none), v.POST), path)
+    return export.read_export(spark, path, v.POST)
+
+
 @query(f"with {sql.POSTS} select post_link, seq, {BY_SEQ} from posts")
 def post_links(spark, sf_dir):
     return jobs.post_links(_card_table(spark, sf_dir, src.LINK_CARD), numbered=True)
@@ -810,18 +918,28 @@ def profile_posts(spark, sf_dir):
 
 @query(
     f"with {sql.POSTS}, d as (select author, case when has_view_job then concat('Job of ', author) "
-    "else description end as description, time_posted, post_link, seq from posts "
+    f"else concat({DESCRIPTION_SQL}, ' hashtag') end as description, rtrim(time_posted) as time_posted, "
+    "post_link, seq from posts "
     f"where batch < 50 order by seq limit 50) select *, {BY_AGE} from d"
 )
 def posts_with_job_branch(spark, sf_dir):
-    cards = _cards(spark, sf_dir).withColumn(
-        "job_description", F.concat(F.lit("Job of "), "author")
+    cards = _cards(spark, sf_dir, src.JOB_BRANCH_CARD)
+    # The pages behind the buttons, captured by their link.
+    job_pages = captures.posts(spark, sf_dir).where("has_view_job").select(
+        fn.strip("job_link").alias("page_link"),
+        F.concat(F.lit('<div class="job"><h1>Job of '), "author", F.lit("</h1></div>")).alias("html"),
+    )
+    described = extract_cards(job_pages, JOB_PAGE, keep=("page_link",))
+    joined = cards.join(
+        described.select("page_link", "job_description"),
+        fn.strip("job_link") == F.col("page_link"),
+        "left",
     )
-    return jobs.posts_with_job_branch(cards, numbered=True)
+    return jobs.posts_with_job_branch(joined, numbered=True)
 
 
 @query(
-    f"with {sql.POSTS} select author, post_link, rtrim(time_posted) as time_posted, "
+    f"with {sql.POSTS} select author, post_link, concat(rtrim(time_posted), ' {captures.AGO}') as time_posted, "
     f"case when has_view_job then trim(job_link) else concat({DESCRIPTION_SQL}, ' hashtag') end as content, seq "
     "from posts order by seq limit 20"
 )

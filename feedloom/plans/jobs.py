@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from feedloom import vocabulary as v
 from feedloom.functions.links import absolute_url
@@ -30,6 +31,7 @@ from feedloom.operators.filters import (
     non_empty,
     of_kind,
     posted_within,
+    rejected,
 )
 from feedloom.operators.limits import cap, first_rounds, soft_cap
 from feedloom.operators.numbering import number_rows
@@ -157,6 +159,14 @@ def post_links(cards: DataFrame, numbered: bool = False) -> DataFrame:
     return _feed_order(_complete(cards, v.LINK_ONLY), v.LINK_ONLY, numbered)
 
 
+def incomplete(cards: DataFrame, columns, keys=("page_id", "container_idx")) -> DataFrame:
+    """The error table of a job: where cards and pages are that it left out, and why.
+
+    ``columns`` is the column list of the job, as ``POST``.
+    """
+    return rejected(check_required(cards, _names(columns)), keys)
+
+
 def page_counts(cards: DataFrame) -> DataFrame:
     """How many containers each page showed."""
     return containers_per_page(cards)
@@ -197,8 +207,11 @@ def posts_with_job_branch(
 def job_or_post_content(
     cards: DataFrame, search: Search = Search(), posts: int = 20, rounds: int = 50
 ) -> DataFrame:
-    """Job link or description as content, ``N/A`` for missing fields; capped in feed order."""
-    early = first_rounds(search.before_text(cards), rounds)
+    """Job link or description as content, ``N/A`` for missing fields; capped in feed order.
+
+    The time is all of the card's time line, what is only read out included.
+    """
+    early = first_rounds(search.before_text(cards), rounds).withColumn("time_posted", F.col("time_line"))
     filled = with_defaults(early, ["author", "post_link", "time_posted"])
     found = non_empty(with_content(search.on_text(filled)))
     return _feed_order(cap(found, posts), v.VIEW_JOB_POST, False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from feedloom import vocabulary as v
 from feedloom.operators.extract import CardRule, Field, Match
@@ -38,6 +39,8 @@ FIRST_LINK = Field(((Match(tag="a", has_attr=("href",)),),), take="@href")
 #: The permalink travels with the captured card, as do the links behind its buttons.
 PERMALINK = Field(((Match(has_attr=("data-permalink",)),),), take="@data-permalink")
 JOB_LINK = Field(((Match(has_attr=("data-job-link",)),),), take="@data-job-link")
+#: ``post`` or ``job``, as the search that showed the card had it.
+KIND = Field(((Match(has_attr=("data-kind",)),),), take="@data-kind")
 
 _POST_CONTAINER = Match(css_class=v.POST_CONTAINER)
 
@@ -45,6 +48,7 @@ _POST_FIELDS = {
     "author": AUTHOR_VISIBLE,
     "time_posted": TIME_VISIBLE,
     "post_link": PERMALINK,
+    "kind": KIND,
 }
 
 #: Posts with the description cleaned.
@@ -64,6 +68,7 @@ PLAIN_POST_CARD = CardRule(
         "description": BODY_TEXT,
         "time_posted": TIME_VISIBLE,
         "post_link": PERMALINK,
+        "kind": KIND,
     },
 )
 
@@ -104,17 +109,19 @@ JOB_CARD = CardRule(
 )
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that makes fewer tasks than the session has cores over all of them.
+def spread(table: DataFrame) -> DataFrame:
+    """Even out a table of long texts over the tasks of the session.
 
-    For work on long texts, which would otherwise run in one task. Larger tables are left as
-    they are split. Give the plain scan only: its number of tasks is known without running it.
+    For work on long texts, whose files may be few and uneven. Rows are dealt by all they hold,
+    so the rows of one feed, host or page number spread.
     """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+    return table.repartition(*[F.xxhash64(*table.columns)])
 
 
 def read_pages(spark: SparkSession, path: str, *columns: str) -> DataFrame:
-    """Captured pages ready for extraction; the first column names the page."""
-    columns = columns or ("page_id", "url", "html")
-    return spread(spark.read.parquet(path).select(*columns), columns[0])
+    """Captured pages ready for extraction, in the tasks that the files make.
+
+    ``spark.sql.files.maxPartitionBytes`` sets the size of those; :func:`spread` evens out files
+    that are few and uneven.
+    """
+    return spark.read.parquet(path).select(*(columns or ("page_id", "url", "html")))

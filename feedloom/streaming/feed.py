@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from feedloom.operators.dedup import first_unseen
 from feedloom.operators.filters import accepted, check_required, rejected
 
 ROUND = "round"
+REJECTED = "rejected"
 
 
 def read_feed(
@@ -72,11 +73,12 @@ def write_rounds(
     The round after the last one is refused before it is committed, so that a later run with
     the same checkpoint starts with it.
     """
-    done = 0
+    done, stopped = 0, False
 
     def step(records: DataFrame, round_no: int) -> None:
-        nonlocal done
+        nonlocal done, stopped
         if rounds is not None and done >= rounds:
+            stopped = True
             raise RoundLimit
         write(records, round_no)
         done += 1
@@ -89,8 +91,8 @@ def write_rounds(
     )
     try:
         query.awaitTermination()
-    except StreamingQueryException as problem:
-        if RoundLimit.__name__ not in str(problem):
+    except StreamingQueryException:
+        if not stopped:
             raise
 
 
@@ -123,17 +125,31 @@ class FirstSeen:
 
 
 class Quarantine:
-    """Write complete records to one table, and where and why others failed to a second."""
+    """Write checked records in one pass, those that are complete apart from those that are not.
 
-    def __init__(self, path: str, rejects: str, required: tuple[str, ...], keys: tuple[str, ...]):
-        self.path, self.rejects, self.required, self.keys = path, rejects, required, keys
+    A round replaces its own folder. :meth:`accepted` gives the complete records, :meth:`rejected`
+    where and why others failed.
+    """
+
+    def __init__(self, path: str, required: tuple[str, ...], keys: tuple[str, ...]):
+        self.path, self.required, self.keys = path, required, keys
 
     def __call__(self, records: DataFrame, round_no: int) -> None:
-        checked = check_required(records, self.required).persist()
-        try:
-            accepted(checked).write.mode("overwrite").parquet(round_folder(self.path, round_no))
-            rejected(checked, self.keys).write.mode("overwrite").parquet(
-                round_folder(self.rejects, round_no)
-            )
-        finally:
-            checked.unpersist()
+        checked = check_required(records, self.required)
+        rows = checked.withColumn(REJECTED, F.col("error").isNotNull())
+        rows.write.mode("overwrite").partitionBy(REJECTED).parquet(round_folder(self.path, round_no))
+
+    def _written(self, spark: SparkSession, schema: StructType, bad: bool) -> DataFrame:
+        fields = [f for f in schema.fields if f.name != "error"]
+        extra = [StructField("error", StringType()), StructField(REJECTED, BooleanType())]
+        rows = read_rounds(spark, self.path, StructType([*fields, *extra]))
+        return rows.where(F.col(REJECTED) == bad).drop(REJECTED)
+
+    def accepted(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        """The complete records of all rounds, with their round."""
+        return accepted(self._written(spark, schema, False))
+
+    def rejected(self, spark: SparkSession, schema: StructType) -> DataFrame:
+        """The keys and errors of the others."""
+        return rejected(self._written(spark, schema, True), self.keys)
+

@@ -276,5 +276,10 @@ def test_feed_position(spark):
     df = frame(spark, [(2, 1), (1, 5), (1, 0)], "page_id bigint, container_idx int")
     ordered = df.withColumn("seq", ordering.feed_position()).orderBy("seq")
     assert [(r.page_id, r.container_idx) for r in ordered.collect()] == [(1, 0), (1, 5), (2, 1)]
-    with pytest.raises(Exception, match="too many containers"):
-        frame(spark, [(1, 1 << 26)], "page_id bigint, container_idx int").select(ordering.feed_position()).collect()
+    twice = frame(spark, [(1, 7, 0), (0, 7, 1), (1, 7, 1), (0, 7, 0)], "round int, page_id bigint, container_idx int")
+    placed = twice.withColumn("seq", ordering.feed_position("round", "page_id", "container_idx"))
+    rows = number_rows(ordering.check_order(placed), ["seq"]).collect()
+    assert [(r["round"], r.container_idx) for r in sorted(rows, key=lambda r: r.position)] == [(0, 0), (0, 1), (1, 0), (1, 1)]
+    assert sorted((r["round"], r.container_idx) for r in limits.cap(placed, 3).collect()) == [(0, 0), (0, 1), (1, 0)]
+    with pytest.raises(Exception, match="several records"):
+        ordering.check_order(twice.withColumn("seq", ordering.feed_position())).collect()
