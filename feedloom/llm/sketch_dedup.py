@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.llm.components import components
@@ -20,6 +20,11 @@ COORDINATES = 128
 #: chance of 5 in a million, and more alike ones with less.
 BAND_ROWS = 4
 
+#: Bits of the map of a set that bounds likeness from above, and members of a bucket that are
+#: compared in one task.
+MAP_BITS = 4096
+BLOCK = 2048
+
 
 def fast_sketch(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     """Sketches of non-empty sets, one row of ``t`` values each.
@@ -79,11 +84,19 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     pa.array([p[0] for p in pairs], pa.int64()),
                     pa.array([p[1] for p in pairs], pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array([bit_map(s) for s in sets], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "bands"],
+                ["doc_id", "n_shingles", "d1", "d2", "bands", "map"],
             )
 
 
+def bit_map(values: np.ndarray) -> bytes:
+    """A bit for each value of a set, by hash; values may share bits."""
+    bits = np.zeros(MAP_BITS, bool)
+    bits[(values >> np.uint64(40)) % np.uint64(MAP_BITS)] = True
+    return np.packbits(bits).tobytes()
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in pieces(batch.column(1)):
@@ -114,8 +127,14 @@ def _verified(percent: int):
     return verify
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those pairs ``a``, ``b`` whose full sets are alike enough."""
+def _links(pairs: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Those pairs ``a``, ``b`` whose full sets are alike enough; the sets are made here."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    # The list of nodes grows with the corpus, so it is never broadcast to meet the texts.
+    texts = docs.join(nodes.hint("merge"), "doc_id", "left_semi")
+    sets = staged(
+        texts.mapInArrow(_sets, "node long, hashes binary").where("length(hashes) > 0"), "sets"
+    )
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("right"))
     return (
@@ -126,6 +145,76 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _possible(percent: int, best: bool):
+    """Pairs in a block of a bucket that may be alike enough, between different components.
+
+    A bit that only one of two maps has stands for a value that only one of two sets has, so
+    the maps bound the number of shared values from above. With ``best`` each member gives its
+    most promising partner in each other component, else all partners that the bound allows.
+    """
+
+    def run(ours: pa.Table, others: pa.Table) -> pa.Table:
+        def read(table: pa.Table, prefix: str = "") -> tuple[np.ndarray, ...]:
+            maps = b"".join(x.as_py() for x in table.column(f"{prefix}map"))
+            columns = [table.column(prefix + c).to_numpy() for c in ("node", "n", "component")]
+            return *columns, np.frombuffer(maps, np.uint64).reshape(-1, MAP_BITS // 64)
+
+        node, n, component, maps = read(ours)
+        other, m, of_other, other_maps = read(others, "other_")
+        found: list[np.ndarray] = [np.empty((0, 2), np.int64)]
+        for i in range(len(node)):
+            mine = n[i] - np.bitwise_count(maps[i] & ~other_maps).sum(axis=1, dtype=np.int64)
+            theirs = m - np.bitwise_count(other_maps & ~maps[i]).sum(axis=1, dtype=np.int64)
+            shared = np.minimum(mine, theirs)
+            union = n[i] + m - shared
+            fits = np.flatnonzero((100 * shared >= percent * union) & (of_other != component[i]))
+            if best and len(fits):
+                ranked = fits[np.lexsort((-shared[fits] / union[fits], of_other[fits]))]
+                fits = ranked[np.unique(of_other[ranked], return_index=True)[1]]
+            found.append(np.stack((np.full(len(fits), node[i]), other[fits]), axis=1))
+        pairs = np.sort(np.concatenate(found), axis=1)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
+def _open_pairs(entries: DataFrame, of: DataFrame, maps: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Candidates between different components of a bucket.
+
+    Members outside the largest component of a bucket are compared with all members, in blocks
+    of bounded size; nothing is made of pairs that cannot be alike enough.
+    """
+    member = entries.join(of, "node", "left").select(
+        "key", "members", "node", "n", F.coalesce("component", "node").alias("component")
+    )
+    split = (
+        member.groupBy("key", "component")
+        .agg(F.count("*").alias("size"))
+        .groupBy("key")
+        .agg(F.max_by("component", "size").alias("main"), F.count("*").alias("components"))
+        .where("components > 1")
+        .select("key", "main")
+    )
+    live = member.join(split, "key").join(maps, "node")
+    blocks = F.ceil(F.col("members") / BLOCK)
+    each = F.sequence(F.lit(0).cast("long"), blocks - 1)
+    own = F.pmod(F.xxhash64("node"), blocks)
+    columns = ["node", "n", "component", "map"]
+    renamed = [F.col(c).alias(f"other_{c}") for c in columns]
+    ours = live.where("component <> main").select(
+        "key", own.alias("row"), F.explode(each).alias("column"), *columns
+    )
+    others = live.select(
+        F.col("key").alias("other_key"), F.explode(each).alias("other_row"), own.alias("other_column"), *renamed
+    )
+    return (
+        ours.groupBy("key", "row", "column")
+        .cogroup(others.groupBy("other_key", "other_row", "other_column"))
+        .applyInArrow(_possible(percent, best), "a long, b long")
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 75
 ) -> DataFrame:
@@ -137,10 +226,11 @@ def near_duplicates(
 
     Equal sets are one class from the start, so copies of any number are one node. Classes that
     share a band are candidates. In a bucket, first the least member is held against all others,
-    which joins most buckets to one component; only where several components remain, more
-    members follow, four times as many in each round, until the bucket is one component or all
-    its members had their turn. So no pair of candidates in different components is left out,
-    and buckets whose members belong together never make all pairs.
+    which joins most buckets to one component. Where several components remain, members outside
+    the largest one are held against all others, in blocks and by bit maps that bound their
+    likeness: first the most promising pair with each other component goes to verification,
+    then every pair that the bound allows and that is still not linked. So no pair of candidates
+    in different components is left out, but what belongs together never makes all pairs.
 
     Null or empty texts have no shingles: they are linked with nothing and kept. Rows of one
     ``doc_id`` are one document. Rows without ``doc_id`` are linked with nothing and kept, with
@@ -149,31 +239,36 @@ def near_duplicates(
     pairs_of = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sketched = staged(
         pairs_of.mapInArrow(
-            _sketches, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"
+            _sketches, "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>, map binary"
         ),
         "sketches",
     )
     linkable = sketched.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = linkable.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
-    first = linkable.join(
-        classes.withColumnRenamed("node", "doc_id"), ["d1", "d2", "doc_id"], "left_semi"
+    classes = staged(
+        linkable.groupBy("d1", "d2").agg(
+            F.min("doc_id").alias("node"),
+            F.first("n_shingles").alias("n"),
+            F.first("bands").alias("bands"),
+            F.first("map").alias("map"),
+        ),
+        "classes",
     )
-    entries = first.select(
-        F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), F.explode("bands").alias("key")
-    ).distinct()
+    entries = classes.select("node", "n", F.explode("bands").alias("key"))
     buckets = (
         entries.groupBy("key")
-        .agg(F.count("*").alias("members"), F.min("node").alias("leader"))
+        .agg(
+            F.count("*").alias("members"),
+            F.min("node").alias("leader"),
+            F.bit_xor(F.xxhash64("node")).alias("s1"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"),
+        )
         .where("members > 1")
+        # Buckets of the same members are one.
+        .groupBy("members", "leader", "s1", "s2")
+        .agg(F.min("key").alias("key"))
+        .select("key", "members", "leader")
     )
-    entries = staged(entries.join(buckets, "key").drop("members"), "buckets")
-    shared = entries.select(F.col("node").alias("doc_id")).distinct()
-    sets = staged(
-        pairs_of.join(shared, "doc_id", "left_semi")
-        .mapInArrow(_sets, "node long, hashes binary")
-        .where("length(hashes) > 0"),
-        "sets",
-    )
+    entries = staged(entries.join(buckets, "key"), "buckets")
     close_sizes = f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
     sizes = entries.select(F.col("node").alias("leader"), F.col("n").alias("m")).distinct()
@@ -186,46 +281,18 @@ def near_duplicates(
         .select(F.col("leader").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    links = staged(_links(pairs, sets, percent), "links")
+    tested = staged(pairs, "pairs")
+    links = staged(_links(tested, pairs_of, percent), "links")
     of = staged(components(links), "components")
-    seen, width = 1, 4
-    while True:
-        member = entries.join(of, "node", "left").select(
-            "key", "node", "n", F.coalesce("component", "node").alias("component")
-        )
-        split = (
-            member.groupBy("key")
-            .agg(
-                F.min("component").alias("lo"),
-                F.max("component").alias("hi"),
-                F.count("*").alias("members"),
-            )
-            .where(f"lo <> hi AND members > {seen}")
-            .select("key")
-        )
-        rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        member = staged(member.join(split, "key", "left_semi").withColumn("rank", rank), "split")
-        if member.isEmpty():
-            break
-        turn = member.where(F.col("rank").between(seen + 1, seen + width)).select(
-            "key",
-            F.col("node").alias("a"),
-            F.col("n").alias("m"),
-            F.col("component").alias("of_a"),
-            F.col("rank").alias("rank_a"),
-        )
-        pairs = (
-            turn.join(member, "key")
-            .where("component <> of_a AND rank > rank_a")
-            .where(close_sizes)
-            .select("a", F.col("node").alias("b"))
-            .distinct()
-        )
-        found = staged(_links(pairs, sets, percent), "links")
+    maps = classes.select("node", "map")
+    for best in (True, False):
+        pairs = _open_pairs(entries, of, maps, percent, best).join(tested, ["a", "b"], "left_anti")
+        pairs = staged(pairs, "pairs")
+        found = staged(_links(pairs, pairs_of, percent), "links")
         if not found.isEmpty():
             links = staged(links.union(found), "links")
             of = staged(components(links), "components")
-        seen, width = seen + width, width * 4
+        tested = tested.union(pairs)
 
     members = classes.join(of, "node", "left").select(
         "d1", "d2", F.coalesce("component", "node").alias("component")
