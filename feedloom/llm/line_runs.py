@@ -106,7 +106,9 @@ def _merged(runs: list[DataFrame]) -> DataFrame:
     together = runs[0]
     for run in runs[1:]:
         together = together.union(run)
-    return together.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("owner").alias("owner"))
+    # Said outright, as a union of bucketed tables may be taken for one that is already dealt.
+    dealt = together.repartition("h1", "h2")
+    return dealt.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("owner").alias("owner"))
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +165,8 @@ def drop_repeated_lines(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    cuts = rows.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
+    shares = [i / batches for i in range(1, batches)]
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, 1000)).first()[0] or [] if shares else []
     above = sum((F.coalesce(F.col("doc_id") > c, F.lit(False)).cast("int") for c in cuts), F.lit(0))
     lines = staged(
         rows.mapInArrow(_keys, "doc_id long, h1 long, h2 long").withColumn("batch", above),
