@@ -152,7 +152,7 @@ def _less(*keys: np.ndarray) -> np.ndarray:
 def _cut_by(key: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
     order = np.argsort(key, kind="stable")
     values, first = np.unique(key[order], return_index=True)
-    stops = np.append(first[1:], len(key))
+    stops = np.append(first, len(key))[1:]
     return order, list(zip(values.tolist(), first.tolist(), stops.tolist(), strict=True))
 
 
