@@ -60,10 +60,12 @@ def fingerprint_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The packed bits of each text of a piece, and which texts have words."""
     sets = shingle_sets(column)
     some = np.array([len(s) > 0 for s in sets], dtype=bool)
-    low = (bins([s for s in sets if len(s)]) & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+    # Bits are drawn anew in each bin, so that bins filled with one value differ by chance alone.
+    values = mix(bins([s for s in sets if len(s)]) ^ mix(np.arange(BINS, dtype=np.uint64), 13), 17)
+    low = (values & np.uint64((1 << BITS) - 1)).astype(np.uint8)
     bits = (low[:, :, None] >> np.arange(BITS - 1, -1, -1, dtype=np.uint8)) & 1
     packed = np.zeros((len(sets), BINS * BITS // 8), np.uint8)
-    packed[some] = np.packbits(bits.reshape(len(low), -1), axis=1)
+    packed[some] = np.packbits(bits.reshape(len(low), BINS * BITS), axis=1)
     return packed, some
 
 
