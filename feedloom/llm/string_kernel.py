@@ -165,8 +165,9 @@ def _parts(words: list[str]) -> tuple[np.ndarray, list[str]]:
 def decisions(words: list[str], weights: np.ndarray, constant: float) -> np.ndarray:
     """The machine's decision for each word, at least FLOOR.
 
-    Long words count by their best part. Norms are only worked out where the decision could be
-    over FLOOR at the least norm of a word of that length.
+    Long words count by their best part; words whose weights do not add up to more than nothing
+    get FLOOR. Norms are only worked out where the decision could be over FLOOR at the least norm
+    of a word of that length.
     """
     owner, parts = _parts(words)
     best = np.full(len(parts), FLOOR)
@@ -176,7 +177,7 @@ def decisions(words: list[str], weights: np.ndarray, constant: float) -> np.ndar
         total = np.zeros(len(group))
         for codes, weight in _subsequences(group):
             total += weight * weights[codes].sum(axis=1)
-        near = np.flatnonzero(total / least_norm(n) + constant > FLOOR)
+        near = np.flatnonzero((total > 0) & (total / least_norm(n) + constant > FLOOR))
         if len(near):
             norm = norms([group[i] for i in near])
             best[rows[near]] = np.maximum(total[near] / norm + constant, FLOOR)
