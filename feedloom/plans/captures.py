@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feedloom import vocabulary as v
 from feedloom.functions.age import age_label
+from feedloom.session import shared_folder
 from feedloom.sources.pages import spread
 
 CARDS_PER_PAGE = 25
@@ -124,8 +125,24 @@ def _on_pages(cards: DataFrame, keys: list[str], index: str, before: str, after:
     )
 
 
+_CAPTURED: dict[tuple[str, str, str], str] = {}
+
+
 def feed_pages(spark: SparkSession, sf_dir: str, mark: str = "class") -> DataFrame:
-    """Captured result pages with post cards: ``page_id, url, html``."""
+    """Captured result pages with post cards: ``page_id, url, html``.
+
+    A capture is a table that is there before a job starts, so it is written once per session.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, mark)
+    made = _made_pages(spark, sf_dir, mark)
+    if key not in _CAPTURED:
+        path = shared_folder(spark, "captured-pages")
+        made.write.parquet(path)
+        _CAPTURED[key] = path
+    return spark.read.schema(made.schema).parquet(_CAPTURED[key])
+
+
+def _made_pages(spark: SparkSession, sf_dir: str, mark: str) -> DataFrame:
     cards = posts(spark, sf_dir, text=True, link=True).withColumn("card", card_html(mark))
     pages = _on_pages(
         cards,
