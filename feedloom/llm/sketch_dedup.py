@@ -38,7 +38,7 @@ def fast_sketch(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     empty = np.uint64(2**64 - 1)
     out = np.full((len(sets), t), empty)
     flat = out.reshape(-1)
-    sizes = np.array([len(s) for s in sets])
+    sizes = np.array([len(s) for s in sets], np.int64)
     elements = np.concatenate(sets) if sets else np.empty(0, np.uint64)
     owner = np.repeat(np.arange(len(sets)), sizes)
     open_ = np.ones(len(sets), dtype=bool)
