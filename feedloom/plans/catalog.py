@@ -701,6 +701,8 @@ def row_count_report(spark, sf_dir):
 
 # ---- streams ----------------------------------------------------------------------------------
 
+#: Records in a file of a feed, and the least number of files.
+FILE_ROWS = 50_000
 FEED_FILES = 8
 EVENTS = T.StructType(
     [
@@ -717,7 +719,8 @@ def _followed(spark, sf_dir):
     path = shared_folder(spark, "feed")
     events = _read(spark, sf_dir, "events", "event_id", "user_id", "event_type", "ts")
     columns = ["event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("posted_at")]
-    events.select(*columns).repartition(FEED_FILES, "event_id").write.parquet(path)
+    files = max(FEED_FILES, captures.rows_in(spark, sf_dir, "events") // FILE_ROWS)
+    events.select(*columns).repartition(files, "event_id").write.parquet(path)
     return stream.read_feed(spark, path, EVENTS, files_per_round=2)
 
 
