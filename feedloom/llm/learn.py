@@ -48,7 +48,7 @@ def fit_svm(
     ``y`` is 1 or -1; the loss is the squared hinge, minimised by Newton steps over the vectors
     inside the margin.
     """
-    x = np.hstack([x, np.ones((len(x), 1))])
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     out = np.zeros(x.shape[1])
     ridge = np.ones(x.shape[1])
     ridge[-1] = 1e-3

@@ -123,7 +123,7 @@ class Landmarks:
             self.table[self.row[code], m] += value
 
     def kernel(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), len(self.words)))
+        out = np.zeros((len(words), len(self.words)), np.float32)
         for _, rows, group in _by_length(words, 500):
             total = np.zeros((len(group), len(self.words)))
             for codes, weight in _subsequences(group):
@@ -270,7 +270,10 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3, seed: int = 0) ->
     """
     rng = np.random.default_rng(seed)
     toxic = toxic.astype(np.int64)
-    sentences = [[words_of(s) for s in _SENTENCE.split(t)] for t in texts]
+    same: dict[str, str] = {}  # one object for each word
+    sentences = [
+        [[same.setdefault(w, w) for w in words_of(s)] for s in _SENTENCE.split(t)] for t in texts
+    ]
     own = rng.random(len(texts)) < 2 / 3
     rows = np.flatnonzero(own)
     flat = [[w for s in doc for w in s] for doc in sentences]
@@ -282,7 +285,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3, seed: int = 0) ->
     if not telling or not plain:
         return Model(None, np.append(np.zeros(5), np.log((toxic.sum() + 1) / ((1 - toxic).sum() + 1))))
     landmarks = Landmarks(chosen)
-    values, vectors = np.linalg.eigh(landmarks.kernel(chosen))
+    values, vectors = np.linalg.eigh(landmarks.kernel(chosen).astype(float))
     useful = values > 1e-6 * values[-1]
     half = vectors[:, useful] / np.sqrt(values[useful])
 
@@ -346,10 +349,11 @@ def _second(
     examples = bad[:6000] + good[:6000]
     side = np.array([1.0] * len(bad[:6000]) + [-1.0] * len(good[:6000]))
     cost = np.array([counts[1][w] / n[1] for w in bad[:6000]] + [counts[0][w] / n[0] for w in good[:6000]])
-    values, vectors = np.linalg.eigh(sharpened(landmarks.kernel(landmarks.words)))
+    values, vectors = np.linalg.eigh(sharpened(landmarks.kernel(landmarks.words).astype(float)))
     useful = values > 1e-6 * values[-1]
     half = vectors[:, useful] / np.sqrt(values[useful])
-    fitted = fit_svm(sharpened(landmarks.kernel(examples)) @ half, side, cost * 200)
+    near = sharpened(landmarks.kernel(examples)) @ half.astype(np.float32)
+    fitted = fit_svm(near, side, cost * 200)
     by_landmark = np.append(half @ fitted[:-1], fitted[-1])
     return Machine(weights.astype(np.float32), constant, landmarks, by_landmark)
 
@@ -370,17 +374,30 @@ def fit_labelled(
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")).where(
         "_id IS NOT NULL AND _label IN (0, 1) AND crc32(cast(_id AS string)) % 5 <> 0"
     )
-    rows = (
-        docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text"))
-        .where(F.col("_text").isNotNull() & (F.octet_length("_text") <= SAMPLE_BYTES))
-        .join(known, F.col("_doc") == F.col("_id"))
-        .withColumn("_turn", F.xxhash64("_id"))
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).where(
+        F.col("_text").isNotNull() & (F.octet_length("_text") <= SAMPLE_BYTES)
     )
+    # The choice is made without the texts; then only those of the chosen are read.
+    place = ["_doc", F.xxhash64("_text").alias("_hash")]
+    rows = texts.select(*place).join(known, F.col("_doc") == F.col("_id")).distinct()
     taken = []
     for value in (0, 1):
-        chosen = rows.where(F.col("_label") == value).orderBy("_turn", "_id", "_text").limit(most)
-        taken += [(r["_text"], value) for r in chosen.select("_text").collect()]
-    return fit([t for t, _ in taken], np.array([v for _, v in taken], np.int64))
+        chosen = (
+            rows.where(F.col("_label") == value)
+            .orderBy(F.xxhash64("_doc"), "_doc", "_hash")
+            .limit(most)
+            .select(F.col("_doc").alias("_of"), F.col("_hash").alias("_of_hash"))
+        )
+        found = (
+            texts.join(
+                F.broadcast(chosen),
+                (F.col("_doc") == F.col("_of")) & (F.xxhash64("_text") == F.col("_of_hash")),
+            )
+            .select("_doc", "_text")
+            .dropDuplicates()
+        )
+        taken += sorted((r["_doc"], r["_text"], value) for r in found.collect())
+    return fit([t for _, t, _ in taken], np.array([v for _, _, v in taken], np.int64))
 
 
 class _Scorer:
