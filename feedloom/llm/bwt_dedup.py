@@ -195,12 +195,13 @@ def _map_segments(buckets: int, heavy: np.ndarray):
             many[1:] |= equal
             many[:-1] |= equal
             some = order[many]
-            some = some[_less(anchor[some], own_hash[some], ids[own[some]], ties[own[some]], start[some])]
-            sure[some[1:]] = (
-                (anchor[some[1:]] == anchor[some[:-1]])
-                & (own_hash[some[1:]] == own_hash[some[:-1]])
-                & ~((own[some[1:]] == own[some[:-1]]) & (start[some[1:]] == start[some[:-1]]))
-            )
+            of, tie = ids[own], ties[own]
+            some = some[_less(anchor[some], own_hash[some], of[some], tie[some], start[some])]
+            new = np.ones(len(some), bool)
+            new[1:] = (anchor[some[1:]] != anchor[some[:-1]]) | (own_hash[some[1:]] != own_hash[some[:-1]])
+            head = some[new][np.cumsum(new) - 1]
+            # Equal rows are one document, so the same place in them is no repeat.
+            sure[some] = (of[some] != of[head]) | (tie[some] != tie[head]) | (start[some] != start[head])
             order, cuts = _cut_by((anchor % np.uint64(buckets)).astype(np.int64))
             columns: list[list] = [[] for _ in _MAPPED]
             for bucket, a, b in cuts:

@@ -217,3 +217,17 @@ def test_repeated_strings_of_equal_ids(table):
     got = {(r.doc_id, len(r.kept)) for r in bwt_dedup.repeated_strings(table(rows)).collect()}
     assert got == {(None, len(text)), (3, 0), (4, 0)}
     assert bwt_dedup.repeated_strings(table([])).collect() == []
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+@pytest.mark.parametrize("doc", [3, None])
+def test_repeated_strings_of_equal_rows(table, doc, parts):
+    """However equal rows are split, they keep what nothing starts before."""
+    text = "".join(hashlib.sha256(bytes([i])).hexdigest() for i in range(6))
+    rows = [(doc, text), (doc, text)]
+    got = bwt_dedup.repeated_strings(table(rows, parts)).collect()
+    assert [bytes(r.kept) for r in got] == [text.encode()] * 2
+    more = bwt_dedup.repeated_strings(table([*rows, (7, text), (7, text), (7, text[:90])], parts)).collect()
+    assert sorted((r.doc_id or 0, len(r.kept)) for r in more) == sorted(
+        [(doc or 0, 384)] * 2 + [(7, 0)] * 2 + [(7, 90)]
+    )
