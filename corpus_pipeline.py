@@ -13,7 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm import lpt_shards, phrase_index, sketch_dedup, string_kernel, weighted_mix
-from feedloom.session import shared_folder
+from feedloom.session import shared_folder, staged
+
+
+#: Names of the two halves of a row's hash.
+_ROW = ["_row1", "_row2"]
+
+
+def _with_row(docs: DataFrame) -> DataFrame:
+    """Add 128 bits of hash over all columns; only rows that are equal as a whole share it."""
+    values = [F.array(*[F.col(c).isNull() for c in docs.columns]), *[F.col(c) for c in docs.columns]]
+    return docs.withColumns({name: F.xxhash64(F.lit(i), *values) for i, name in enumerate(_ROW)})
 
 
 def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
@@ -37,19 +47,33 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = phrase_index.contamination(docs, items)
-    return _only(docs, found.where("contaminated"), "left_anti")
+    # What a document holds depends on its text alone, whatever its id is and however often it occurs.
+    texts = docs.withColumn("_text", F.xxhash64("text"))
+    found = phrase_index.contamination(texts, items, doc_id="_text").where("contaminated")
+    return texts.join(found.select(F.col("doc_id").alias("_text")).distinct(), "_text", "left_anti").select(
+        *docs.columns
+    )
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    taken = weighted_mix.mix(docs).where("copies > 0").select(F.col("doc_id").alias("_of"), "copies")
-    # Rows of one id are alike in copies, apart from texts that differ.
-    taken = taken.groupBy("_of").agg(F.max("copies").alias("_copies"))
-    return (
-        docs.join(taken, docs["doc_id"].eqNullSafe(taken["_of"]))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
-        .select(*[docs[c] for c in docs.columns])
+    """Each row as often as the mix takes it, rows without an id or of a repeated one by themselves."""
+    rows = _with_row(docs)
+    taken = staged(
+        weighted_mix.mix(rows, carry=_ROW)
+        .groupBy(*_ROW)
+        .agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows"))
+        .where("_all > 0")
+        .selectExpr(*_ROW, "_all div _rows AS _copies", "_all % _rows AS _more"),
+        "taken",
+    )
+    each = rows.join(taken.where("_copies > 0"), _ROW)
+    more = taken.where("_more > 0")
+    if not more.isEmpty():
+        # A source fills up amid rows that are equal as a whole: some of them are taken once more.
+        equal = rows.join(F.broadcast(more), _ROW).dropDuplicates(_ROW)
+        each = each.unionByName(equal.withColumn("_copies", F.col("_more")))
+    return each.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
+        *docs.columns
     )
 
 

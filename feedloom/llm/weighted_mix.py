@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -76,6 +78,7 @@ def mix(
     weights: tuple[int, ...] = (1, 2, 3),
     most: int = 3,
     seed: int = 0,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """How much of each document a mix takes; one row per input row.
 
@@ -88,6 +91,7 @@ def mix(
     it go in whole, and only that one is put in order, so a source with any share of the rows is
     spread over all tasks. Equal keys go by ``doc_id`` and size. Null and empty texts have no
     words and are never taken; a null source is a source; an empty table gives an empty result.
+    Columns named in ``carry`` come along, and order what is still equal.
     """
     words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
     own = quality_weight(text) if weight is None else weight
@@ -96,6 +100,7 @@ def mix(
         F.col(source).alias("source"),
         words.alias("size"),
         sampling_key(F.col(doc_id), own, seed).alias("key"),
+        *carry,
     ).withColumn("slice", F.floor(F.col("key") * SLICES))
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     goal = (
@@ -116,11 +121,11 @@ def mix(
     # All of a slice is in if its end is within the budget, none if its start is beyond.
     inside = F.col("before") + F.col("slice_size") <= F.col("budget")
     cut = ~inside & (F.col("before") < F.col("budget"))
-    in_order = Window.partitionBy("source", "slice").orderBy("key", "doc_id", "size").rowsBetween(
+    in_order = Window.partitionBy("source", "slice").orderBy("key", "doc_id", "size", *carry).rowsBetween(
         Window.unboundedPreceding, -1
     )
     ahead = F.col("before") + F.coalesce(F.sum("size").over(in_order), F.lit(0))
-    columns = ["doc_id", "size", "source_size", "target", "epochs"]
+    columns = ["doc_id", "size", "source_size", "target", "epochs", *carry]
     settled = joined.where(~cut).select(*columns, inside.cast("long").alias("part"))
     ordered = joined.where(cut).select(
         *columns, (ahead + F.col("size") / 2 <= F.col("budget")).cast("long").alias("part")
@@ -131,6 +136,6 @@ def mix(
         .withColumn("copies", copies.cast("long"))
         .select(
             "doc_id", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"),
+            (F.col("copies") * F.col("size")).alias("taken"), *carry,
         )
     )

@@ -5,9 +5,10 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from feedloom.llm import queries, string_kernel
+from feedloom.llm import queries, string_kernel, weighted_mix
 from tests.llm.test_dedup import brute_components, shingle_set
 
 SF = "/root/testdata/sf0.01"
@@ -84,6 +85,48 @@ def test_stages_without_rows_and_with_odd_ones(spark, table):
             assert name == "sharding" or out.columns == docs.columns
 
 
+def odd_rows():
+    """Clean and contaminated texts without an id and of a repeated one, and equal rows."""
+    clean = [f"clean text {i} " + "word " * (3 * i + 1) for i in range(12)]
+    rows = [(None, t) for t in clean[:6]] + [(7, t) for t in clean[6:9]]
+    return rows + [(i + 20, t) for i, t in enumerate(clean[9:])] + [(None, "equal rows here")] * 5 + [(None, None)]
+
+
+def test_rows_of_one_id_are_judged_by_themselves(spark, table, tmp_path):
+    phrase = "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(1, phrase)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    bad = [(None, f"see {phrase} there"), (7, phrase), (30, phrase), (30, "another clean one")]
+    docs = table(odd_rows() + bad)
+    free = corpus_pipeline.decontamination(spark, docs, str(tmp_path))
+    want = [*odd_rows(), bad[-1]]
+    assert Counter((r.doc_id, r.text) for r in free.collect()) == Counter(want)
+
+
+def test_mixing_takes_each_row_as_the_mix_does(spark, table):
+    rows = odd_rows()
+    flat = table(rows, sources=[f"s{i % 4}" for i in range(len(rows))]).drop("map").fillna("en", ["lang"])
+    docs = spark.createDataFrame(flat.collect(), flat.schema)
+    mix = weighted_mix.mix(docs.withColumn("own", F.concat_ws("|", "source", "text")), carry=["own"]).collect()
+    want = Counter()
+    for r in mix:
+        want[r.doc_id, r.own] += r.copies
+    got = corpus_pipeline.mixing(spark, docs, "")
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, f"{r.source}|{r.text}") for r in got.collect()) == +want
+    assert len({r.copies for r in mix if r.doc_id is None and r.size}) > 1
+
+
+def test_mixing_splits_equal_rows(spark, table):
+    """A source that fills up amid equal rows takes only some of them."""
+    docs = table([(None, "alike " * 3)] * 9 + [(1, "other " * 40)], sources=["a"] * 9 + ["b"])
+    want = Counter({i: 0 for i in (None, 1)})
+    for r in weighted_mix.mix(docs).collect():
+        want[r.doc_id] += r.copies
+    assert want[None] % 9
+    docs = spark.createDataFrame(docs.withColumn("lang", F.lit("en")).collect(), docs.schema)
+    assert Counter(r.doc_id for r in corpus_pipeline.mixing(spark, docs, "").collect()) == want
+
+
 def test_only_the_entry_guards_imports():
     text = open(corpus_pipeline.__file__).read()
     assert not re.search(r"except\s+(Import|ModuleNotFound)Error", text)
