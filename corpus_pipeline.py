@@ -26,12 +26,6 @@ def _with_row(docs: DataFrame) -> DataFrame:
     return docs.withColumns({name: F.xxhash64(F.lit(i), *values) for i, name in enumerate(_ROW)})
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` by a table of their ids; a missing id is matched too."""
-    marked = ids.select(F.col("doc_id").alias("_of")).distinct()
-    return docs.join(marked, docs["doc_id"].eqNullSafe(marked["_of"]), how)
-
-
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic. The model is fitted on the labelled ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -39,9 +33,29 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    groups = sketch_dedup.near_duplicates(docs)
-    return _only(docs, groups.where(~F.col("kept")), "left_anti")
+    """One row of each group of near duplicates, that of the least id; those without an id are last.
+
+    Each row is a document of its own, without an id or of a repeated one too, and equal rows are a
+    group. Rows without shingles are in no group and stay.
+    """
+    rows = _with_row(docs)
+    node = _ROW[0]
+    groups = sketch_dedup.near_duplicates(rows, doc_id=node).groupBy(F.col("doc_id").alias(node)).agg(
+        F.first("component_id").alias("_group"), F.first("n_shingles").alias("_shingles")
+    )
+    ids = rows.groupBy(node).agg(F.min("doc_id").alias("_id"), F.count("*").alias("_rows"))
+    of = groups.join(ids, node)
+    first = F.min(F.struct(F.col("_id").isNull().alias("_last"), "_id", node, "_rows"))
+    kept = staged(
+        of.where("_shingles > 0").groupBy("_group").agg(first.alias("_first")).select(f"_first.{node}", "_first._rows")
+        .union(of.where("_shingles = 0").select(node, F.lit(1).cast("long"))),
+        "kept",
+    )
+    out = rows.join(kept.where("_rows = 1"), node)
+    more = kept.where("_rows > 1")
+    if not more.isEmpty():
+        out = out.unionByName(rows.join(more, node).dropDuplicates(_ROW))
+    return out.select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -127,6 +127,19 @@ def test_mixing_splits_equal_rows(spark, table):
     assert Counter(r.doc_id for r in corpus_pipeline.mixing(spark, docs, "").collect()) == want
 
 
+def test_near_copies_without_an_id_or_of_a_repeated_one(spark, table):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, text), (None, text + " end"), (None, "quite another text of six words"), (5, text), (5, text), (5, "five of another kind altogether here")]
+    rows += [(3, text + " stop"), (3, text + " stop"), (None, ""), (None, ""), (None, None), (4, "no id and id alike here"), (None, "no id and id alike here")]
+    want = [rows[2], rows[5], rows[6], *rows[8:12]]
+    flat = table(rows, sources=["s"] * len(rows)).fillna("en", ["lang"])
+    for parts in (1, 5):
+        out = corpus_pipeline.near_dedup(spark, flat.repartition(parts), "")
+        assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter(want)
+    equal = table([(None, text)] * 4, sources=["s"] * 4).fillna("en", ["lang"])
+    assert corpus_pipeline.near_dedup(spark, equal, "").count() == 1
+
+
 def test_only_the_entry_guards_imports():
     text = open(corpus_pipeline.__file__).read()
     assert not re.search(r"except\s+(Import|ModuleNotFound)Error", text)
