@@ -15,6 +15,7 @@ from feedloom.llm import (
     line_runs,
     lpt_shards,
     phrase_index,
+    phrase_stripes,
     sketch_dedup,
     string_kernel,
     weighted_mix,
@@ -266,6 +267,38 @@ def near_duplicate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_stripes.collocations(_table(spark, sf_dir, "documents"))
+
+
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+  SELECT lang, w[i:i + k - 1] AS p FROM words, range(1, 6) AS s(k), range(1, len(w) - k + 2) AS r(i)),
+phrases AS (SELECT lang, p, count(*) AS a FROM grams GROUP BY lang, p HAVING count(*) >= 100),
+longer AS (
+  SELECT DISTINCT s.lang, s.p FROM phrases s JOIN (
+    SELECT lang, a, unnest([p[1:len(p) - 1], p[2:]]) AS inner_p FROM phrases WHERE len(p) > 2) q
+    ON s.lang = q.lang AND s.p = q.inner_p AND 100 * q.a >= 100 * s.a),
+whole AS (SELECT * FROM phrases ANTI JOIN longer USING (lang, p) WHERE len(p) > 1),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r, n,
+    CAST((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM whole c, range(1, len(c.p)) AS s(k), phrases x, phrases y, sizes
+  WHERE x.lang = c.lang AND x.p = c.p[1:k] AND y.lang = c.lang AND y.p = c.p[k + 1:] AND sizes.lang = c.lang),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+  array_to_string(p, ' ') AS phrase, a, l, r, n, score
+FROM lowest QUALIFY rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cotraining": quality,
     "op2_phrase_index": contamination,
@@ -277,6 +310,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bwt_dedup": repeats_removed,
     "op9_string_kernel": toxicity,
     "op10_sketch_dedup": near_duplicate_groups,
+    "op11_phrase_stripes": collocations,
 }
 
 ORACLE: dict[str, str] = {
@@ -284,4 +318,5 @@ ORACLE: dict[str, str] = {
     "op3_line_runs": LINE_DEDUP_SQL,
     "op6_weighted_mix": MIX_SQL,
     "op7_chat_windows": CHAT_SQL,
+    "op11_phrase_stripes": COLLOCATIONS_SQL,
 }
