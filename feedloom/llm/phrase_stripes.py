@@ -30,7 +30,7 @@ _FOLDED = np.arange(256, dtype=np.uint8)
 _FOLDED[65:91] += 32
 
 #: Text that one set of stripes is made of, in bytes; it is cut between pieces only.
-CHUNK = 1 << 23
+CHUNK = 1 << 22
 
 #: Bits of the filter of frequent phrases, and entries of the table of long stripes. Both are of this size for
 #: any input; a fuller filter lets more rare phrases through, which the merged counts then drop.
@@ -38,7 +38,7 @@ FILTER_BITS = 26
 TABLE_BITS = 16
 
 #: A stripe of more occurrences is cut by the hash of the next word into slices of about as many.
-SLICE = 1 << 15
+SLICE = 1 << 20
 #: Slices of the stripe of the empty prefix, as a power of two.
 WORD_SLICES = 10
 
@@ -183,33 +183,25 @@ def _slices(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarra
     return known[1][(keys & _U((1 << TABLE_BITS) - 1)).astype(np.int64)]
 
 
-def _level_pairs(text: _Words, langs: list[str], hashes: np.ndarray, known) -> Iterator[pa.RecordBatch]:
-    """Stripes of frequent words."""
-    keys = _key(hashes[text.lang], text.hashes)
-    ok = _frequent(known, keys)
-    at = np.flatnonzero(ok)
-    follows = np.append(text.ids[1:], -1)
-    follows[~(text.joined & np.append(ok[1:], False))] = -1
-    yield _stripes(text, langs, at, [text.ids[at]], follows[at], _slices(known, keys[at]))
-
-
-def _level_longer(most: int) -> Callable:
+def _level(size: int) -> Callable:
     def run(text: _Words, langs: list[str], hashes: np.ndarray, known) -> Iterator[pa.RecordBatch]:
-        """Stripes of prefixes of two and more words, every two of which are frequent in a row."""
-        n = len(text.ids)
-        keys = _key(hashes[text.lang[: max(n - 1, 0)]], text.hashes[:-1], text.hashes[1:])
-        ok = np.append(_frequent(known, keys) & text.joined[:-1], False) if n else np.zeros(0, bool)
-        at = np.flatnonzero(ok)
-        for size in range(2, most):
-            if not len(at):
-                return
-            last = at + size - 1
-            follows = np.full(len(at), -1, dtype=np.int64)
-            goes_on = ok[last]
-            follows[goes_on] = text.ids[last[goes_on] + 1]
-            # A longer prefix is at most as frequent as its first two words, whose slices will do.
-            yield _stripes(text, langs, at, [text.ids[at + j] for j in range(size)], follows, _slices(known, keys[at]))
-            at = at[goes_on]
+        """Stripes of frequent phrases of ``size`` words; a next word is told apart where the last ones of
+        the prefix are frequent together with it."""
+        at = np.arange(max(len(text.ids) - size + 1, 0))
+        for j in range(size - 1):
+            at = at[text.joined[at + j]]
+        keys = _key(hashes[text.lang[at]], *[text.hashes[at + j] for j in range(size)])
+        ok = _frequent(known, keys)
+        at, keys = at[ok], keys[ok]
+        if not len(at):
+            return
+        frequent = np.zeros(len(text.ids) + 1, dtype=bool)
+        frequent[at] = True
+        last = at + size - 1
+        goes_on = text.joined[last] & frequent[at + 1]
+        follows = np.full(len(at), -1, dtype=np.int64)
+        follows[goes_on] = text.ids[last[goes_on] + 1]
+        yield _stripes(text, langs, at, [text.ids[at + j] for j in range(size)], follows, _slices(known, keys))
 
     return run
 
@@ -335,7 +327,7 @@ def _phrase_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _known(phrases: DataFrame):
-    """Two tables of fixed size for all tasks: which phrases may be frequent, which stripes are long."""
+    """Two tables of fixed size for all tasks: which phrases may be frequent, which stripes are long; None without any."""
     keys = staged(phrases.select("lang", "phrase", "a").mapInArrow(_phrase_keys, "bit long, entry long, power long"), "keys")
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
     found = (
@@ -343,6 +335,8 @@ def _known(phrases: DataFrame):
         .agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 64 AS INT)))").alias("mask"))
         .toArrow()
     )
+    if not found.num_rows:
+        return None
     bits[found.column("at").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
     powers = np.zeros(1 << TABLE_BITS, dtype=np.uint8)
     found = keys.where("power > 0").groupBy("entry").agg(F.max("power").alias("power")).toArrow()
@@ -361,16 +355,17 @@ def phrase_stripes(docs: DataFrame, lang: str = "lang", text: str = "text", min_
     ``counts`` of counters of at least ``min_count``. A stripe of very many occurrences comes in slices,
     one row each; sums and maxima over them are those of the stripe.
 
-    The texts are read three times: for words, for pairs of frequent words, and for all longer phrases
-    whose pairs are frequent. What passes is told by a filter of fixed size, so a stripe that cannot matter
-    is not made; counts that matter are exact.
+    The texts are read once for each size. A phrase is only as frequent as its parts, so stripes are made of
+    phrases that the size before found frequent, as far as a filter of fixed size tells; counts that matter are exact.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    words = _merged(texts, _level_words, min_count)
-    pairs = _merged(texts, _level_pairs, min_count, _known(_extensions(words)))
-    stripes = words.union(pairs)
-    if longest > 2:
-        stripes = stripes.union(_merged(texts, _level_longer(longest), min_count, _known(_extensions(pairs))))
+    found = stripes = _merged(texts, _level_words, min_count)
+    for size in range(1, longest):
+        known = _known(_extensions(found))
+        if known is None:
+            break
+        found = _merged(texts, _level(size), min_count, known)
+        stripes = stripes.union(found)
     return stripes
 
 

@@ -16,6 +16,8 @@ from feedloom.llm import (
     lpt_shards,
     phrase_index,
     phrase_stripes,
+    prefix_trie,
+    simhash_variants,
     sketch_dedup,
     string_kernel,
     weighted_mix,
@@ -120,7 +122,8 @@ WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     0.25::DOUBLE + 0.75::DOUBLE * (length(regexp_replace(coalesce(text, ''), '[^\p{L} ]', '', 'g'))::DOUBLE
       / greatest(length(coalesce(text, '')), 1)::DOUBLE) AS w,
-    (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0'), 1, 13))::BIGINT::DOUBLE + 0.5)
+    (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':0:' || (row_number() OVER (
+      PARTITION BY doc_id ORDER BY source NULLS FIRST, md5(coalesce(text, ''))) - 1)), 1, 13))::BIGINT::DOUBLE + 0.5)
       / 4503599627370496.0::DOUBLE AS u
   FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM docs GROUP BY source),
@@ -299,6 +302,66 @@ FROM lowest QUALIFY rank <= 2000
 """
 
 
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digests = prefix_trie.turn_digests(_table(spark, sf_dir, "conversations"))
+    trie, ends = prefix_trie.prefix_trie(*prefix_trie.share_openings(digests))
+    return trie.join(prefix_trie.ends_digest(ends), ["conv_id", "depth"], "left").select(
+        *trie.columns, F.coalesce("sha256", prefix_trie.no_ids()).alias("ends_sha256")
+    )
+
+
+TRIE_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (
+  SELECT list(v ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM range(256) AS r(i))),
+sizes AS (
+  SELECT conv_id, own, conv_id - conv_id % 100 AS head,
+    xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT conv_id, count(*) AS own FROM turns GROUP BY conv_id), crc),
+built AS (
+  SELECT s.conv_id, t.i AS d, t.role, t.text FROM sizes s JOIN turns t ON t.conv_id = s.head AND t.i <= s.h
+  UNION ALL
+  SELECT s.conv_id, t.i - s.h + least(s.h, coalesce(b.own, 0)), t.role, t.text
+  FROM sizes s JOIN turns t ON t.conv_id = s.conv_id AND t.i > s.h LEFT JOIN sizes b ON b.conv_id = s.head),
+whole AS (
+  SELECT s.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY d) FILTER (WHERE d IS NOT NULL), []) AS w
+  FROM sizes s LEFT JOIN built b ON b.conv_id = s.conv_id GROUP BY s.conv_id),
+places AS (
+  SELECT conv_id, d, w[1:d] AS p, len(w) = d AS ends, CASE WHEN d > 0 THEN length(w[d].text) ELSE 0 END AS chars
+  FROM whole, range(0, len(w) + 1) AS r(d)),
+nodes AS (
+  SELECT d, p, min(conv_id) AS node, count(*) AS n_convs, max(chars) AS chars,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends) AS ids
+  FROM places GROUP BY d, p),
+through AS (SELECT conv_id, d, node FROM places JOIN nodes USING (d, p)),
+own AS (
+  SELECT n.*, t.node AS parent FROM nodes n LEFT JOIN through t ON t.conv_id = n.node AND t.d = n.d - 1),
+kids AS (SELECT parent AS node, d - 1 AS d, count(*) AS n_children FROM own WHERE d > 0 GROUP BY ALL),
+valued AS (
+  SELECT o.*, coalesce(n_children, 0) AS n_children, (n_children IS NULL)::INT AS leaf, (n_convs - 1) * chars AS saved
+  FROM own o LEFT JOIN kids k ON k.node = o.node AND k.d = o.d),
+totals AS (
+  SELECT t.node, t.d, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+  FROM valued v JOIN through t ON t.conv_id = v.node AND t.d <= v.d GROUP BY ALL)
+SELECT v.node AS conv_id, CAST(v.d AS BIGINT) AS depth, v.parent AS parent_conv_id, v.n_convs, v.n_children,
+  CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+  sha256(coalesce(ids, '')) AS ends_sha256
+FROM valued v JOIN totals t ON t.node = v.node AND t.d = v.d
+"""
+
+
+def simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_variants.simhash_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_cotraining": quality,
     "op2_phrase_index": contamination,
@@ -311,6 +374,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_string_kernel": toxicity,
     "op10_sketch_dedup": near_duplicate_groups,
     "op11_phrase_stripes": collocations,
+    "op12_prefix_trie": conversation_trie,
+    "op13_simhash_variants": simhash_groups,
 }
 
 ORACLE: dict[str, str] = {
@@ -319,4 +384,5 @@ ORACLE: dict[str, str] = {
     "op6_weighted_mix": MIX_SQL,
     "op7_chat_windows": CHAT_SQL,
     "op11_phrase_stripes": COLLOCATIONS_SQL,
+    "op12_prefix_trie": TRIE_SQL,
 }

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from feedloom.operators.numbering import number_rows
+from feedloom.session import staged
+
 #: Words are maximal runs of anything but white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,9 +25,13 @@ def quality_weight(text: str | Column = "text") -> Column:
     return F.lit(0.25) + F.lit(0.75) * share
 
 
-def sampling_key(doc_id: Column, weight: Column, seed: int = 0) -> Column:
-    """``1 - u^(1/w)`` for a uniform ``u`` from a hash: as ``-ln(u) / w``, smaller goes first."""
-    hashed = F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(f":{seed}")))
+def sampling_key(doc_id: Column, place: Column, weight: Column, seed: int = 0) -> Column:
+    """``1 - u^(1/w)`` for a uniform ``u`` from a hash: as ``-ln(u) / w``, smaller goes first.
+
+    ``place`` tells rows of one id apart, so each is drawn by itself.
+    """
+    name = F.coalesce(doc_id.cast("string"), F.lit(""))
+    hashed = F.md5(F.concat(name, F.lit(f":{seed}:"), place.cast("string")))
     u = (F.conv(F.substring(hashed, 1, 13), 16, 10).cast("double") + 0.5) / F.lit(float(1 << 52))
     return F.lit(1.0) - F.exp(F.ln(u) / weight)
 
@@ -89,19 +96,36 @@ def mix(
 
     Keys are cut into slices, whose sums fix the slice in which a source fills up. Slices before
     it go in whole, and only that one is put in order, so a source with any share of the rows is
-    spread over all tasks. Equal keys go by ``doc_id`` and size. Null and empty texts have no
-    words and are never taken; a null source is a source; an empty table gives an empty result.
-    Columns named in ``carry`` come along, and order what is still equal.
+    spread over all tasks. Equal keys go by ``doc_id`` and size. Texts are read once; what is needed of
+    them is written as narrow rows.
+
+    Every row is drawn by itself: rows of one id, and rows without one, are numbered by source
+    and MD5 of the text, and the number is part of the key; which of equal rows gets which does not
+    matter. Null and empty texts have no words and are never taken; a null source is a source; an empty table
+    gives an empty result. Columns named in ``carry`` come along, and order what is still equal.
     """
     words = F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(WORD)).cast("long")
     own = quality_weight(text) if weight is None else weight
-    rows = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"),
-        F.col(source).alias("source"),
-        words.alias("size"),
-        sampling_key(F.col(doc_id), own, seed).alias("key"),
-        *carry,
-    ).withColumn("slice", F.floor(F.col("key") * SLICES))
+    narrow = staged(
+        docs.select(
+            F.col(doc_id).cast("long").alias("doc_id"),
+            F.col(source).alias("source"),
+            words.alias("size"),
+            own.alias("quality"),
+            F.md5(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
+            *carry,
+        ),
+        "sizes",
+    )
+    numbered = number_rows(narrow, ["source", "digest"], by=["doc_id"], name="place")
+    rows = staged(
+        numbered.select(
+            "doc_id", "source", "size",
+            sampling_key(F.col("doc_id"), F.col("place"), F.col("quality"), seed).alias("key"),
+            *carry,
+        ).withColumn("slice", F.floor(F.col("key") * SLICES)),
+        "keys",
+    )
     slices = rows.groupBy("source", "slice").agg(F.sum("size").alias("slice_size"))
     goal = (
         targets(slices.groupBy("source").agg(F.sum("slice_size").alias("source_size")), weights, most)

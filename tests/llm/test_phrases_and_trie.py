@@ -1,12 +1,15 @@
 """Collocations and the trie of conversations against brute force."""
 
+import hashlib
 import random
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from feedloom.llm import phrase_stripes
+from feedloom.llm import phrase_stripes, prefix_trie
 from tests.llm.conftest import ODD
 
 
@@ -83,3 +86,77 @@ def test_stripes_are_whole(spark):
     assert (got["a"].total, got["a"].best, got["a"].words, got["a"].counts) == (4, 2, ["b"], [2])
     assert (got["a b"].total, got["a b"].best, got["a b"].words) == (2, 0, [])
     assert set(got) == {"a", "b", "c", "a b"}
+
+
+def brute_trie(rows):
+    """Rows are (conversation, turn, role, text), no two of a conversation with the same turn."""
+    turns = defaultdict(list)
+    for conv, turn, role, text in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1])):
+        turns[conv].append((role or "", text or ""))
+    built = {}
+    for conv, own in turns.items():
+        h = zlib.crc32(str(conv).encode()) % 6
+        head = conv - int(abs(conv) % 100 * (1 if conv > 0 else -1))
+        built[conv] = tuple(turns.get(head, [])[:h] + own[h:])
+    members = defaultdict(list)
+    for conv in sorted(built):
+        for d in range(len(built[conv]) + 1):
+            members[built[conv][:d]].append(conv)
+    out = []
+    for p, of in members.items():
+        below = [q for q in members if q[: len(p)] == p]
+        children = [q for q in below if len(q) == len(p) + 1]
+        leaves = [q for q in below if not any(len(x) == len(q) + 1 and x[: len(q)] == q for x in members)]
+        saved = sum((len(members[q]) - 1) * len(q[-1][1]) for q in below if q)
+        ends = ",".join(str(c) for c in of if built[c] == p)
+        parent = members[p[:-1]][0] if p else None
+        out.append(
+            (of[0], len(p), parent, len(of), len(children), len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest())
+        )
+    return sorted(out)
+
+
+def trie_of(spark, rows, parts=3):
+    columns = "conv_id long, turn long, role string, text string, node string, depth string, weight string"
+    table = spark.createDataFrame([(*r, "a", "b", "c") for r in rows], columns).repartition(parts)
+    digests = prefix_trie.turn_digests(table)
+    trie, ends = prefix_trie.prefix_trie(*prefix_trie.share_openings(digests))
+    done = trie.join(prefix_trie.ends_digest(ends), ["conv_id", "depth"], "left")
+    got = done.select(*trie.columns, F.coalesce("sha256", prefix_trie.no_ids()).alias("ends_sha256"))
+    return sorted(map(tuple, got.collect()))
+
+
+def test_trie(spark):
+    rnd = random.Random(1)
+    rows = []
+    for conv in [0, 1, 2, 5, 7, 8, 9, 10, 11, 12, 100, 101, 102, 103, 104, 205, -7, -100, -130]:
+        turns = [(t, rnd.choice(["user", "assistant", None]), rnd.choice(["a", "é😀", "", None, "long text"])) for t in range(rnd.randrange(1, 9))]
+        if rnd.random() < 0.4:
+            turns[0] = (None, *turns[0][1:])
+        rows += [(conv, *t) for t in turns]
+    # Copies of a whole conversation, one that goes on far below the others, and one without turns of its own.
+    rows += [(conv, t, "user", f"t{t}") for conv in range(300, 325) for t in range(7)]
+    rows += [(400, t, "user", f"t{t}") for t in range(60)] + [(433, t, "user", f"t{t % 50}") for t in range(90)]
+    rows += [(599, 0, "user", "x")]
+    got = trie_of(spark, rows)
+    assert got == brute_trie(rows)
+    assert any(r[1] > 80 for r in got)
+
+
+def test_trie_of_odd_rows(spark):
+    assert trie_of(spark, []) == []
+    assert trie_of(spark, [(None, 0, "user", "a")]) == []
+    # Rows without an id are left out; turns of one number come in a fixed order, whatever the order of rows.
+    tied = [(200, 1, "user", "b"), (200, 1, "user", "a"), (200, 1, "user", "b"), (None, 0, "user", "c"), (250, None, None, None)]
+    got = trie_of(spark, tied)
+    assert got == trie_of(spark, tied[::-1], parts=1)
+    assert [r[1] for r in got if r[0] == 200][:4] == [0, 1, 2, 3]
+
+
+def test_rollup_over_a_path_and_a_star(spark):
+    """A conversation of many turns beside many short ones: rounds follow the logarithm."""
+    rows = [(0, t, "user", str(t)) for t in range(400)] + [(c * 100, 0, "user", f"s{c}") for c in range(1, 200)]
+    got = {(r[0], r[1]): r for r in trie_of(spark, rows)}
+    assert len(got) == 1 + 400 + 199
+    assert got[0, 0][3:7] == (200, 200, 200, 0)
+    assert all(got[0, d][3:7] == (1, int(d < 400), 1, 0) for d in range(1, 401))

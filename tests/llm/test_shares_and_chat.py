@@ -103,6 +103,21 @@ def test_mix_without_rows_words_and_ids(table):
     assert [(r.source_size, r.target, r.taken) for r in empty] == [(0, 0.0, 0)] * 2
 
 
+@pytest.mark.parametrize("ids", ["none", "one", "each"])
+@pytest.mark.parametrize("equal", [True, False])
+def test_every_row_is_drawn_by_itself(table, ids, equal):
+    """A source of 900 rows and a larger weight: part of the rows is taken once more, with ids or without."""
+    name = {"none": lambda i: None, "one": lambda i: 7, "each": lambda i: i}[ids]
+    texts = [(name(i), "same words here" if equal else f"text {i} here") for i in range(900)]
+    texts += [(1000 + i, "other words of it") for i in range(900)]
+    df = table(texts, sources=["a"] * 900 + ["b"] * 900)
+    for parts in (2, 6):
+        got = weighted_mix.mix(df.repartition(parts), weights=(1, 3)).collect()
+        first = Counter(r.copies for r in got if r.doc_id is None or r.doc_id < 1000)
+        # The first source is to give a fourth of all words: half of its own.
+        assert set(first) == {0, 1} and abs(first[1] - 450) <= 1
+
+
 def test_better_documents_are_taken_more_often(table):
     texts = [("good words here " if i % 2 else "1234 5678 !!!! ") * 4 for i in range(2000)]
     sources = ["a" if i < 1500 else "b" for i in range(2000)]
@@ -122,7 +137,7 @@ def conversations(rnd):
         turns += [(rnd.choice(["user", "assistant", "tool<>", None]), rnd.choice(TRICKY + ["w" * rnd.randrange(900)]))
                   for _ in range(rnd.randrange(30))]
         rows += [(c if c else None, i, role, text, "x") for i, (role, text) in enumerate(turns)]
-    return rows + [(99, 0, "system", "only"), (99, 0, "user", "same turn"), (99, None, "user", "no turn")] if False else rows + [
+    return rows + [
         (99, 0, "system", "only", "x"), (98, 0, "user", "big " * 3000, "x"), (98, 1, "assistant", "y", "x"),
         (97, 5, "user", "tie", "x"), (97, 5, "assistant", "tie", "x"), (97, None, "user", "first", "x")]
 
