@@ -31,10 +31,10 @@ SEED = 42
 #: A text is hashed in blocks of about as many bytes.
 BLOCK = 1 << 20
 
-#: Members of a variant that go in one row, and that are compared in one task. Larger ones are cut
-#: again by the bits that are left.
+#: Members of a variant that go in one row, and that are compared in one task; larger ones are joined
+#: over what lies between two fingerprints.
 FEW = 256
-MANY = 1 << 15
+MANY = 1 << 17
 
 #: Up to this size all pairs of a variant are tried at once, in larger ones a tree of links is grown.
 PAIRS = 16
@@ -93,32 +93,33 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
 
-def _low(bits: int) -> int:
-    return (1 << bits) - 1 if bits < 64 else -1
-
-
-def _variants(parents: DataFrame, bits: int, rest: bool = False) -> DataFrame:
-    """The entries ``key``, ``fp`` of each fingerprint, over the ``bits`` bits of ``rest`` that no key has yet.
-
-    With ``rest``, what is left of them beside the segment of an entry comes along, in the number of bits
-    that ``_left`` tells for it.
-    """
+def _variants(fingerprints: DataFrame) -> DataFrame:
+    """The entries ``key``, ``fp`` of each fingerprint: every segment with every bit blanked out once."""
     made: list[Column] = []
-    left = F.col("rest")
     start = 0
     for s in range(SEGMENTS):
-        size = (bits - start) // (SEGMENTS - s)
-        segment = F.shiftrightunsigned(left, start).bitwiseAND(F.lit(_low(size)))
-        below = left.bitwiseAND(F.lit(_low(start)))
-        above = F.shiftrightunsigned(left, start + size).bitwiseAND(F.lit(_low(bits - start - size)))
-        others = below.bitwiseOR(F.shiftleft(above, start))
+        size = (BITS - start) // (SEGMENTS - s)
+        segment = F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << size) - 1))
         for i in range(size):
             masked = segment.bitwiseAND(F.lit(~(1 << i)))
-            key = F.xxhash64("key", F.lit(start + i), masked).alias("key")
-            made.append(F.struct(key, others.alias("rest"), F.lit(bits - size).alias("bits")) if rest else key)
+            made.append(masked.bitwiseOR(F.lit((start + i) << 32)))
         start += size
-    exploded = parents.select("fp", F.explode(F.array(*made)).alias("e"))
-    return exploded.select("fp", *(["e.key", "e.rest", "e.bits"] if rest else [F.col("e").alias("key")]))
+    return fingerprints.select("fp", F.explode(F.array(*made)).alias("key"))
+
+
+def _between(fingerprints: DataFrame) -> DataFrame:
+    """Links of fingerprints that meet half way.
+
+    Two fingerprints differ in at most four bits just if some value differs from both in at most two. All that
+    share such a value are close to each other, so each is linked to the least of them and no two
+    are compared: the entries are as many as the fingerprints, times a constant.
+    """
+    masks = [0, *[1 << i for i in range(BITS)], *[(1 << i) | (1 << j) for i in range(BITS) for j in range(i)]]
+    signed = [m - (1 << BITS) if m >> (BITS - 1) else m for m in masks]
+    fp = F.col("fp")
+    near = fingerprints.select("fp", F.explode(F.array(*[fp.bitwiseXOR(F.lit(m)) for m in signed])).alias("key"))
+    least = near.groupBy("key").agg(F.min("fp").alias("least"), F.count("*").alias("n")).where("n > 1")
+    return near.join(least, "key").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct()
 
 
 def _tree(values: np.ndarray) -> np.ndarray:
@@ -174,48 +175,39 @@ def _in_group(table: pa.Table) -> pa.Table:
 
 
 def fingerprint_links(fingerprints: DataFrame, few: int = FEW, many: int = MANY) -> DataFrame:
-    """Links ``a``, ``b`` between the fingerprints of column ``fp`` that differ in at most four bits.
+    """Links ``a``, ``b`` between the distinct fingerprints of column ``fp`` that differ in at most four bits.
 
     Not every such pair is a link, but what such pairs connect, links connect. Members of a variant are
-    compared in one task while they are at most ``many``; within it, what is linked already is not compared
-    again. A larger variant is cut again by the bits that are left, three segments again, as
-    often as it takes: where two fingerprints share a variant, they differ in at most four of the others.
+    compared in one task while they are at most ``many``; what is linked already is not compared
+    again there. The members of larger variants are linked over the values between them.
     """
-    links = None
-    parents = fingerprints.select("fp", F.lit(0).cast("long").alias("key"), F.col("fp").alias("rest"))
-    by_bits = [(BITS, parents)]
-    while by_bits:
-        bits, parents = by_bits.pop()
-        entries = _variants(parents, bits)
-        variants = (
-            entries.groupBy("key")
-            .agg(
-                F.count("*").alias("members"),
-                F.min("fp").alias("least"),
-                F.bit_xor(F.xxhash64("fp")).alias("s1"),
-                F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("s2"),
-            )
-            .where("members > 1")
-            # Variants of the same members are one.
-            .groupBy("members", "least", "s1", "s2")
-            .agg(F.min("key").alias("key"))
-            .select("key", "members")
-        )
-        variants = staged(variants, "variants")
-        few_ = entries.join(variants.where(F.col("members") <= few).select("key"), "key")
-        found = few_.groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(
-            _in_lists, "a long, b long"
+    entries = _variants(fingerprints.select("fp"))
+    variants = staged(
+        entries.groupBy("key")
+        .agg(
+            F.count("*").alias("members"),
+            F.min("fp").alias("least"),
+            F.bit_xor(F.xxhash64("fp")).alias("s1"),
+            F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("s2"),
         )
-        more = variants.where((F.col("members") > few) & (F.col("members") <= many)).select("key")
-        if not more.isEmpty():
-            found = found.union(entries.join(more, "key").groupBy("key").applyInArrow(_in_group, "a long, b long"))
-        found = staged(found.distinct(), "links")
-        links = found if links is None else links.union(found)
-        hot = variants.where(F.col("members") > many).select("key")
-        if not hot.isEmpty():
-            cut = staged(_variants(parents, bits, rest=True).join(hot, "key"), "cut")
-            by_bits += [(r.bits, cut.where(F.col("bits") == r.bits)) for r in cut.select("bits").distinct().collect()]
-    return links
+        .where("members > 1")
+        # Variants of the same members are one.
+        .groupBy("members", "least", "s1", "s2")
+        .agg(F.min("key").alias("key"))
+        .select("key", "members"),
+        "variants",
+    )
+    small = entries.join(variants.where(F.col("members") <= few).select("key"), "key")
+    found = small.groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(
+        _in_lists, "a long, b long"
+    )
+    large = variants.where((F.col("members") > few) & (F.col("members") <= many)).select("key")
+    if not large.isEmpty():
+        found = found.union(entries.join(large, "key").groupBy("key").applyInArrow(_in_group, "a long, b long"))
+    crowded = variants.where(F.col("members") > many).select("key")
+    if not crowded.isEmpty():
+        found = found.union(_between(entries.join(crowded, "key").select("fp").distinct()))
+    return staged(found.distinct(), "links")
 
 
 def simhash_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

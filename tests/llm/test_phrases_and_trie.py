@@ -102,17 +102,19 @@ def brute_trie(rows):
     for conv in sorted(built):
         for d in range(len(built[conv]) + 1):
             members[built[conv][:d]].append(conv)
+    children, leaves, saved = Counter(), Counter(), Counter()
+    for p in members:
+        children[p[:-1]] += bool(p)
+    for p in members:
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(members[p]) - 1) * len(p[-1][1]) if p else 0
     out = []
     for p, of in members.items():
-        below = [q for q in members if q[: len(p)] == p]
-        children = [q for q in below if len(q) == len(p) + 1]
-        leaves = [q for q in below if not any(len(x) == len(q) + 1 and x[: len(q)] == q for x in members)]
-        saved = sum((len(members[q]) - 1) * len(q[-1][1]) for q in below if q)
         ends = ",".join(str(c) for c in of if built[c] == p)
         parent = members[p[:-1]][0] if p else None
-        out.append(
-            (of[0], len(p), parent, len(of), len(children), len(leaves), saved, hashlib.sha256(ends.encode()).hexdigest())
-        )
+        digest = hashlib.sha256(ends.encode()).hexdigest()
+        out.append((of[0], len(p), parent, len(of), children[p], leaves[p], saved[p], digest))
     return sorted(out)
 
 
@@ -136,11 +138,11 @@ def test_trie(spark):
         rows += [(conv, *t) for t in turns]
     # Copies of a whole conversation, one that goes on far below the others, and one without turns of its own.
     rows += [(conv, t, "user", f"t{t}") for conv in range(300, 325) for t in range(7)]
-    rows += [(400, t, "user", f"t{t}") for t in range(60)] + [(433, t, "user", f"t{t % 50}") for t in range(90)]
+    rows += [(400, t, "user", f"t{t}") for t in range(20)] + [(433, t, "user", f"t{t % 15}") for t in range(40)]
     rows += [(599, 0, "user", "x")]
     got = trie_of(spark, rows)
     assert got == brute_trie(rows)
-    assert any(r[1] > 80 for r in got)
+    assert any(r[1] > 35 for r in got)
 
 
 def test_trie_of_odd_rows(spark):
@@ -155,8 +157,8 @@ def test_trie_of_odd_rows(spark):
 
 def test_rollup_over_a_path_and_a_star(spark):
     """A conversation of many turns beside many short ones: rounds follow the logarithm."""
-    rows = [(0, t, "user", str(t)) for t in range(400)] + [(c * 100, 0, "user", f"s{c}") for c in range(1, 200)]
+    rows = [(0, t, "user", str(t)) for t in range(100)] + [(c * 100, 0, "user", f"s{c}") for c in range(1, 50)]
     got = {(r[0], r[1]): r for r in trie_of(spark, rows)}
-    assert len(got) == 1 + 400 + 199
-    assert got[0, 0][3:7] == (200, 200, 200, 0)
-    assert all(got[0, d][3:7] == (1, int(d < 400), 1, 0) for d in range(1, 401))
+    assert len(got) == 1 + 100 + 49
+    assert got[0, 0][3:7] == (50, 50, 50, 0)
+    assert all(got[0, d][3:7] == (1, int(d < 100), 1, 0) for d in range(1, 101))
