@@ -142,22 +142,20 @@ def _containers(page, rule: CardRule):
     return () if scope is None else _matching(scope.walk(), (rule.container,))
 
 
-def extract_cards(
-    pages: DataFrame, rule: CardRule, keep: tuple[str, ...] = ("page_id",), html: str = "html"
-) -> DataFrame:
-    """One row per container: the kept page columns, ``container_idx``, and the rule's fields.
-
-    A field that is not found is NULL. ``error`` is NULL, or says why a page could not be read;
-    such a page gives one row without an index, and the other pages are not affected.
-    """
-    kept = [pages.schema[name] for name in keep]
-    out = T.StructType(
-        kept
-        + [T.StructField("container_idx", T.IntegerType())]
-        + [T.StructField(name, f.data_type) for name, f in rule.fields.items()]
-        + [T.StructField("error", T.StringType())]
+def _card_schema(rule: CardRule, kept: list[T.StructField]) -> T.StructType:
+    return T.StructType(
+        [
+            *kept,
+            T.StructField("container_idx", T.IntegerType()),
+            *[T.StructField(name, f.data_type) for name, f in rule.fields.items()],
+            T.StructField("error", T.StringType()),
+        ]
     )
-    names = out.fieldNames()
+
+
+def _card_reader(rule: CardRule, keep: tuple[str, ...], html: str):
+    """Batches of pages to batches of cards, in columns of ``_card_schema``."""
+    names = [*keep, "container_idx", *rule.fields, "error"]
 
     def run(batches):
         for batch in batches:
@@ -201,7 +199,37 @@ def extract_cards(
             if columns["error"]:
                 yield flush()
 
-    return pages.select(*keep, html).mapInArrow(run, out)
+    return run
+
+
+def extract_cards(
+    pages: DataFrame, rule: CardRule, keep: tuple[str, ...] = ("page_id",), html: str = "html"
+) -> DataFrame:
+    """One row per container: the kept page columns, ``container_idx``, and the rule's fields.
+
+    A field that is not found is NULL. ``error`` is NULL, or says why a page could not be read;
+    such a page gives one row without an index, and the other pages are not affected.
+    """
+    out = _card_schema(rule, [pages.schema[name] for name in keep])
+    return pages.select(*keep, html).mapInArrow(_card_reader(rule, keep, html), out)
+
+
+def card_function(rule: CardRule, keep: T.StructType, html: str = "html"):
+    """:func:`extract_cards` as an Arrow table function, to be registered for SQL.
+
+    ``spark.udtf.register("post_cards", card_function(POST_CARD, keep))`` makes
+    ``SELECT * FROM post_cards(TABLE(SELECT page_id, html FROM pages))`` work, with the columns of
+    ``keep`` and the markup in the table handed over.
+    """
+    names = tuple(keep.fieldNames())
+    read = _card_reader(rule, names, html)
+
+    class Cards:
+        def eval(self, pages: pa.RecordBatch) -> Iterator[pa.Table]:
+            for cards in read(iter([pages])):
+                yield pa.Table.from_batches([cards])
+
+    return F.arrow_udtf(Cards, returnType=_card_schema(rule, keep.fields))
 
 
 def may_hold(token: str, html: Column | str = "html") -> Column:

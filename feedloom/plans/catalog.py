@@ -11,14 +11,18 @@ from pyspark.sql import types as T
 from feedloom import functions as fn
 from feedloom import vocabulary as v
 from feedloom.operators import branches, counts, dedup, filters, limits, ordering, paging
-from feedloom.operators.extract import CardRule, Field, Match, extract_cards, may_hold
+from feedloom.operators.extract import CardRule, Field, Match, card_function, extract_cards, may_hold
+from feedloom.operators.history import KeyHistory
 from feedloom.operators.numbering import number_rows
+from feedloom.operators.search_index import SearchIndex
 from feedloom.plans import captures, jobs
 from feedloom.plans import oracle as sql
 from feedloom.session import shared_folder, staged
 from feedloom.sinks import export
 from feedloom.sources import pages as src
+from feedloom.sources import store
 from feedloom.streaming import feed as stream
+from feedloom.streaming import keyed, reports, stops
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +108,17 @@ def keyword_posts(spark, sf_dir):
     return filters.matching(posts, SEARCH).select("seq", "author", "description")
 
 
+@query(f"with {sql.POSTS} select seq, author, description from posts where {SEARCH_SQL}")
+def keyword_posts_indexed(spark, sf_dir):
+    """The same over posts that were stored and indexed in two rounds."""
+    posts = captures.posts(spark, sf_dir, text=True).select("seq", "author", "description")
+    index = SearchIndex(shared_folder(spark, "search"), posts.schema)
+    half = captures.rows_in(spark, sf_dir, "events") // 2
+    index.add(posts.where(F.col("seq") < half), 0)
+    index.add(posts.where(F.col("seq") >= half), 1)
+    return index.search(spark, SEARCH).drop("round")
+
+
 @query(f"with {sql.POSTS} select seq, author, kind from posts where kind = 'job'")
 def content_type(spark, sf_dir):
     return filters.of_kind(captures.posts(spark, sf_dir), "job").select("seq", "author", "kind")
@@ -238,6 +253,30 @@ def unseen_links(spark, sf_dir):
     return dedup.first_unseen(posts.select("seq", "author", "post_link"), history, "post_link")
 
 
+#: Parts of the feed that are taken one after the other.
+RUNS = 3
+RUN_SQL = f"seq * {RUNS} // (select count(*) from events)"
+
+
+@query(
+    f"with {sql.POSTS} select {RUN_SQL} as run, seq, author, post_link from posts "
+    f"qualify {FIRST_SQL} = 1"
+)
+def unseen_links_kept(spark, sf_dir):
+    """Runs that keep the links they took, and leave out those of the runs before."""
+    events = captures.rows_in(spark, sf_dir, "events")
+    posts = captures.posts(spark, sf_dir, link=True).select("seq", "author", "post_link")
+    folder = shared_folder(spark, "links")
+    history = KeyHistory(spark, f"links_{folder.rsplit('-', 1)[1]}", folder, "post_link", buckets=8)
+    taken = None
+    for run in range(RUNS):
+        part = posts.where(F.expr(f"seq * {RUNS} div {max(events, 1)}") == run)
+        new = staged(history.unseen(part, run).select(F.lit(run).cast("long").alias("run"), *posts.columns), "unseen")
+        history.add(new, run)
+        taken = new if taken is None else branches.union_branches(taken, new)
+    return taken
+
+
 @query(f"with {sql.POSTS} select distinct post_link from posts")
 def distinct_links(spark, sf_dir):
     return dedup.distinct_keys(captures.posts(spark, sf_dir, link=True), "post_link")
@@ -357,6 +396,47 @@ def incremental_scan(spark, sf_dir):
     return paging.new_since(events, progress)
 
 
+@query(
+    f"with {sql.JOBS} select feed, page_no, job_title, location, company_name from jobs "
+    "where company_name is not null and page_no between 2 and 5"
+)
+def captured_jobs(spark, sf_dir):
+    """Pages of a store, by a range of page numbers that chooses the files to open."""
+    path = shared_folder(spark, "captures")
+    _store_job_pages(spark, sf_dir, path)
+    pages = store.captured(spark, path, PAGES_PER_BLOCK).where("kind = 'job' AND page_no BETWEEN 2 AND 5")
+    return _stored_jobs(pages)
+
+
+@query(
+    f"with {sql.JOBS} select feed, page_no, job_title, location, company_name from jobs "
+    "where company_name is not null"
+)
+def captured_jobs_followed(spark, sf_dir):
+    """The same store as a stream, which is stopped and goes on where it was."""
+    path, out, checkpoint = (shared_folder(spark, x) for x in ("captures", "followed", "checkpoint"))
+    for part in (F.col("page_no") < 3, F.col("page_no") >= 3):
+        _store_job_pages(spark, sf_dir, path, part)
+        stream.append_available(store.follow_captured(spark, path, PAGES_PER_BLOCK), out, checkpoint)
+    return _stored_jobs(spark.read.schema(store.SCHEMA).parquet(out))
+
+
+PAGES_PER_BLOCK = 3
+
+
+def _store_job_pages(spark, sf_dir, path, part=None):
+    pages = captures.job_pages(spark, sf_dir)
+    pages = pages if part is None else pages.where(part)
+    url = F.concat(F.lit(f"{captures.SITE}/jobs?page="), "page_no")
+    store.write_captures(pages.withColumns({"kind": F.lit("job"), "url": url}), path, PAGES_PER_BLOCK)
+
+
+def _stored_jobs(pages):
+    cards = extract_cards(pages, src.JOB_CARD, keep=("feed", "page_no"))
+    required = ["job_title", "location", "company_name"]
+    return filters.accepted(filters.check_required(cards, required)).drop("container_idx")
+
+
 def _rounds(spark, sf_dir):
     events = _read(spark, sf_dir, "events", "event_id", "user_id", "value")
     return events.select(
@@ -526,6 +606,22 @@ def extract_posts(spark, sf_dir):
     )
 
 
+@query(
+    f"with {sql.POSTS} select page_id, seq % 25 as container_idx, author, {DESCRIPTION_SQL} as description, "
+    "rtrim(time_posted) as time_posted, post_link, kind from posts"
+)
+def extract_posts_sql(spark, sf_dir):
+    """Extraction from SQL: pages go into a table function as a table."""
+    pages = captures.feed_pages(spark, sf_dir).where(may_hold(v.POST_CONTAINER))
+    pages.createOrReplaceTempView("captured_feed")
+    keep = T.StructType([T.StructField("page_id", T.LongType())])
+    spark.udtf.register("post_cards", card_function(src.POST_CARD, keep))
+    return spark.sql(
+        "SELECT page_id, CAST(container_idx AS BIGINT) AS container_idx, author, description, time_posted, "
+        "post_link, kind FROM post_cards(TABLE(SELECT page_id, html FROM captured_feed))"
+    )
+
+
 @query(f"with {sql.POSTS} select page_id, author, rtrim(time_posted) as time_posted, {BY_AGE} from posts")
 def posts_by_age_from_pages(spark, sf_dir):
     pages = captures.feed_pages(spark, sf_dir).where(may_hold(v.POST_CONTAINER))
@@ -790,6 +886,118 @@ def stream_extract(spark, sf_dir):
     return written.withColumn("container_idx", F.col("container_idx").cast("bigint"))
 
 
+#: Rounds of a feed that comes in order, and the files of each.
+ROUNDS = 6
+ROUND_FILES = 2
+ROUND_SQL = f"event_id * {ROUNDS} // (select max(event_id) + 1 from events)"
+
+
+def _in_rounds(spark, sf_dir, records):
+    """Lay records with an ``event_id`` down round by round, and follow them a round at a time."""
+    path = shared_folder(spark, "rounds-of-feed")
+    last = _read(spark, sf_dir, "events", "event_id").agg(F.max("event_id")).first()[0] or 0
+    for i in range(ROUNDS):
+        part = records.where(F.expr(f"event_id * {ROUNDS} div {last + 1}") == i)
+        part.repartition(ROUND_FILES).write.mode("append").parquet(path)
+    return stream.read_feed(spark, path, records.schema, files_per_round=ROUND_FILES)
+
+
+@query(
+    "select event_id, user_id, event_type from events order by event_id "
+    "limit (select count(*) // 2 + 7 from events)"
+)
+def stream_row_cap(spark, sf_dir):
+    """A feed that is cut after so many records, over rounds, a stop and a restart."""
+    events = _read(spark, sf_dir, "events", "event_id", "user_id", "event_type")
+    followed = _in_rounds(spark, sf_dir, events)
+    n = captures.rows_in(spark, sf_dir, "events") // 2 + 7
+    sink, checkpoint = stops.RowCap(shared_folder(spark, "capped"), n, "event_id"), shared_folder(spark, "checkpoint")
+    stream.write_rounds(followed, sink, checkpoint, rounds=2, stop=sink.done)
+    stream.write_rounds(followed, sink, checkpoint, stop=sink.done)
+    return sink.records(spark, events.schema).drop("round")
+
+
+STILL_SQL = f"""
+  e as (select event_id, event_type as feed, user_id % 7 as u, {ROUND_SQL} as round from events),
+  firsts as (select feed, u, min(round) as round from e group by feed, u),
+  rounds as (select r.feed, r.round, count(f.u) as height from (select distinct feed, round from e) r
+    join firsts f on f.feed = r.feed and f.round <= r.round group by r.feed, r.round)"""
+
+
+@query(
+    f"with {STILL_SQL}, {sql.stagnant(2)} select e.feed, e.round, event_id, height from e "
+    "join rounds r on r.feed = e.feed and r.round = e.round left join stops s on s.feed = e.feed "
+    "where stop_round is null or e.round <= stop_round"
+)
+def stream_until_stagnant(spark, sf_dir):
+    """Feeds that end when nothing new shows up in two rounds; the height counts who was seen."""
+    last = _read(spark, sf_dir, "events", "event_id").agg(F.max("event_id")).first()[0] or 0
+    events = _read(spark, sf_dir, "events", "event_id", "user_id", "event_type").select(
+        F.col("event_type").alias("feed"),
+        F.expr(f"event_id * {ROUNDS} div {last + 1}").alias("round"),
+        (F.col("user_id") % 7).alias("u"),
+        "event_id",
+    )
+    firsts = events.groupBy("feed", "u").agg(F.min("round").alias("first"))
+    shown = events.select("feed", "round").distinct()
+    heights = (
+        shown.join(firsts, "feed").where("first <= round").groupBy("feed", "round").agg(F.count("*").alias("height"))
+    )
+    records = events.drop("u").join(heights, ["feed", "round"])
+    followed = _in_rounds(spark, sf_dir, records)
+    out = shared_folder(spark, "until-stagnant")
+
+    def write(kept, round_no):
+        kept.write.mode("overwrite").parquet(stream.round_folder(out, round_no))
+
+    sink = stops.StandStill(shared_folder(spark, "heights"), write, after=2)
+    stream.write_rounds(followed.withColumnRenamed("round", "shown"), sink, shared_folder(spark, "checkpoint"), stop=sink.done)
+    schema = followed.withColumnRenamed("round", "shown").schema
+    return stream.read_rounds(spark, out, schema).select("feed", F.col("shown").alias("round"), "event_id", "height")
+
+
+@query("select user_id, min(event_id) as event_id from events group by user_id")
+def stream_first_in_state(spark, sf_dir):
+    """The first event of each user, from a feed whose files come in any order."""
+    out, checkpoint = shared_folder(spark, "first-in-state"), shared_folder(spark, "checkpoint")
+    followed = _followed(spark, sf_dir).select("user_id", "event_id")
+    stream.append_available(keyed.first_in_state(followed, "user_id", "event_id"), out, checkpoint)
+    return keyed.settled(spark.read.schema(followed.schema).parquet(out), "user_id", "event_id")
+
+
+@query(f"with {sql.JOBS} select feed, page_no, seq, job_title from ({sql.prefix('jobs', 'feed', 'page_no')})")
+def stream_page_prefix(spark, sf_dir):
+    """Pages that arrive out of order and are released when the gap before them closes."""
+    path, out = shared_folder(spark, "arriving"), shared_folder(spark, "released")
+    cards = captures.job_cards(spark, sf_dir).select("feed", "page_no", "seq", "job_title")
+    for i in (1, 0, 2):
+        cards.where(F.col("page_no") % 3 == i).repartition(ROUND_FILES).write.mode("append").parquet(path)
+
+    def write(released, round_no):
+        released.write.mode("overwrite").parquet(stream.round_folder(out, round_no))
+
+    sink = stops.PagePrefix(shared_folder(spark, "held"), write)
+    followed = stream.read_feed(spark, path, cards.schema, files_per_round=ROUND_FILES)
+    stream.write_rounds(followed, sink, shared_folder(spark, "checkpoint"))
+    return stream.read_rounds(spark, out, cards.schema).drop("round")
+
+
+@query(
+    f"select {ROUND_SQL} as round, count(*) filter (where event_type <> 'error') as accepted, "
+    "count(*) filter (where event_type = 'error') as rejected from events group by 1"
+)
+def stream_report(spark, sf_dir):
+    """How many records each round took and left out, as its stream reported them."""
+    kind = F.when(F.col("event_type") != "error", F.col("event_type"))
+    events = _read(spark, sf_dir, "events", "event_id", "event_type").withColumn("event_type", kind)
+    checked = filters.check_required(_in_rounds(spark, sf_dir, events), ("event_type",))
+    with reports.RoundReport(spark) as report:
+        stream.append_available(
+            reports.counted(checked), shared_folder(spark, "reported"), shared_folder(spark, "checkpoint")
+        )
+    return report.table()
+
+
 #: The page behind a job button.
 JOB_PAGE = CardRule(Match(css_class="job"), {"job_description": Field(((Match(tag="h1"),),))})
 
@@ -837,6 +1045,42 @@ def all_posts(spark, sf_dir):
     return jobs.all_posts(_cards(spark, sf_dir), search, numbered=True)
 
 
+@query(
+    f"with {sql.POSTS} select {SHOWN_SQL}, {BY_SEQ} from posts where kind = 'post' and {SEARCH_SQL}"
+)
+def all_posts_followed(spark, sf_dir):
+    """The same from pages that are captured round by round: extracted, checked, and then the job.
+
+    The last round shows nothing new, where the feed ends; what is incomplete goes to the quarantine.
+    """
+    path = shared_folder(spark, "captured")
+    made = captures.feed_pages(spark, sf_dir)
+    pages = made.withColumns({"feed": F.lit("search"), "height": F.col("page_id")})
+    last = made.agg(F.max("page_id")).first()[0] or 0
+    for i in range(ROUNDS):
+        part = pages.where(F.expr(f"page_id * {ROUNDS} div {last + 1}") == i)
+        part.repartition(ROUND_FILES).write.mode("append").parquet(path)
+    for _ in range(2):
+        pages.where(F.col("page_id") == last).repartition(1).write.mode("append").parquet(path)
+    required, keys = ("author", "post_link"), ("page_id", "container_idx")
+    checked = stream.Quarantine(shared_folder(spark, "checked"), required, keys)
+    schema = None
+
+    def extract(kept, round_no):
+        nonlocal schema
+        cards = extract_cards(kept.where(may_hold(v.POST_CONTAINER)), src.POST_CARD)
+        schema = cards.schema
+        checked(cards, round_no)
+
+    sink = stops.StandStill(shared_folder(spark, "heights"), extract, after=1)
+    followed = stream.read_feed(spark, path, pages.schema, files_per_round=ROUND_FILES)
+    stream.write_rounds(followed, sink, shared_folder(spark, "checkpoint"), stop=sink.done)
+    per_page = F.col("page_id") * captures.CARDS_PER_PAGE + F.col("container_idx")
+    cards = checked.accepted(spark, schema).withColumn("seq", per_page)
+    # The round that showed nothing new has shown a page again.
+    return jobs.all_posts(dedup.first_per_key(cards, "seq", "round"), jobs.Search(query=SEARCH, kind="post"), numbered=True)
+
+
 @query(
     f"with {sql.POSTS} select {SHOWN_SQL}, {BY_AGE} from posts where kind = 'post' and {AGE_SQL}"
 )
@@ -855,6 +1099,23 @@ def all_posts_compact(spark, sf_dir):
     return jobs.all_posts_compact(cards, numbered=True)
 
 
+@query(
+    f"with {sql.POSTS}, d as (select author, concat({sql.stripped('description')}, 'hashtag') as description, "
+    f"rtrim(time_posted) as time_posted, post_link, seq from posts where kind = 'post' and {AGE_SQL} and {SEARCH_SQL} "
+    f"qualify {FIRST_SQL} = 1) select author, description, time_posted, post_link, {BY_SEQ} from d"
+)
+def all_posts_compact_rounds(spark, sf_dir):
+    """A search whose rounds each show the whole feed again, written under a free name."""
+    shown = _card_table(spark, sf_dir, src.COMPACT_POST_CARD)
+    # The second round shows the first page once more, in another place.
+    rounds = shown.withColumn("round", F.explode(F.array(F.lit(0), F.lit(1))))
+    placed = rounds.withColumn("seq", ordering.feed_position("round", "seq"))
+    search = jobs.Search(query=f"{SEARCH}", kind="post", hours=24)
+    found = jobs.all_posts_compact(placed, search, numbered=True).drop("seq")
+    path = export.export_versioned(found, f"{shared_folder(spark, 'compact')}/file", ".parquet")
+    return spark.read.schema(found.schema).parquet(path)
+
+
 @query(
     f"with {sql.POSTS} select {SHOWN_SQL} from posts where {SEARCH_SQL} and batch < 70 order by seq limit 60"
 )
@@ -879,7 +1140,9 @@ BROKEN = "<![broken"
 def job_errors(spark, sf_dir):
     pages = captures.feed_pages(spark, sf_dir)
     html = F.when(F.col("page_id") % 10 == 3, F.concat(F.lit(BROKEN), "html")).otherwise(F.col("html"))
-    cards = extract_cards(pages.withColumn("html", html), src.POST_CARD)
+    cards = extract_cards(pages.withColumn("html", html), src.POST_CARD).withColumn(
+        "seq", F.col("page_id") * captures.CARDS_PER_PAGE + F.col("container_idx")
+    )
     values = captures.posts(spark, sf_dir).select(
         F.col("page_id").alias("of_page"), (F.col("seq") % captures.CARDS_PER_PAGE).alias("at"), "value"
     )
@@ -887,9 +1150,13 @@ def job_errors(spark, sf_dir):
     partial = cards.join(values, there, "left").withColumn(
         "time_posted", F.when(F.col("value") >= 10, F.col("time_posted"))
     )
-    left_out = jobs.incomplete(partial, v.POST)
     # A page that was not read has no containers.
-    return left_out.withColumn("container_idx", F.coalesce("container_idx", F.lit(-1)).cast("bigint"))
+    left_out = jobs.incomplete(partial, v.POST).withColumn(
+        "container_idx", F.coalesce("container_idx", F.lit(-1)).cast("bigint")
+    )
+    found = jobs.all_posts(partial, numbered=True)
+    _, errors = export.export_with_errors(found, left_out, f"{shared_folder(spark, 'job')}/file", ".parquet")
+    return spark.read.schema(left_out.schema).parquet(errors)
 
 
 @query(f"with {sql.POSTS} select author as \"Author\", description as \"Description\", time_posted as \"Time Posted\", "

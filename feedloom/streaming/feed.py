@@ -67,17 +67,20 @@ def write_rounds(
     write: Callable[[DataFrame, int], None],
     checkpoint: str,
     rounds: int | None = None,
+    stop: Callable[[SparkSession, int], bool] | None = None,
 ) -> None:
     """Hand every available round to ``write(records, round)``, at most ``rounds`` of them.
 
-    The round after the last one is refused before it is committed, so that a later run with
-    the same checkpoint starts with it.
+    ``stop(session, round)`` is asked before each round whether what earlier rounds have committed
+    ends the feed; the sinks of :mod:`feedloom.streaming.stops` have one. The round after the last one is
+    refused before it is committed, so that a later run with the same checkpoint starts with it.
     """
     done, stopped = 0, False
 
     def step(records: DataFrame, round_no: int) -> None:
         nonlocal done, stopped
-        if rounds is not None and done >= rounds:
+        over = rounds is not None and done >= rounds
+        if over or (stop is not None and stop(records.sparkSession, round_no)):
             stopped = True
             raise RoundLimit
         write(records, round_no)
