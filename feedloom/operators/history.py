@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.dedup import first_per_key
+from feedloom.session import staged
 
 
 class KeyHistory:
@@ -42,11 +43,14 @@ class KeyHistory:
         """
         known = records.where(F.col(self.key).isNotNull())
         dealt = first_per_key(known, self.key, seq).repartition(self.buckets, self.key)
-        return dealt.join(self.keys(run).hint("merge"), self.key, "left_anti")
+        # An outer join, as an anti-join would be moved below the dealing out and shuffle both sides.
+        kept = self.keys(run).withColumn("_kept", F.lit(True)).hint("merge")
+        return dealt.join(kept, self.key, "left").where("_kept IS NULL").select(*records.columns)
 
     def add(self, records: DataFrame, run: int) -> None:
         """Keep the keys of a run; they replace those of the same run."""
-        new = records.select(self.key).distinct().repartition(self.buckets, self.key)
+        # Written first, as what is new was found by reading the table it goes to.
+        new = staged(records.select(self.key).distinct(), "keys").repartition(self.buckets, self.key)
         new.sortWithinPartitions(self.key).createOrReplaceTempView(view := f"{self.name}_new")
         self.spark.sql(
             f"INSERT OVERWRITE TABLE {self.name} PARTITION (run = {int(run)}) SELECT `{self.key}` FROM {view}"

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from feedloom.operators.dedup import first_per_key
 
@@ -35,16 +35,18 @@ class _First(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best = min(rows, key=lambda r: r[self.seq])
-        if self.first.exists() and self.first.get()[0] <= best[self.seq]:
+        held = self.first.get() if self.first.exists() else None
+        if held is not None and held[0] <= best[self.seq]:
             return
-        self.first.update((best[self.seq],))
+        until = held[1] if held is not None else 0
         if self.event_time is not None:
-            seen = int(best[self.event_time].timestamp() * 1000)
-            self.handle.registerTimer(max(seen, timerValues.getCurrentWatermarkInMs()) + self.keep_ms)
+            until = max(until, int(best[self.event_time].timestamp() * 1000) + self.keep_ms)
+            self.handle.registerTimer(until)
+        self.first.update((best[self.seq], until))
         yield Row(**{n: best[n] for n in self.names})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not list(self.handle.listTimers()):
+        if self.first.exists() and expiredTimerInfo.getExpiryTimeInMs() >= self.first.get()[1]:
             self.first.clear()
         return iter(())
 
@@ -86,7 +88,7 @@ def first_in_state(
     reduced = feed.where(F.col(key).isNotNull()).mapInArrow(_first_of_batch(key, seq), schema)
     if event_time is not None:
         reduced = reduced.withWatermark(event_time, delay)
-    place = StructType([StructField("seq", schema[seq].dataType)])
+    place = StructType([StructField("seq", schema[seq].dataType), StructField("until", LongType())])
     return reduced.groupBy(key).transformWithState(
         statefulProcessor=_First(seq, place, schema.names, event_time, keep_seconds * 1000),
         outputStructType=schema,

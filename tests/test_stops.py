@@ -41,7 +41,8 @@ def test_row_cap_equals_the_cap_of_a_batch(spark, rounds, tmp_path, n):
         return
     got = [(r.seq, r.text) for r in sink.records(spark, whole.schema).collect()]
     assert sorted(got) == want and len(got) == min(n, 50)
-    assert sink.taken(spark, 3) == min(n, 30) or n <= 30
+    if n > 30:
+        assert sink.taken(spark, 3) == 30
 
 
 def test_row_cap_round_can_run_again(spark, tmp_path):
@@ -147,7 +148,7 @@ def test_first_record_in_state(spark, rounds, tmp_path):
 def test_state_is_forgotten_behind_the_watermark(spark, rounds, tmp_path):
     schema = "seq bigint, link string, at bigint"
     feed = rounds([[(1, "a", 0), (2, "b", 500)], [(3, "c", 1000)], [(4, "c", 1001)], [(5, "a", 1002), (6, "b", 1002)]], schema)
-    timed = feed.withColumn("at", F.timestamp_seconds("at"))
+    timed = feed.withColumn("at", F.timestamp_seconds(F.col("at") + 1_700_000_000))
     out = str(tmp_path / "out")
     first = keyed.first_in_state(timed, "link", event_time="at", keep_seconds=700)
     stream.append_available(first, out, str(tmp_path / "check"))
