@@ -31,9 +31,8 @@ SEED = 42
 #: A text is hashed in blocks of about as many bytes.
 BLOCK = 1 << 20
 
-#: Members of a variant that go in one row, and that are compared in one task; larger ones are joined
-#: over what lies between two fingerprints.
-FEW = 256
+#: Members of a variant that are compared in one task at most; those of larger ones are linked over what lies
+#: between two fingerprints.
 MANY = 1 << 17
 
 #: Up to this size all pairs of a variant are tried at once, in larger ones a tree of links is grown.
@@ -93,18 +92,33 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.int64())], ["doc_id", "fp"])
 
 
-def _variants(fingerprints: DataFrame) -> DataFrame:
-    """The entries ``key``, ``fp`` of each fingerprint: every segment with every bit blanked out once."""
-    made: list[Column] = []
-    start = 0
-    for s in range(SEGMENTS):
-        size = (BITS - start) // (SEGMENTS - s)
-        segment = F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << size) - 1))
-        for i in range(size):
-            masked = segment.bitwiseAND(F.lit(~(1 << i)))
-            made.append(masked.bitwiseOR(F.lit((start + i) << 32)))
-        start += size
-    return fingerprints.select("fp", F.explode(F.array(*made)).alias("key"))
+def _spans() -> list[tuple[int, int]]:
+    """First bit and number of bits of each segment."""
+    cuts = [BITS * i // SEGMENTS for i in range(SEGMENTS + 1)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def _segments(fingerprints: DataFrame) -> DataFrame:
+    """``fp``, ``part`` and ``value``: the segments of each fingerprint."""
+    values = [
+        F.struct(F.lit(i).alias("part"), F.shiftrightunsigned("fp", start).bitwiseAND(F.lit((1 << size) - 1)).alias("value"))
+        for i, (start, size) in enumerate(_spans())
+    ]
+    return fingerprints.select("fp", F.inline(F.array(*values)))
+
+
+def _per_part(what) -> Column:
+    """An array for the segment in question; ``what(start, i)`` is its element for each bit of it."""
+    out = F.lit(None)
+    for part, (start, size) in enumerate(_spans()):
+        out = F.when(F.col("part") == part, F.array(*[what(start, i) for i in range(size)])).otherwise(out)
+    return out
+
+
+def _variants(segments: DataFrame) -> DataFrame:
+    """``key`` and ``fp``: every segment with every bit blanked out once; the bit is the upper half of the key."""
+    keys = _per_part(lambda start, i: F.col("value").bitwiseAND(F.lit(~(1 << i))).bitwiseOR(F.lit((start + i) << 32)))
+    return segments.select("fp", F.explode(keys).alias("key"))
 
 
 def _between(fingerprints: DataFrame) -> DataFrame:
@@ -122,8 +136,24 @@ def _between(fingerprints: DataFrame) -> DataFrame:
     return near.join(least, "key").where("fp <> least").select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct()
 
 
-def _tree(values: np.ndarray) -> np.ndarray:
-    """Links that join what is connected among distinct fingerprints: at most one less than they are."""
+def _first_meeting(apart: np.ndarray, key: int) -> np.ndarray:
+    """Whether two members of a variant that differ by ``apart`` share no variant before this one.
+
+    So a pair is taken up once: in the first segment with at most one differing bit, in its variant
+    without that bit, or in the first one where the segments are equal.
+    """
+    bit = key >> 32
+    first = np.ones(apart.shape, dtype=bool)
+    for start, size in _spans():
+        inside = apart & _U(((1 << size) - 1) << start)
+        if bit < start + size:
+            return first & ((inside != 0) if bit > start else True)
+        first &= np.bitwise_count(inside) > 1
+    return first
+
+
+def _tree(values: np.ndarray, key: int) -> np.ndarray:
+    """Links that join what is connected among the members of a variant: at most one less than they are."""
     found: list[np.ndarray] = []
     waiting, pool = [], values
     while len(pool) or waiting:
@@ -131,7 +161,9 @@ def _tree(values: np.ndarray) -> np.ndarray:
             waiting.append(pool[0])
             pool = pool[1:]
         one = waiting.pop()
-        near = np.bitwise_count(pool ^ one) <= DISTANCE
+        apart = pool ^ one
+        near = np.bitwise_count(apart) <= DISTANCE
+        near[near] = _first_meeting(apart[near], key)
         if near.any():
             hits = pool[near]
             pool = pool[~near]
@@ -140,74 +172,74 @@ def _tree(values: np.ndarray) -> np.ndarray:
     return np.concatenate(found) if found else np.empty((0, 2), _U)
 
 
-def _pairs(rows: np.ndarray) -> np.ndarray:
-    """All close pairs within each row of a table of fingerprints."""
+def _pairs(rows: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """All close pairs within each row of a table of fingerprints, one row per variant."""
     i, j = np.triu_indices(rows.shape[1], 1)
     a, b = rows[:, i], rows[:, j]
     near = np.bitwise_count(a ^ b) <= DISTANCE
-    return np.stack((a[near], b[near]), axis=1)
+    found = [
+        np.stack((a[r][near[r]], b[r][near[r]]), axis=1)[_first_meeting((a[r] ^ b[r])[near[r]], int(keys[r]))]
+        for r in np.flatnonzero(near.any(axis=1))
+    ]
+    return np.concatenate(found) if found else np.empty((0, 2), _U)
 
 
-def _as_links(found: list[np.ndarray]) -> pa.RecordBatch:
-    pairs = np.concatenate(found) if found else np.empty((0, 2), _U)
-    pairs = np.unique(np.sort(pairs.view(np.int64), axis=1), axis=0)
+def _links(keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
+    """Links within the runs of equal keys."""
+    starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.empty(0, np.int64)
+    sizes = np.diff(np.append(starts, len(keys)))
+    found = [np.empty((0, 2), _U)]
+    for size in np.unique(sizes[sizes > 1]).tolist():
+        of = starts[sizes == size]
+        if size <= PAIRS:
+            found.append(_pairs(values[of[:, None] + np.arange(size)], keys[of]))
+        else:
+            found += [_tree(values[a : a + size], int(keys[a])) for a in of.tolist()]
+    pairs = np.sort(np.concatenate(found).view(np.int64), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
 
 
-def _in_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries come sorted by key; the last key of a batch may go on in the next one."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
-        lists = batch.column(0)
-        sizes = lists.value_lengths().to_numpy()
-        values = lists.flatten().to_numpy().view(_U)
-        starts = np.cumsum(sizes) - sizes
-        found = []
-        for size in np.unique(sizes).tolist():
-            rows = values[starts[sizes == size][:, None] + np.arange(size)]
-            if size <= PAIRS:
-                found.append(_pairs(rows))
-            else:
-                found.extend(_tree(row) for row in rows)
-        yield _as_links(found)
-
-
-def _in_group(table: pa.Table) -> pa.Table:
-    return pa.Table.from_batches([_as_links([_tree(table.column("fp").to_numpy().view(_U))])])
-
-
-def fingerprint_links(fingerprints: DataFrame, few: int = FEW, many: int = MANY) -> DataFrame:
+        if not batch.num_rows:
+            continue
+        keys, values = batch.column(0).to_numpy(), batch.column(1).to_numpy().view(_U)
+        if held and keys[-1] == held[0][0][0]:
+            held.append((keys, values))
+            continue
+        last = int(np.searchsorted(keys, keys[-1]))
+        held.append((keys[:last], values[:last]))
+        yield _links(*map(np.concatenate, zip(*held, strict=True)))
+        held = [(keys[last:], values[last:])]
+    if held:
+        yield _links(*map(np.concatenate, zip(*held, strict=True)))
+
+
+def fingerprint_links(fingerprints: DataFrame, many: int = MANY) -> DataFrame:
     """Links ``a``, ``b`` between the distinct fingerprints of column ``fp`` that differ in at most four bits.
 
-    Not every such pair is a link, but what such pairs connect, links connect. Members of a variant are
-    compared in one task while they are at most ``many``; what is linked already is not compared
-    again there. The members of larger variants are linked over the values between them.
+    Not every such pair is a link, but what such pairs connect, links connect. Entries are put in order of
+    their variant by one shuffle and compared where they lie, each pair once; what is linked
+    already is not compared again in a larger variant. Only links leave the task.
+
+    A segment that more than ``many / 2`` fingerprints have makes no variants, so none has over ``many`` members.
+    Those fingerprints, and all whose segment is at most one bit away, are linked over the values between them.
     """
-    entries = _variants(fingerprints.select("fp"))
-    variants = staged(
-        entries.groupBy("key")
-        .agg(
-            F.count("*").alias("members"),
-            F.min("fp").alias("least"),
-            F.bit_xor(F.xxhash64("fp")).alias("s1"),
-            F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("s2"),
-        )
-        .where("members > 1")
-        # Variants of the same members are one.
-        .groupBy("members", "least", "s1", "s2")
-        .agg(F.min("key").alias("key"))
-        .select("key", "members"),
-        "variants",
-    )
-    small = entries.join(variants.where(F.col("members") <= few).select("key"), "key")
-    found = small.groupBy("key").agg(F.collect_list("fp").alias("fps")).select("fps").mapInArrow(
-        _in_lists, "a long, b long"
+    segments = _segments(fingerprints.select("fp"))
+    crowded = staged(
+        segments.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > many // 2).drop("n"), "crowded"
     )
-    large = variants.where((F.col("members") > few) & (F.col("members") <= many)).select("key")
-    if not large.isEmpty():
-        found = found.union(entries.join(large, "key").groupBy("key").applyInArrow(_in_group, "a long, b long"))
-    crowded = variants.where(F.col("members") > many).select("key")
+    aside = None
     if not crowded.isEmpty():
-        found = found.union(_between(entries.join(crowded, "key").select("fp").distinct()))
-    return staged(found.distinct(), "links")
+        near = F.concat(F.array("value"), _per_part(lambda _, i: F.col("value").bitwiseXOR(F.lit(1 << i))))
+        around = crowded.select("part", F.explode(near).alias("value")).distinct()
+        aside = _between(segments.join(around, ["part", "value"]).select("fp").distinct())
+        segments = segments.join(crowded, ["part", "value"], "left_anti")
+    entries = _variants(segments).select("key", "fp").repartition("key").sortWithinPartitions("key")
+    found = entries.mapInArrow(_linked, "a long, b long")
+    return staged((found if aside is None else found.union(aside)).distinct(), "links")
 
 
 def simhash_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -3,6 +3,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -83,11 +85,12 @@ def crowd(rnd, n, spread):
     return sorted(out)
 
 
-@pytest.mark.parametrize("few, many", [(256, 1 << 15), (3, 40), (2, 3)])
-def test_crowded_variants_lose_no_link(spark, few, many):
-    values = crowd(random.Random(few), 200, 12) + [0, 2**64 - 1, 1, 15, 31]
+@pytest.mark.parametrize("many, pairs", [(1 << 17, 16), (1 << 17, 3), (40, 3), (2, 16)])
+def test_crowded_variants_lose_no_link(spark, monkeypatch, many, pairs):
+    monkeypatch.setattr(simhash_variants, "PAIRS", pairs)
+    values = crowd(random.Random(many), 200, 12) + [0, 2**64 - 1, 1, 15, 31]
     table = spark.createDataFrame([(signed(v),) for v in values], "fp long").distinct()
-    links = simhash_variants.fingerprint_links(table, few, many)
+    links = simhash_variants.fingerprint_links(table, many)
     assert links.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) > 4).isEmpty()
     of = {r.node % 2**64: r.component % 2**64 for r in components(links).collect()}
     want = brute_groups(values)
@@ -100,6 +103,36 @@ def test_crowded_variants_lose_no_link(spark, few, many):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, brute.values()))
 
 
+def test_pairs_meet_once():
+    """Of all variants that two fingerprints share, one takes them up."""
+    rnd = random.Random(1)
+    spans = simhash_variants._spans()
+    assert spans[0][0] == 0 and sum(size for _, size in spans) == 64
+    for _ in range(300):
+        apart = 0
+        for _ in range(rnd.randrange(1, 5)):
+            apart |= 1 << rnd.randrange(64)
+        shared = [
+            (start + i) << 32
+            for start, size in spans for i in range(size)
+            if (apart >> start) % (1 << size) & ~(1 << i) == 0
+        ]
+        meets = [simhash_variants._first_meeting(np.array([apart], np.uint64), key)[0] for key in shared]
+        assert sum(meets) == 1
+
+
+def test_entries_over_batches():
+    rnd = random.Random(2)
+    values = crowd(rnd, 60, 6)
+    entries = sorted((k << 32, v) for k in (0, 1, 30) for v in values)
+    whole = simhash_variants._links(*(np.array(x) for x in zip(*[(k, np.uint64(v)) for k, v in entries])))
+    keys, fps = (pa.array(x, pa.int64()) for x in zip(*[(k, signed(v)) for k, v in entries]))
+    for size in (1, 7, 60, 1000):
+        batches = pa.table({"key": keys, "fp": fps}).to_batches(max_chunksize=size)
+        got = {tuple(r.values()) for b in simhash_variants._linked(iter(batches)) for r in b.to_pylist()}
+        assert got == {tuple(r.values()) for r in whole.to_pylist()}
+
+
 def test_rows_without_ids_and_of_repeated_ones(table):
     long = "one two three four five six"
     rows = [(5, long), (5, "other words here now"), (None, long), (3, long), (None, "alone and without any id"), (9, None), (8, "")]
