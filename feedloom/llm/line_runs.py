@@ -39,7 +39,7 @@ class LineRuns:
     """A growing set of line hashes: sorted runs in levels, in the shared folder.
 
     A run has one row per hash: ``h1``, ``h2``, ``n`` (documents that hold the line, as far as
-    the run knows) and ``owner`` (the largest document among them, for hashes that were new).
+    the run knows), ``new`` (no earlier run had it) and ``owner`` (the largest document, of new ones).
     Runs are bucketed by hash and sorted, so a batch is shuffled once and merged with each run
     where it lies. ``fanout`` runs of a level are compacted to one of the next.
     """
@@ -80,35 +80,51 @@ class LineRuns:
             seen = seen | F.coalesce(f"_in{i}", F.lit(False))
         return keys.withColumn("seen", seen).drop(*[f"_in{i}" for i in range(len(self.runs()))])
 
-    def fresh(self, keys: DataFrame) -> DataFrame:
-        """Those rows of a batch whose hash is in no run: an anti-join with each of them."""
-        for run in self.runs():
-            keys = keys.join(run, ["h1", "h2"], "left_anti")
-        return keys
-
     def add(self, lines: DataFrame) -> None:
-        """Add a batch of ``h1``, ``h2``, ``doc_id``: one row for each line of a document."""
+        """Add a batch of ``h1``, ``h2``, ``doc_id``: one row for each line of a document.
+
+        Hashes that no run has are new and get their owner, the largest document of the batch; the
+        others only add to the number of documents.
+        """
         unknown = F.max(F.col("doc_id").isNull().cast("int"))
         keys = lines.groupBy("h1", "h2").agg(
-            (F.count_distinct("doc_id") + unknown).alias("n"), F.max("doc_id").alias("owner")
+            (F.count_distinct("doc_id") + unknown).alias("n"), F.max("doc_id").alias("largest")
         )
         marked = self.flagged(keys)
         self._store(
-            marked.select("h1", "h2", "n", F.when(~F.col("seen"), F.col("owner")).alias("owner")), 0
+            marked.select("h1", "h2", "n", F.when(~F.col("seen"), F.col("largest")).alias("owner"), (~F.col("seen")).alias("new")), 0
         )
 
     def merged(self) -> DataFrame:
         """All runs as one."""
         return _merged(self.runs())
 
+    def drop(self) -> None:
+        """Forget the runs; their files lie in the shared folder."""
+        for name in [name for level in self.levels for name in level]:
+            self.spark.sql(f"DROP TABLE {name}")
+        self.levels = []
+
 
 def _merged(runs: list[DataFrame]) -> DataFrame:
-    together = runs[0]
+    """Runs as one: sorted buckets are merged where they lie, by a join of each run with the next.
+
+    Not by a union, which of bucketed tables may be taken for one that is already dealt.
+    """
+    columns = ["h1", "h2", "n", "owner", "new"]
+    out = runs[0].select(columns)
     for run in runs[1:]:
-        together = together.union(run)
-    # Said outright, as a union of bucketed tables may be taken for one that is already dealt.
-    dealt = together.repartition("h1", "h2")
-    return dealt.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.max("owner").alias("owner"))
+        later = run.select("h1", "h2", *[F.col(c).alias(f"_{c}") for c in columns[2:]])
+        new, there = F.coalesce("_new", F.lit(False)), F.coalesce("new", F.lit(False))
+        # The owner stands where the hash was new, which is in one run.
+        out = out.join(later, ["h1", "h2"], "full").select(
+            "h1",
+            "h2",
+            (F.coalesce("n", F.lit(0)) + F.coalesce("_n", F.lit(0))).alias("n"),
+            F.when(new, F.col("_owner")).otherwise(F.col("owner")).alias("owner"),
+            (new | there).alias("new"),
+        )
+    return out
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +192,8 @@ def drop_repeated_lines(
     runs = LineRuns(spark)
     for batch in reversed(range(batches)):
         runs.add(lines.where(F.col("batch") == batch).drop("batch"))
-    drops = runs.merged().where(F.col("n") >= least_docs)
+    drops = staged(runs.merged().where(F.col("n") >= least_docs).select("h1", "h2", "owner"), "drops")
+    runs.drop()
     dropped = (
         lines.join(drops, ["h1", "h2"])
         .where(F.coalesce(F.col("doc_id") != F.col("owner"), F.lit(True)))

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from feedloom.llm import bwt_dedup, components, line_runs, sketch_dedup
 from tests.llm.conftest import ODD
@@ -137,7 +138,7 @@ def test_runs_know_what_they_hold(spark):
         rows = [(h, -h, 10 - h) for h in batch]
         lines = spark.createDataFrame(rows, "h1 long, h2 long, doc_id long")
         known = {r.h1 for r in runs.merged().collect()} if runs.levels else set()
-        assert {r.h1 for r in runs.fresh(lines).collect()} == set(batch) - known
+        assert {r.h1 for r in runs.flagged(lines).where("not seen").collect()} == set(batch) - known
         runs.add(lines)
     rows = runs.merged().collect()
     assert len(rows) == 6
@@ -146,6 +147,32 @@ def test_runs_know_what_they_hold(spark):
     }
 
 
+    names = [name for level in runs.levels for name in level]
+    assert names and all(spark.catalog.tableExists(name) for name in names)
+    runs.drop()
+    assert not any(spark.catalog.tableExists(name) for name in names)
+
+
+def test_lines_are_counted_over_batches(table):
+    """Two documents of one batch and one of another: each run alone has too few of them."""
+    rows = [(i, f"{LINES[4].format(i)}\n{LINES[4].format('x') if i in (3, 4, 28) else ''}") for i in range(30)]
+    for batches in (2, 3, 5):
+        got = {r.doc_id: r.n_dropped for r in line_runs.drop_repeated_lines(table(rows), batches=batches).collect()}
+        assert got == {i: int(i in (3, 4)) for i in range(30)}
+
+
+def test_the_merge_with_the_runs_decides_the_owner(table, monkeypatch):
+    """Without it every batch would name an owner of its own."""
+    rows = [(i, LINES[0]) for i in range(30)]
+
+    def kept():
+        return {r.doc_id for r in line_runs.drop_repeated_lines(table(rows), batches=3).collect() if r.kept}
+
+    assert kept() == {29}
+    monkeypatch.setattr(line_runs.LineRuns, "flagged", lambda self, keys: keys.withColumn("seen", F.lit(False)))
+    assert kept() != {29}
+
+
 def brute_strings(rows, length=bwt_dedup.LENGTH):
     seen, out = set(), {}
     for doc, text in sorted(rows, key=lambda r: r[0]):
