@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.learn import fit_logistic, sigmoid
 from feedloom.llm.text import SPACED, hash_words, pieces, utf8
+from feedloom.session import staged
 
-#: Labelled and unlabelled documents that the views are fitted on at most.
+#: Labelled documents that the views are fitted on at most.
 SAMPLE_DOCS = 4000
 
 #: Rounds of exchange, what a view is sure of, and how many it passes on in a round and class.
@@ -26,6 +27,9 @@ PASSED_ON = 200
 WORD_BINS = 128
 PAGE_BINS = 48
 
+#: Features of a document in each view.
+WIDTHS = (13 + WORD_BINS, PAGE_BINS + 4)
+
 _CLASSES = np.zeros(256, np.int64)
 for _i in range(256):
     _c = chr(_i)
@@ -110,44 +114,104 @@ def _view(x: np.ndarray, y: np.ndarray, held_x: np.ndarray, held_y: np.ndarray)
     return view
 
 
+@dataclass
+class Picks:
+    """Documents that a view is sure of: which view, the label it gives, how sure, which document, its features."""
+
+    view: np.ndarray
+    label: np.ndarray
+    sure: np.ndarray
+    turn: np.ndarray
+    features: list[np.ndarray]
+
+
+def surest(
+    views: list[View], turns: np.ndarray, features: list[np.ndarray], given: list[np.ndarray], most: int = PASSED_ON
+) -> Picks:
+    """For each view and label the ``most`` surest documents that the other view was not given yet.
+
+    ``turns`` numbers the documents and orders what is equally sure; ``given`` has those that went
+    to each view.
+    """
+    parts = []
+    for v in (0, 1):
+        p = sigmoid(views[v].log_odds(features[v])) if len(turns) else np.empty(0)
+        for label, sure in ((1, p), (0, 1 - p)):
+            rows = np.flatnonzero((sure >= SURE) & ~np.isin(turns, given[1 - v]))
+            rows = rows[np.lexsort((turns[rows], -sure[rows]))][:most]
+            parts.append((np.full(len(rows), v), np.full(len(rows), label), sure[rows], rows))
+    view, label, sure, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return Picks(view, label, sure, turns[rows], [x[rows] for x in features])
+
+
 def cotrain(
-    labelled: list[np.ndarray], y: np.ndarray, unlabelled: list[np.ndarray], seed: int = 0
+    labelled: list[np.ndarray], y: np.ndarray, find: Callable[[list[View], list[np.ndarray]], Picks], seed: int = 0
 ) -> Model:
-    """Fit both views over rounds; ``labelled`` and ``unlabelled`` hold the features of each.
+    """Fit both views over rounds; ``labelled`` holds the features of each.
 
     A fourth of the labels calibrates the views and weighs them against each other. In a round
-    each view labels the documents it is surest of, and the other learns from them.
+    each view labels the documents it is surest of, and the other learns from them: ``find(views, given)``
+    looks for them among all documents without a label. Without labels every score is one half.
     """
+    if not len(y):
+        none = [View(np.zeros(x.shape[1] + 1), np.zeros(x.shape[1]), np.ones(x.shape[1]), np.array([1.0, 0.0])) for x in labelled]
+        return Model(none, np.zeros(3))
     rng = np.random.default_rng(seed)
     held = rng.random(len(y)) < 0.25
     own = ~held
-    extra: list[tuple[list[int], list[int]]] = [([], []), ([], [])]
+    learnt: list[tuple[list[np.ndarray], list[np.ndarray]]] = [([], []), ([], [])]
+    given = [np.empty(0, np.int64), np.empty(0, np.int64)]
 
     def fit_view(v: int) -> View:
-        rows, given = extra[v]
-        x = np.vstack([labelled[v][own], unlabelled[v][rows]])
-        return _view(x, np.append(y[own], np.array(given, y.dtype)), labelled[v][held], y[held])
+        x = np.vstack([labelled[v][own], *learnt[v][0]])
+        return _view(x, np.concatenate([y[own], *learnt[v][1]]).astype(y.dtype), labelled[v][held], y[held])
 
     views = [fit_view(0), fit_view(1)]
-    left = [np.ones(len(unlabelled[0]), bool) for _ in range(2)]
     for _ in range(ROUNDS):
-        passed = 0
-        for v in (0, 1):
-            p = sigmoid(views[v].log_odds(unlabelled[v])) if len(unlabelled[v]) else np.empty(0)
-            for value, sure in ((1, p), (0, 1 - p)):
-                rows = np.flatnonzero((sure >= SURE) & left[1 - v])
-                rows = rows[np.argsort(-sure[rows], kind="stable")][:PASSED_ON]
-                left[1 - v][rows] = False
-                extra[1 - v][0].extend(rows.tolist())
-                extra[1 - v][1].extend([value] * len(rows))
-                passed += len(rows)
-        if not passed:
+        picks = find(views, given)
+        if not len(picks.turn):
             break
+        for v in (0, 1):
+            rows = picks.view == 1 - v
+            learnt[v][0].append(picks.features[v][rows])
+            learnt[v][1].append(picks.label[rows])
+            given[v] = np.concatenate([given[v], picks.turn[rows]])
         views = [fit_view(0), fit_view(1)]
     odds = np.stack([v.log_odds(x[held]) for v, x in zip(views, labelled, strict=True)], 1)
     return Model(views, fit_logistic(odds, y[held], penalty=0.5))
 
 
+_PICKS = "view int, label int, sure double, turn long, text array<float>, page array<float>"
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
+    """A list column of one length as rows of a table."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def surest_of(unlabelled: DataFrame, views: list[View], given: list[np.ndarray], most: int = PASSED_ON) -> Picks:
+    """:func:`surest` over a table of features (``turn``, ``text``, ``page``) of any size.
+
+    Every batch keeps its surest, and the surest of those are taken by a ranking that starts in each task.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features = [_matrix(batch.column(i + 1), WIDTHS[i]) for i in (0, 1)]
+            found = surest(views, batch.column(0).to_numpy(), features, given, most)
+            lists = [pa.array(list(x), pa.list_(pa.float32())) for x in found.features]
+            numbers = [pa.array(found.view, pa.int32()), pa.array(found.label, pa.int32()), pa.array(found.sure), pa.array(found.turn)]
+            yield pa.RecordBatch.from_arrays([*numbers, *lists], ["view", "label", "sure", "turn", "text", "page"])
+
+    order = Window.partitionBy("view", "label").orderBy(F.desc("sure"), "turn")
+    best = unlabelled.select("turn", "text", "page").mapInArrow(run, _PICKS)
+    best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    found = best.orderBy("view", F.desc("label"), "rank").toArrow()
+    columns = [found.column(c).to_numpy() for c in ("view", "label", "sure", "turn")]
+    return Picks(*columns, [_matrix(found.column(c), w) for c, w in zip(("text", "page"), WIDTHS, strict=True)])
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in pieces(batch.column("text")):
@@ -184,31 +248,27 @@ def fit_quality(
     lang: str = "lang",
     most: int = SAMPLE_DOCS,
 ) -> Model:
-    """Fit on at most ``most`` labelled and as many other documents, chosen by hash."""
+    """Fit on at most ``most`` labelled documents, chosen by hash, and on what the views find among all others.
+
+    The features of the documents without a label are written once; in each round both views score all of
+    them. Rows without an id have no label. Without labelled documents every score is one half.
+    """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).where(
         "_id IS NOT NULL AND label IN (0, 1)"
     )
-    rows = _inputs(docs, doc_id, text, source, lang).where("doc_id IS NOT NULL")
-    joined = rows.join(known, F.col("doc_id") == F.col("_id"), "left")
-    turn = [F.xxhash64("_of", F.lit("quality")), "_of"]
+    rows = _inputs(docs, doc_id, text, source, lang)
+    joined = rows.join(known, F.col("doc_id") == F.col("_id"), "left").drop("_id")
     fields = "doc_id long, label int, text array<float>, page array<float>"
-    widths = {"text": 13 + WORD_BINS, "page": PAGE_BINS + 4}
-    sets = []
-    for part in ("label IS NOT NULL", "label IS NULL"):
-        ids = joined.where(part).select(F.col("doc_id").alias("_of"), "label").orderBy(*turn).limit(most)
-        chosen = rows.join(F.broadcast(ids), F.col("doc_id") == F.col("_of")).select(
-            "doc_id", "label", "text", "source", "lang"
-        )
-        found = chosen.mapInArrow(_features, fields).toArrow().sort_by("doc_id").combine_chunks()
-        features = [
-            np.concatenate([[], *[c.values.to_numpy() for c in found.column(name).chunks]]).reshape(-1, width)
-            for name, width in widths.items()
-        ]
-        sets.append((features, found.column("label").to_numpy()))
-    (labelled, y), (unlabelled, _) = sets
-    if not len(y):
-        raise ValueError("no labelled documents")
-    return cotrain(labelled, y.astype(np.int64), unlabelled)
+    turn = [F.xxhash64("_of", F.lit("quality")), "_of"]
+    ids = joined.where("label IS NOT NULL").select(F.col("doc_id").alias("_of")).distinct().orderBy(*turn).limit(most)
+    chosen = joined.where("label IS NOT NULL").join(F.broadcast(ids), F.col("doc_id") == F.col("_of"))
+    found = chosen.select(*joined.columns).mapInArrow(_features, fields).toArrow().sort_by("doc_id").combine_chunks()
+    labelled = [_matrix(found.column(c), w) for c, w in zip(("text", "page"), WIDTHS, strict=True)]
+    rest = joined.where("label IS NULL").mapInArrow(_features, fields)
+    unlabelled = staged(rest.withColumn("turn", F.xxhash64("doc_id", "text", "page")).select("turn", "text", "page"), "features")
+    return cotrain(
+        labelled, found.column("label").to_numpy().astype(np.int64), lambda views, given: surest_of(unlabelled, views, given)
+    )
 
 
 def quality(

@@ -124,7 +124,9 @@ def test_views_teach_each_other():
     y = rng.integers(0, 2, 2000)
     views = [rng.normal(size=(2000, 6)) + (y[:, None] - 0.5) * np.array([2.2, 1.2, 0, 0, 0, 0]) for _ in range(2)]
     few, many, held = slice(0, 60), slice(60, 1200), slice(1200, 2000)
-    model = cotraining.cotrain([v[few] for v in views], y[few], [v[many] for v in views])
+    rest = [v[many] for v in views]
+    find = lambda found, given: cotraining.surest(found, np.arange(len(rest[0])), rest, given)
+    model = cotraining.cotrain([v[few] for v in views], y[few], find)
     score, each = model.scores([v[held] for v in views])
     right = ((score >= 0.5) == y[held]).mean()
     assert right > 0.88 and right >= max(((s >= 0.5) == y[held]).mean() for s in each) - 0.02
@@ -138,3 +140,43 @@ def test_quality_of_odd_rows(spark, table):
     assert len(got) == 60 + len(ODD) + 1 and all(0 <= r.score <= 1 for r in got)
     assert np.mean([r.predicted == r.doc_id % 2 for r in got if r.doc_id is not None and r.doc_id < 60]) > 0.9
     assert cotraining.quality(table([]), model).collect() == []
+
+
+def test_a_round_of_exchange_sees_all_documents(spark):
+    """The surest of each view and label, over batches and tasks, against a plain sort."""
+    rng = np.random.default_rng(5)
+    n = 3000
+    features = [rng.normal(size=(n, w)).astype(np.float32) for w in cotraining.WIDTHS]
+    turns = rng.permutation(10 * n)[:n].astype(np.int64)
+    views = [
+        cotraining.View(np.append(rng.normal(size=w), 0.3), np.zeros(w), np.ones(w), np.array([0.4, 0.1]))
+        for w in cotraining.WIDTHS
+    ]
+    rows = [(int(t), *[x[i].tolist() for x in features]) for i, t in enumerate(turns)]
+    table = spark.createDataFrame(rows, "turn long, text array<float>, page array<float>").repartition(5)
+    given = [turns[:500], turns[200:900]]
+    got = cotraining.surest_of(table, views, given, most=40)
+    taken = sorted(zip(got.view.tolist(), got.label.tolist(), got.turn.tolist()))
+    want = []
+    for v in (0, 1):
+        p = 1 / (1 + np.exp(-views[v].log_odds(features[v])))
+        for label, sure in ((1, p), (0, 1 - p)):
+            open_ = [i for i in range(n) if sure[i] >= cotraining.SURE and turns[i] not in set(given[1 - v])]
+            best = sorted(open_, key=lambda i: (-sure[i], turns[i]))[:40]
+            want += [(v, label, int(turns[i])) for i in best]
+    assert len(want) == 160 and taken == sorted(want)
+    place = {t: i for i, t in enumerate(turns.tolist())}
+    for k, t in enumerate(got.turn.tolist()):
+        assert all(np.array_equal(got.features[v][k], features[v][place[t]]) for v in (0, 1))
+
+
+def test_quality_without_labels_or_documents(spark, table):
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    some = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, quality int")
+    docs = table(["a b", "c", None, (None, "d")])
+    for rows, labels in ((docs, none), (docs.limit(0), some), (docs.limit(0), none)):
+        model = cotraining.fit_quality(rows, labels)
+        got = cotraining.quality(docs, model).collect()
+        assert [(r.score, r.text_score, r.page_score) for r in got] == [(0.5, 0.5, 0.5)] * 4
+    model = cotraining.fit_quality(docs, some)
+    assert all(0 <= r.score <= 1 for r in cotraining.quality(docs, model).collect())
