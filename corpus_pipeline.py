@@ -16,14 +16,22 @@ from feedloom.llm import lpt_shards, phrase_index, sketch_dedup, string_kernel,
 from feedloom.session import shared_folder, staged
 
 
-#: Names of the two halves of a row's hash.
-_ROW = ["_row1", "_row2"]
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of the documents has."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
 
 
-def _with_row(docs: DataFrame) -> DataFrame:
-    """Add 128 bits of hash over all columns; only rows that are equal as a whole share it."""
-    values = [F.array(*[F.col(c).isNull() for c in docs.columns]), *[F.col(c) for c in docs.columns]]
-    return docs.withColumns({name: F.xxhash64(F.lit(i), *values) for i, name in enumerate(_ROW)})
+def _with_hash(docs: DataFrame, names: list[str], columns: list[str]) -> DataFrame:
+    """Add 128 bits of hash over some columns, in two halves; only rows that are equal in them share it."""
+    values = [F.array(*[F.col(f"`{c}`").isNull() for c in columns]), *[F.col(f"`{c}`") for c in columns]]
+    return docs.withColumns({name: F.xxhash64(F.lit(i), *values) for i, name in enumerate(names)})
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,57 +46,73 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is a document of its own, without an id or of a repeated one too, and equal rows are a
     group. Rows without shingles are in no group and stay.
     """
-    rows = _with_row(docs)
-    node = _ROW[0]
-    groups = sketch_dedup.near_duplicates(rows, doc_id=node).groupBy(F.col("doc_id").alias(node)).agg(
-        F.first("component_id").alias("_group"), F.first("n_shingles").alias("_shingles")
+    first, second, node, twin = _free(docs, "_row1", "_row2", "_node", "_twin")
+    rows = _with_hash(docs, [first, second], docs.columns)
+    distinct = staged(rows.groupBy(first, second).agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "rows")
+    # Half of the hash is the number of a row in the search; different rows that share it get another one.
+    twins = distinct.groupBy(first).agg(F.count("*").alias(twin)).where(F.col(twin) > 1)
+    some = not twins.isEmpty()
+
+    def numbered(table: DataFrame) -> DataFrame:
+        if not some:
+            return table.withColumn(node, F.col(first))
+        own = F.when(F.col(twin).isNull(), F.col(first)).otherwise(F.xxhash64(first, second))
+        return table.join(twins, first, "left").withColumn(node, own).drop(twin)
+
+    rows = numbered(rows)
+    groups = sketch_dedup.near_duplicates(rows.select(node, "text"), doc_id=node).groupBy(F.col("doc_id").alias(node)).agg(
+        F.first("component_id").alias("component_id"), F.first("n_shingles").alias("n_shingles")
     )
-    ids = rows.groupBy(node).agg(F.min("doc_id").alias("_id"), F.count("*").alias("_rows"))
-    of = groups.join(ids, node)
-    first = F.min(F.struct(F.col("_id").isNull().alias("_last"), "_id", node, "_rows"))
+    of = groups.join(numbered(distinct), node)
+    least = F.min(F.struct(F.col("id").isNull().alias("last"), "id", node, "n"))
     kept = staged(
-        of.where("_shingles > 0").groupBy("_group").agg(first.alias("_first")).select(f"_first.{node}", "_first._rows")
-        .union(of.where("_shingles = 0").select(node, F.lit(1).cast("long"))),
+        of.where("n_shingles > 0").groupBy("component_id").agg(least.alias("kept")).select(f"kept.{node}", "kept.n")
+        .union(of.where("n_shingles = 0").select(node, F.lit(1).cast("long"))),
         "kept",
     )
-    out = rows.join(kept.where("_rows = 1"), node)
-    more = kept.where("_rows > 1")
+    out = rows.join(kept.where("n = 1").select(node), node)
+    more = kept.where("n > 1").select(node)
     if not more.isEmpty():
-        out = out.unionByName(rows.join(more, node).dropDuplicates(_ROW))
-    return out.select(*docs.columns)
+        out = out.unionByName(rows.join(more, node).dropDuplicates([first, second]))
+    return out.select(*[f"`{c}`" for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     # What a document holds depends on its text alone, whatever its id is and however often it occurs.
-    texts = docs.withColumn("_text", F.xxhash64("text"))
-    found = phrase_index.contamination(texts, items, doc_id="_text").where("contaminated")
-    return texts.join(found.select(F.col("doc_id").alias("_text")).distinct(), "_text", "left_anti").select(
-        *docs.columns
-    )
+    first, second = _free(docs, "_text1", "_text2")
+    texts = _with_hash(docs, [first, second], ["text"])
+
+    def hit(table: DataFrame, name: str) -> DataFrame:
+        found = phrase_index.contamination(table.select(name, "text"), items, doc_id=name)
+        return found.where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+
+    # One half of the hash tells which texts may be hit; of those few the other half tells which are.
+    maybe = staged(texts.join(hit(texts, first), first).dropDuplicates([first, second]), "hit")
+    sure = maybe.join(hit(maybe, second), second).select(first, second)
+    return texts.join(sure, [first, second], "left_anti").select(*[f"`{c}`" for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each row as often as the mix takes it, rows without an id or of a repeated one by themselves."""
-    rows = _with_row(docs)
+    first, second, copies, copy = _free(docs, "_row1", "_row2", "_copies", "_copy")
+    rows = _with_hash(docs, [first, second], docs.columns)
     taken = staged(
-        weighted_mix.mix(rows, carry=_ROW)
-        .groupBy(*_ROW)
-        .agg(F.sum("copies").alias("_all"), F.count("*").alias("_rows"))
-        .where("_all > 0")
-        .selectExpr(*_ROW, "_all div _rows AS _copies", "_all % _rows AS _more"),
+        weighted_mix.mix(rows.select("doc_id", "text", "source", first, second), carry=[first, second])
+        .groupBy(first, second)
+        .agg(F.sum("copies").alias("all"), F.count("*").alias("n"))
+        .where("all > 0")
+        .select(first, second, F.expr("all div n").alias(copies), F.expr("all % n").alias("more")),
         "taken",
     )
-    each = rows.join(taken.where("_copies > 0"), _ROW)
-    more = taken.where("_more > 0")
+    each = rows.join(taken.where(F.col(copies) > 0).drop("more"), [first, second])
+    more = taken.where("more > 0").select(first, second, F.col("more").alias(copies))
     if not more.isEmpty():
         # A source fills up amid rows that are equal as a whole: some of them are taken once more.
-        equal = rows.join(F.broadcast(more), _ROW).dropDuplicates(_ROW)
-        each = each.unionByName(equal.withColumn("_copies", F.col("_more")))
-    return each.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(
-        *docs.columns
-    )
+        each = each.unionByName(rows.join(more, [first, second]).dropDuplicates([first, second]))
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))
+    return each.withColumn(copy, times).select(*[f"`{c}`" for c in docs.columns])
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
