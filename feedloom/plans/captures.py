@@ -33,10 +33,14 @@ TEXT_TABLES = ("documents", "pages")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Scan some columns of a given table."""
+    """Scan some columns of a given table.
+
+    Long texts are dealt out anew only where their files make fewer tasks than the session has cores.
+    """
     scan = spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet").select(*columns)
     wide = name in TEXT_TABLES and not {"text", "html"}.isdisjoint(columns)
-    return spread(scan) if wide else scan
+    few = wide and scan.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism
+    return spread(scan) if few else scan
 
 
 def rows_in(spark: SparkSession, sf_dir: str, name: str) -> int:
@@ -125,15 +129,17 @@ def _on_pages(cards: DataFrame, keys: list[str], index: str, before: str, after:
     )
 
 
-_CAPTURED: dict[tuple[str, str, str], str] = {}
+_CAPTURED: dict[tuple, str] = {}
 
 
 def feed_pages(spark: SparkSession, sf_dir: str, mark: str = "class") -> DataFrame:
     """Captured result pages with post cards: ``page_id, url, html``.
 
-    A capture is a table that is there before a job starts, so it is written once per session.
+    A capture is a table that is there before a job starts, so it is written once per session and
+    set of files that it is made from.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, mark)
+    files = [f for t in ("events", "documents", "pages") for f in sorted(table(spark, sf_dir, t).inputFiles())]
+    key = (spark.sparkContext.applicationId, mark, *files)
     made = _made_pages(spark, sf_dir, mark)
     if key not in _CAPTURED:
         path = shared_folder(spark, "captured-pages")

@@ -86,6 +86,12 @@ def feed_order(spark, sf_dir):
     return number_rows(captures.posts(spark, sf_dir).select("seq", "page_id"), ["seq"])
 
 
+@query(f"with {sql.POSTS} select seq, page_id from posts")
+def checked_order(spark, sf_dir):
+    """Posts in places that no two of them share."""
+    return ordering.check_order(captures.posts(spark, sf_dir).select("seq", "page_id"))
+
+
 # ---- filters ----------------------------------------------------------------------------------
 
 
@@ -625,7 +631,8 @@ def extract_posts_sql(spark, sf_dir):
 @query(f"with {sql.POSTS} select page_id, author, rtrim(time_posted) as time_posted, {BY_AGE} from posts")
 def posts_by_age_from_pages(spark, sf_dir):
     pages = captures.feed_pages(spark, sf_dir).where(may_hold(v.POST_CONTAINER))
-    cards = extract_cards(pages, src.POST_CARD).withColumn("seq", ordering.feed_position())
+    # Written first: putting rows in order reads its input twice.
+    cards = staged(extract_cards(pages, src.POST_CARD).withColumn("seq", ordering.feed_position()), "cards")
     aged = ordering.with_age(cards).select("page_id", "seq", "author", "time_posted", "age_minutes")
     return number_rows(aged, ["age_minutes", "seq"]).drop("age_minutes", "seq")
 
@@ -637,7 +644,7 @@ def posts_by_age_from_pages(spark, sf_dir):
 def order_over_rounds(spark, sf_dir):
     pages = captures.feed_pages(spark, sf_dir).where(may_hold(v.POST_CONTAINER))
     rounds = pages.withColumn("round", F.explode(F.array(F.lit(0), F.lit(1))))
-    cards = extract_cards(rounds, src.POST_CARD, keep=("round", "page_id"))
+    cards = staged(extract_cards(rounds, src.POST_CARD, keep=("round", "page_id")), "cards")
     placed = cards.withColumn("seq", ordering.feed_position("round", "page_id", "container_idx"))
     return number_rows(placed.select("round", "page_id", "author", "seq"), ["seq"]).drop("seq")
 
