@@ -36,7 +36,8 @@ PART = 24
 #: Decisions below this count as this: nothing of interest.
 FLOOR = -1.0
 
-#: Labelled documents of each class that the model is fitted on at most, and their length.
+#: Labelled documents of each class that the model is fitted on at most. Of longer texts than this, whole
+#: sentences from all over the text take part, in about as many bytes.
 SAMPLE_DOCS = 3000
 SAMPLE_BYTES = 20_000
 
@@ -55,7 +56,8 @@ MISSED = 2.0
 #: Words whose decision a worker remembers.
 _MEMORY = 300_000
 
-_SENTENCE = re.compile(r"[.!?\n|]+")
+_SENTENCE_END = r"[.!?\n|]"
+_SENTENCE = re.compile(f"{_SENTENCE_END}+")
 _SPELLED = re.compile(r"(?<!\S)\w(?:\s+\w){2,}(?!\S)")
 _MARKS = re.compile(r"[\W_]+")
 _EDGES = "".join(chr(i) for i in range(128) if not chr(i).isalnum())
@@ -141,7 +143,7 @@ def kernel(a: str, b: str) -> float:
     return float(Landmarks([b]).kernel([a])[0, 0])
 
 
-def _by_length(words: list[str], most: int = 20_000) -> Iterator[tuple[int, np.ndarray, list[str]]]:
+def _by_length(words: list[str], most: int = 4_000) -> Iterator[tuple[int, np.ndarray, list[str]]]:
     length = np.array([len(w) for w in words])
     for n in np.unique(length).tolist():
         for part in np.array_split(np.flatnonzero(length == n), 1 + (length == n).sum() // most):
@@ -225,12 +227,21 @@ class Machine:
         return out
 
 
+#: Numbers that :func:`pooled` gives.
+POOLED = 7
+
+
 def pooled(found: list[float], words: int) -> list[float]:
-    """What a document's word decisions say: the strongest few, and all for its length."""
+    """What a document's word decisions say: the strongest few, all and the telling ones for its length, and its length.
+
+    The strongest of many words are stronger by chance, so the length is there to be weighed against them.
+    """
     top = sorted((f for f in found if f > FLOOR), reverse=True)
     strong = [*top[:5], *[FLOOR] * 5]
-    excess = sum(f - FLOOR for f in top if f > 0)
-    return [strong[0], strong[1], strong[2], strong[4], excess / (20 + words) ** 0.5]
+    telling = [f for f in top if f > 0]
+    size = 20 + words
+    excess = sum(f - FLOOR for f in telling) / size**0.5
+    return [strong[0], strong[1], strong[2], strong[4], excess, float(np.log(size)), 100 * len(telling) / size]
 
 
 @dataclass
@@ -283,7 +294,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3, seed: int = 0) ->
     plain = [plain[i] for i in rng.permutation(len(plain))[:LANDMARKS]]
     chosen = telling[:LANDMARKS] + plain
     if not telling or not plain:
-        return Model(None, np.append(np.zeros(5), np.log((toxic.sum() + 1) / ((1 - toxic).sum() + 1))))
+        return Model(None, np.append(np.zeros(POOLED), np.log((toxic.sum() + 1) / ((1 - toxic).sum() + 1))))
     landmarks = Landmarks(chosen)
     values, vectors = np.linalg.eigh(landmarks.kernel(chosen).astype(float))
     useful = values > 1e-6 * values[-1]
@@ -369,14 +380,15 @@ def fit_labelled(
     """Fit on at most ``most`` documents of each class, chosen by hash.
 
     Only labels of documents with ``crc32(doc_id) mod 5`` other than 0 are used; the others are
-    held out. Longer texts than SAMPLE_BYTES are not fitted on.
+    held out. Of texts over SAMPLE_BYTES every second, third ... sentence takes part.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")).where(
         "_id IS NOT NULL AND _label IN (0, 1) AND crc32(cast(_id AS string)) % 5 <> 0"
     )
-    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).where(
-        F.col("_text").isNotNull() & (F.octet_length("_text") <= SAMPLE_BYTES)
-    )
+    texts = docs.select(F.col(doc_id).alias("_doc"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    nth = F.ceil(F.octet_length("_text") / SAMPLE_BYTES)
+    spread = F.filter(F.split("_text", f"(?<={_SENTENCE_END})"), lambda _, i: i % nth == 0)
+    shown = F.when(nth <= 1, F.col("_text")).otherwise(F.array_join(spread, ""))
     # The choice is made without the texts; then only those of the chosen are read.
     place = ["_doc", F.xxhash64("_text").alias("_hash")]
     rows = texts.select(*place).join(known, F.col("_doc") == F.col("_id")).distinct()
@@ -389,14 +401,15 @@ def fit_labelled(
             .select(F.col("_doc").alias("_of"), F.col("_hash").alias("_of_hash"))
         )
         found = (
-            texts.join(
-                F.broadcast(chosen),
-                (F.col("_doc") == F.col("_of")) & (F.xxhash64("_text") == F.col("_of_hash")),
-            )
-            .select("_doc", "_text")
-            .dropDuplicates()
+            texts.withColumn("_hash", F.xxhash64("_text"))
+            .join(F.broadcast(chosen), (F.col("_doc") == F.col("_of")) & (F.col("_hash") == F.col("_of_hash")))
+            .select("_doc", "_hash", shown.alias("shown"))
+            .dropDuplicates(["_doc", "_hash"])
+            .toArrow()
+        )
+        taken += sorted(
+            (doc, shown, value) for doc, shown in zip(found["_doc"].to_pylist(), found["shown"].to_pylist(), strict=True)
         )
-        taken += sorted((r["_doc"], r["_text"], value) for r in found.collect())
     return fit([t for _, t, _ in taken], np.array([v for _, _, v in taken], np.int64))
 
 

@@ -104,7 +104,26 @@ def test_held_out_toxicity(spark):
     true = {r.doc_id: r.toxic for r in held.select("doc_id", "toxic").collect()}
     hits = [got[i] for i, t in true.items() if t]
     alarms = [got[i] for i, t in true.items() if not t]
-    assert np.mean(hits) > 0.85 and np.mean(alarms) < 0.02
+    assert np.mean(hits) > 0.85 and np.mean(alarms) < 0.01
+    # Long texts that are clean stay, those that were fitted on or not.
+    long = docs.join(labels.where("toxic = 0"), "doc_id").where("octet_length(text) > 5000")
+    said = [r.predicted for r in string_kernel.toxicity(long, model).collect()]
+    assert len(said) > 300 and np.mean(said) < 0.01
+
+
+def test_long_labelled_texts_are_fitted_on(spark, monkeypatch):
+    """Of a text beyond the bound whole sentences from all over it take part."""
+    fitted = []
+    monkeypatch.setattr(string_kernel, "fit", lambda texts, toxic: fitted.extend(texts))
+    long = "".join(f"sentence number {i} here. " for i in range(4000))
+    docs = spark.createDataFrame([(1, long), (2, "short one."), (3, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    string_kernel.fit_labelled(docs, labels)
+    assert "short one." in fitted and len(fitted) == 2
+    shown = next(t for t in fitted if t != "short one.")
+    numbers = [int(x) for x in shown.replace("sentence number ", "").replace(" here.", "").split()]
+    assert string_kernel.SAMPLE_BYTES / 2 < len(shown) <= string_kernel.SAMPLE_BYTES + 50
+    assert numbers[0] == 0 and numbers[-1] > 3980 and shown.startswith("sentence number 0 here. sentence number")
 
 
 def test_held_out_quality(spark):
