@@ -92,8 +92,24 @@ class CardRule:
     within: Match | None = None
 
 
+class _Below(list):
+    """The elements of a container in document order, found by class without a look at each."""
+
+    def of_class(self, token: str) -> list:
+        try:
+            return self.classes.get(token, [])
+        except AttributeError:
+            self.classes: dict[str, list] = {}
+            for element in self:
+                for name in dict.fromkeys((element.attrs.get("class") or "").split()):
+                    self.classes.setdefault(name, []).append(element)
+            return self.classes.get(token, [])
+
+
 def _matching(elements, selector: Selector) -> Iterator:
     outer, holds = selector[:-1], selector[-1].holds
+    if isinstance(elements, _Below) and selector[-1].css_class is not None:
+        elements = elements.of_class(selector[-1].css_class)
     for element in elements:
         if holds(element) and (not outer or _inside(element, outer)):
             yield element
@@ -184,7 +200,7 @@ def _card_reader(rule: CardRule, keep: tuple[str, ...], html: str):
                 try:
                     page = tree.parse(text or "")
                     for index, container in enumerate(_containers(page, rule)):
-                        below = list(container.walk())
+                        below = _Below(container.walk())
                         record = {
                             n: _take(f, container, below, page) for n, f in rule.fields.items()
                         }

@@ -122,9 +122,13 @@ def card_html(mark: str = "class") -> Column:
 
 
 def _on_pages(cards: DataFrame, keys: list[str], index: str, before: str, after: str) -> DataFrame:
-    """Gather the cards of a page, whose number the page keys bound."""
+    """Gather the cards of a page, whose number the page keys bound.
+
+    Pages go to as many tasks as a shuffle has, and so to as many files: what reads them is parsed at length.
+    """
     ordered = F.array_sort(F.collect_list(F.struct(index, "card")))
-    return cards.groupBy(*keys).agg(
+    parts = int(cards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cards.repartition(parts, *keys).groupBy(*keys).agg(
         F.concat(F.lit(before), F.array_join(ordered["card"], ""), F.lit(after)).alias("html")
     )
 
