@@ -39,10 +39,18 @@ TABLE_BITS = 16
 
 #: A stripe of more occurrences is cut by the hash of the next word into slices of about as many.
 SLICE = 1 << 20
-#: Slices of the stripe of the empty prefix, as a power of two.
-WORD_SLICES = 10
 
-_STRIPE = "lang string, size int, prefix string, slice int, rest long, words string, counts binary"
+#: Stripes of a language travel together by the hash of their prefix, so many occurrences in a bucket; those of the
+#: empty prefix, whose number nobody knows yet, in a fixed number of buckets by the word, as a power of two.
+BUCKET = 1 << 19
+WORD_BUCKETS = 8
+
+#: Bytes of stripes that a task holds before it hands them on, one row per bucket, and of those of a bucket after which they are
+#: added up, before the others have come.
+GATHERED = 1 << 25
+HELD = 1 << 24
+
+_STRIPE = "lang string, bucket int, prefixes string, cut binary, rest binary, sizes binary, words string, counts binary"
 _MERGED = "lang string, size int, prefix string, total long, best long, words array<string>, counts array<long>"
 
 _U = np.uint64
@@ -113,13 +121,34 @@ class _Words:
         )
 
 
+def _packed(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Runs of numbers as one binary value each."""
+    bounds = np.concatenate(([0], ends)) * values.itemsize
+    return pa.Array.from_buffers(
+        pa.binary(), len(ends), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    )
+
+
+def _joined(words: pa.Array, ends: np.ndarray, by: str) -> pa.Array:
+    bounds = pa.array(np.concatenate(([0], ends)).astype(np.int32))
+    return pc.binary_join(pa.ListArray.from_arrays(bounds, words), by)
+
+
 def _stripes(
-    text: _Words, langs: list[str], at: np.ndarray, parts: list[np.ndarray], follows: np.ndarray, power: np.ndarray
+    text: _Words,
+    langs: list[str],
+    at: np.ndarray,
+    parts: list[np.ndarray],
+    follows: np.ndarray,
+    keys: np.ndarray,
+    power: np.ndarray,
+    buckets: int,
 ) -> pa.RecordBatch:
-    """One row per language, prefix and slice, with its counters.
+    """One row per language and bucket: the stripes of some prefixes, with their counters.
 
     ``at`` are places in the text, ``parts`` the words of the prefix there, ``follows`` the next word
-    or -1 where the stripe does not tell it apart, ``power`` the slices of the prefix as a power of two.
+    or -1 where the stripe does not tell it apart, ``keys`` the hash of the prefix and ``power`` its slices as
+    a power of two.
     """
     v = len(text.of_id) + 1
     prefix = text.lang[at].astype(np.int64)
@@ -128,50 +157,50 @@ def _stripes(
     entries, first, counts = np.unique(prefix * v + follows + 1, return_index=True, return_counts=True)
     prefix, following = entries // v, entries % v - 1
     bits = power[first].astype(_U)
-    cut = (text.of_id[np.maximum(following, 0)] >> (_U(63) - bits)).astype(np.int64) >> 1
+    cut = (text.of_id[np.maximum(following, 0)] >> (_U(63) - bits)) >> _U(1)
     cut[following < 0] = 0
-    cut[bits == 0] = -1
-    if (bits > 0).any():
-        order = np.lexsort((cut, prefix))
-        prefix, following, counts, cut, first = (x[order] for x in (prefix, following, counts, cut, first))
-    new = np.ones(len(prefix), dtype=bool)
-    new[1:] = (prefix[1:] != prefix[:-1]) | (cut[1:] != cut[:-1])
-    starts = np.flatnonzero(new)
-    group = np.cumsum(new) - 1
+    bucket = (mix(keys[first] + cut) % _U(buckets)).astype(np.int64)
+    row_of = text.lang[at][first] * buckets + bucket
+    order = np.argsort(row_of, kind="stable")
+    row_of, prefix, following, counts, first, bits = (x[order] for x in (row_of, prefix, following, counts, first, bits))
+
+    new_row = np.append(True, row_of[1:] != row_of[:-1])
+    new = new_row.copy()
+    new[1:] |= prefix[1:] != prefix[:-1]
+    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
+    rows = np.flatnonzero(new_row)
     named = following >= 0
     rest = np.zeros(len(starts), dtype=np.int64)
-    rest[group[~named]] = counts[~named]
-    sizes = np.bincount(group[named], minlength=len(starts))
-    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(offsets), text.words.take(pa.array(following[named])))
-    words = pc.if_else(pa.array(sizes > 0), pc.binary_join(lists, " "), pa.scalar(None, pa.string()))
-    packed = pa.Array.from_buffers(
-        pa.binary(), len(starts), [None, pa.py_buffer(offsets * np.int32(8)), pa.py_buffer(counts[named].astype(np.int64))]
-    )
+    np.add.at(rest, group[~named], counts[~named])
+    sizes = np.bincount(group[named], minlength=len(starts)).astype(np.int32)
     place = first[starts]
     if parts:
-        named_parts = [text.words.take(pa.array(p[place])) for p in parts]
-        joined = pc.binary_join_element_wise(*named_parts, " ") if len(parts) > 1 else named_parts[0]
+        words = [text.words.take(pa.array(p[place])) for p in parts]
+        prefixes = pc.binary_join_element_wise(*words, " ") if len(parts) > 1 else words[0]
     else:
-        joined = pa.array([""] * len(starts), pa.string())
-    names = pa.array(langs, pa.string()).take(pa.array(text.lang[at][place]))
+        prefixes = pa.array([""] * len(starts), pa.string())
+    # Ends of the rows, in prefixes and in entries that name a word.
+    prefix_ends = np.append(group[rows[1:]], len(starts))
+    entry_ends = np.append(0, np.cumsum(named))[np.append(rows[1:], len(named))]
+    names = pa.array(langs, pa.string()).take(pa.array(row_of[rows] // buckets))
     return pa.RecordBatch.from_arrays(
         [
             names,
-            pa.array(np.full(len(starts), len(parts), np.int32)),
-            joined,
-            pa.array(cut[starts].astype(np.int32)),
-            pa.array(rest),
-            words,
-            packed,
+            pa.array((row_of[rows] % buckets).astype(np.int32)),
+            _joined(prefixes, prefix_ends, "\n"),
+            _packed((bits[starts] > 0).astype(np.uint8), prefix_ends),
+            _packed(rest, prefix_ends),
+            _packed(sizes, prefix_ends),
+            _joined(text.words.take(pa.array(following[named])), entry_ends, " "),
+            _packed(counts[named].astype(np.int64), entry_ends),
         ],
-        ["lang", "size", "prefix", "slice", "rest", "words", "counts"],
+        ["lang", "bucket", "prefixes", "cut", "rest", "sizes", "words", "counts"],
     )
 
 
-def _level_words(text: _Words, langs: list[str], hashes: np.ndarray, _) -> Iterator[pa.RecordBatch]:
+def _level_words(text: _Words, langs: list[str], hashes: np.ndarray, known, buckets: int) -> Iterator[pa.RecordBatch]:
     at = np.arange(len(text.ids))
-    yield _stripes(text, langs, at, [], text.ids, np.full(len(at), WORD_SLICES))
+    yield _stripes(text, langs, at, [], text.ids, hashes[text.lang], np.full(len(at), WORD_BUCKETS), buckets)
 
 
 def _frequent(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarray:
@@ -183,32 +212,78 @@ def _slices(known: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> np.ndarra
     return known[1][(keys & _U((1 << TABLE_BITS) - 1)).astype(np.int64)]
 
 
-def _level(size: int) -> Callable:
-    def run(text: _Words, langs: list[str], hashes: np.ndarray, known) -> Iterator[pa.RecordBatch]:
-        """Stripes of frequent phrases of ``size`` words; a next word is told apart where the last ones of
-        the prefix are frequent together with it."""
-        at = np.arange(max(len(text.ids) - size + 1, 0))
-        for j in range(size - 1):
+def _level(base: int, sizes: range) -> Callable:
+    def run(text: _Words, langs: list[str], hashes: np.ndarray, known, buckets: int) -> Iterator[pa.RecordBatch]:
+        """Stripes of prefixes of some sizes, all of whose ``base`` words in a row are frequent phrases; a next word
+        is told apart where the last ones of the prefix are such a phrase together with it."""
+        at = np.arange(max(len(text.ids) - base + 1, 0))
+        for j in range(base - 1):
             at = at[text.joined[at + j]]
-        keys = _key(hashes[text.lang[at]], *[text.hashes[at + j] for j in range(size)])
+        keys = _key(hashes[text.lang[at]], *[text.hashes[at + j] for j in range(base)])
         ok = _frequent(known, keys)
         at, keys = at[ok], keys[ok]
-        if not len(at):
-            return
         frequent = np.zeros(len(text.ids) + 1, dtype=bool)
         frequent[at] = True
-        last = at + size - 1
-        goes_on = text.joined[last] & frequent[at + 1]
-        follows = np.full(len(at), -1, dtype=np.int64)
-        follows[goes_on] = text.ids[last[goes_on] + 1]
-        yield _stripes(text, langs, at, [text.ids[at + j] for j in range(size)], follows, _slices(known, keys))
+        for size in sizes:
+            if not len(at):
+                return
+            last = at + size - 1
+            goes_on = text.joined[last] & frequent[at + size - base + 1]
+            follows = np.full(len(at), -1, dtype=np.int64)
+            follows[goes_on] = text.ids[last[goes_on] + 1]
+            # A longer prefix is at most as frequent as its first words, whose slices will do.
+            power = _slices(known, keys)
+            whole = keys if size == base else _key(hashes[text.lang[at]], *[text.hashes[at + j] for j in range(size)])
+            yield _stripes(text, langs, at, [text.ids[at + j] for j in range(size)], follows, whole, power, buckets)
+            at, keys = at[goes_on], keys[goes_on]
 
     return run
 
 
-def _map_texts(level: Callable, known=None) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = known and [np.frombuffer(x, t) for x, t in zip(known.value, (np.uint64, np.uint8), strict=True)]
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same stripes with one row per language and bucket, for as many batches as a task can hold."""
+
+    def put_together(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        keys = pa.table({name: table.column(name) for name in ("lang", "bucket")})
+        table = table.take(pc.sort_indices(keys, [("lang", "ascending"), ("bucket", "ascending")])).combine_chunks()
+        n = table.num_rows
+        same = np.ones(n - 1, dtype=bool)
+        for name in ("lang", "bucket"):
+            column = table.column(name)
+            same &= pc.equal(column.slice(1), column.slice(0, n - 1)).to_numpy()
+        starts = np.flatnonzero(np.append(True, ~same))
+        bounds = np.append(starts, n).astype(np.int32)
+
+        def join(name: str, by: str | bytes) -> pa.Array:
+            column = table.column(name).combine_chunks()
+            if name == "words":
+                # A row without words adds none, so no separator either.
+                some = pc.greater(pc.binary_length(column), 0)
+                ends = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[bounds].astype(np.int32)
+                return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), column.filter(some)), by)
+            return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds), column), by)
+
+        first = table.take(pa.array(starts)).combine_chunks()
+        columns = [first.column("lang").combine_chunks(), first.column("bucket").combine_chunks()]
+        by = {"prefixes": "\n", "words": " "}
+        columns += [join(name, by.get(name, b"")) for name in table.column_names[2:]]
+        return pa.RecordBatch.from_arrays(columns, table.column_names)
+
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHERED:
+            yield put_together(held)
+            held, size = [], 0
+    if held:
+        yield put_together(held)
+
+
+def _map_texts(level: Callable, buckets: int, known=None) -> Callable:
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = known and [np.frombuffer(x, t) for x, t in zip(known.value, (np.uint64, np.uint8), strict=True)]
         for batch in batches:
             data, ends = utf8(batch.column(1))
             coded = batch.column(0).dictionary_encode()
@@ -220,86 +295,108 @@ def _map_texts(level: Callable, known=None) -> Callable:
                 last = int(np.searchsorted(ends, b, side="left"))
                 text = _Words(data[a:b], np.clip(ends[first : last + 1], a, b) - a, codes[first:last])
                 if len(text.ids):
-                    yield from level(text, langs, hashes, held)
-
-    return run
-
-
-def _add(table: pa.Table) -> tuple[pa.Table, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """The sums of sorted stripes: a row per key, then the row, word and counter of each entry."""
-    n = table.num_rows
-    same = np.ones(n - 1, dtype=bool)
-    keys = ["lang", "size", "prefix", "slice"]
-    for name in keys:
-        column = table.column(name)
-        same &= pc.equal(column.slice(1), column.slice(0, n - 1)).to_numpy()
-    new = np.append(True, ~same)
-    starts, group = np.flatnonzero(new), np.cumsum(new) - 1
-    lists = pc.split_pattern(table.column("words"), " ").combine_chunks()
-    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-    coded = lists.flatten().dictionary_encode()
-    counts = np.frombuffer(b"".join(x.as_buffer() for x in table.column("counts") if x.is_valid), np.int64)
-    v = max(len(coded.dictionary), 1)
-    key = np.repeat(group, sizes).astype(np.int64) * v + coded.indices.to_numpy()
-    entries, place = np.unique(key, return_inverse=True)
-    sums = np.zeros(len(entries), dtype=np.int64)
-    np.add.at(sums, place, counts)
-    rest = np.add.reduceat(table.column("rest").to_numpy(), starts)
-    merged = table.select(keys).take(pa.array(starts)).append_column("rest", pa.array(rest))
-    return merged, entries // v, entries % v, coded.dictionary, sums
+                    yield from level(text, langs, hashes, tables, buckets)
+
+    return lambda batches: _gathered(chunks(batches))
+
+
+class _Sum:
+    """The stripes of a bucket, added word by word."""
+
+    def __init__(self, rows: pa.Table):
+        def numbers(name: str, kind) -> np.ndarray:
+            return np.frombuffer(b"".join(x.as_buffer() for x in rows.column(name)), kind)
+
+        prefixes = pc.split_pattern(rows.column("prefixes"), "\n").combine_chunks().flatten().dictionary_encode()
+        of = prefixes.indices.to_numpy().astype(np.int64)
+        n = len(prefixes.dictionary)
+        self.prefixes = prefixes.dictionary
+        self.rest = np.zeros(n, dtype=np.int64)
+        np.add.at(self.rest, of, numbers("rest", np.int64))
+        self.cut = np.zeros(n, dtype=np.uint8)
+        np.maximum.at(self.cut, of, numbers("cut", np.uint8))
+        counts = numbers("counts", np.int64)
+        # A row without any word has the empty text, which is no word.
+        some = rows.filter(pc.greater(pc.binary_length(rows.column("words")), 0)).column("words")
+        words = pc.split_pattern(some, " ").combine_chunks().flatten().dictionary_encode()
+        v = max(len(words.dictionary), 1)
+        key = np.repeat(of, numbers("sizes", np.int32)) * v + words.indices.to_numpy()
+        entries, place = np.unique(key, return_inverse=True)
+        self.sums = np.zeros(len(entries), dtype=np.int64)
+        np.add.at(self.sums, place, counts)
+        self.prefix, self.word, self.words = entries // v, entries % v, words.dictionary
+
+    def row(self) -> dict:
+        """As one row of stripes."""
+        return {
+            "prefixes": "\n".join(self.prefixes.to_pylist()),
+            "cut": self.cut.tobytes(),
+            "rest": self.rest.tobytes(),
+            "sizes": np.bincount(self.prefix, minlength=len(self.rest)).astype(np.int32).tobytes(),
+            "words": " ".join(self.words.take(pa.array(self.word)).to_pylist()),
+            "counts": self.sums.tobytes(),
+        }
+
+    def out(self, lang: str, min_count: int) -> pa.RecordBatch:
+        """The stripes with counters of at least ``min_count``; those of rare prefixes are asked for by nobody."""
+        n = len(self.rest)
+        total = self.rest.copy()
+        np.add.at(total, self.prefix, self.sums)
+        kept = self.sums >= min_count
+        prefix, word, sums = self.prefix[kept], self.word[kept], self.sums[kept]
+        best = np.zeros(n, dtype=np.int64)
+        np.maximum.at(best, prefix, sums)
+        ends = pa.array(np.concatenate(([0], np.cumsum(np.bincount(prefix, minlength=n)))).astype(np.int32))
+        # A stripe in slices has only part of its sum here.
+        used = pa.array((total >= min_count) | (self.cut > 0))
+        size = pc.add(pc.count_substring(self.prefixes, " "), pc.cast(pc.greater(pc.binary_length(self.prefixes), 0), pa.int32()))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang] * n, pa.string()),
+                size,
+                self.prefixes,
+                pa.array(total),
+                pa.array(best),
+                pa.ListArray.from_arrays(ends, self.words.take(pa.array(word))),
+                pa.ListArray.from_arrays(ends, pa.array(sums)),
+            ],
+            ["lang", "size", "prefix", "total", "best", "words", "counts"],
+        ).filter(used)
 
 
 def _merge(min_count: int) -> Callable:
-    """Add up stripes that come sorted by their key; counters below the least count go."""
-
-    def out(table: pa.Table, row: np.ndarray, word: np.ndarray, names: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
-        n = table.num_rows
-        total = table.column("rest").to_numpy().copy()
-        np.add.at(total, row, sums)
-        kept = sums >= min_count
-        row, word, sums = row[kept], word[kept], sums[kept]
-        best = np.zeros(n, dtype=np.int64)
-        np.maximum.at(best, row, sums)
-        offsets = pa.array(np.concatenate(([0], np.cumsum(np.bincount(row, minlength=n)))).astype(np.int32))
-        found = pa.table(
-            {
-                "lang": table.column("lang"),
-                "size": table.column("size"),
-                "prefix": table.column("prefix"),
-                "total": pa.array(total),
-                "best": pa.array(best),
-                "words": pa.ListArray.from_arrays(offsets, names.take(pa.array(word))),
-                "counts": pa.ListArray.from_arrays(offsets, pa.array(sums)),
-            }
-        )
-        # A stripe in one slice has its whole sum here, and a rare prefix is asked for by nobody.
-        used = (total >= min_count) | (table.column("slice").to_numpy() >= 0)
-        return found.filter(pa.array(used)).combine_chunks()
+    """Add up stripes that come sorted by language and bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        key, held = None, None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            merged, row, word, names, sums = _add(pa.concat_tables([held, table]) if held is not None else table)
-            # The last stripe may go on in the next batch.
-            last = merged.num_rows - 1
-            open_ = row == last
-            words = " ".join(names.take(pa.array(word[open_])).to_pylist()) or None
-            held = merged.slice(last).append_column("words", pa.array([words], pa.string()))
-            held = held.append_column("counts", pa.array([sums[open_].tobytes()], pa.binary()))
-            yield from out(merged.slice(0, last), row[~open_], word[~open_], names, sums[~open_]).to_batches()
-        if held is not None:
-            yield from out(*_add(held)).to_batches()
+            langs, numbers = batch.column("lang").to_pylist(), batch.column("bucket").to_pylist()
+            table = pa.Table.from_batches([batch]).drop(["lang", "bucket"])
+            at = list(zip(langs, numbers, strict=True))
+            start = 0
+            while start < len(at):
+                stop = start
+                while stop < len(at) and at[stop] == at[start]:
+                    stop += 1
+                rows = table.slice(start, stop - start)
+                if at[start] == key:
+                    held = pa.concat_tables([held, rows])
+                    if held.nbytes > HELD and held.num_rows > 1:
+                        held = pa.Table.from_pylist([_Sum(held).row()], held.schema)
+                else:
+                    if key is not None:
+                        yield _Sum(held).out(key[0], min_count)
+                    key, held = at[start], rows
+                start = stop
+        if key is not None:
+            yield _Sum(held).out(key[0], min_count)
 
     return run
 
 
-def _merged(docs: DataFrame, level: Callable, min_count: int, known=None) -> DataFrame:
-    made = docs.mapInArrow(_map_texts(level, known), _STRIPE)
-    key = ["lang", "size", "prefix", "slice"]
-    dealt = made.repartition(*key).sortWithinPartitions(*key)
+def _merged(docs: DataFrame, level: Callable, min_count: int, buckets: int, known=None) -> DataFrame:
+    made = docs.mapInArrow(_map_texts(level, buckets, known), _STRIPE)
+    dealt = made.repartition("lang", "bucket").sortWithinPartitions("lang", "bucket")
     return staged(dealt.mapInArrow(_merge(min_count), _MERGED), "stripes")
 
 
@@ -355,16 +452,18 @@ def phrase_stripes(docs: DataFrame, lang: str = "lang", text: str = "text", min_
     ``counts`` of counters of at least ``min_count``. A stripe of very many occurrences comes in slices,
     one row each; sums and maxima over them are those of the stripe.
 
-    The texts are read once for each size. A phrase is only as frequent as its parts, so stripes are made of
-    phrases that the size before found frequent, as far as a filter of fixed size tells; counts that matter are exact.
+    The texts are read for words, for one, for two, and for more words together. A phrase is only as frequent
+    as its parts, so stripes are made of what the time before found frequent, as far as a filter of fixed
+    size tells; counts that matter are exact.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    found = stripes = _merged(texts, _level_words, min_count)
-    for size in range(1, longest):
-        known = _known(_extensions(found))
+    found = stripes = _merged(texts, _level_words, min_count, 1 << WORD_BUCKETS)
+    n = stripes.agg(F.sum("total")).first()[0] or 0
+    for base, sizes in ((1, range(1, 2)), (2, range(2, 3)), (3, range(3, longest))):
+        known = _known(_extensions(found)) if base < longest else None
         if known is None:
             break
-        found = _merged(texts, _level(size), min_count, known)
+        found = _merged(texts, _level(base, sizes), min_count, 1 + n // BUCKET, known)
         stripes = stripes.union(found)
     return stripes
 

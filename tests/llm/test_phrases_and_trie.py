@@ -66,6 +66,9 @@ def test_collocations(spark, monkeypatch, small, percent):
         monkeypatch.setattr(phrase_stripes, "CHUNK", 40)
         monkeypatch.setattr(phrase_stripes, "SLICE", 2)
         monkeypatch.setattr(phrase_stripes, "FILTER_BITS", 7)
+        monkeypatch.setattr(phrase_stripes, "BUCKET", 100)
+        monkeypatch.setattr(phrase_stripes, "HELD", 200)
+        monkeypatch.setattr(phrase_stripes, "GATHERED", 3000)
     rows = phrase_rows(3)
     columns = "lang string, text string, phrase string, prefix string, total string, size string"
     docs = spark.createDataFrame([(*r, "a", "b", "c", "d") for r in rows], columns).repartition(3)
