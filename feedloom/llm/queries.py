@@ -22,6 +22,7 @@ from feedloom.llm import (
     string_kernel,
     weighted_mix,
 )
+from feedloom.session import staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -166,7 +167,8 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
             for i, r in enumerate(("user", "assistant"))
         ])).alias("row"),
     ).select("conv_id", "row.*")
-    windows = chat_windows.chat_windows(turns.unionByName(marked))
+    # Written once, as they are read back and measured.
+    windows = staged(chat_windows.chat_windows(turns.unionByName(marked)), "windows")
     lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     # Windows of a conversation in order; its whole text is what the digests are of.
     read = chat_windows.read_back(windows).select(

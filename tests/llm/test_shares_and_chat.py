@@ -161,6 +161,7 @@ def conversations(rnd):
         rows += [(c if c else None, i, role, text, "x") for i, (role, text) in enumerate(turns)]
     return rows + [
         (99, 0, "system", "only", "x"), (98, 0, "user", "big " * 3000, "x"), (98, 1, "assistant", "y", "x"),
+        (96, 0, "system", "not the first", "x"), (96, None, "user", "no turn", "x"),
         (97, 5, "user", "tie", "x"), (97, 5, "assistant", "tie", "x"), (97, None, "user", "first", "x")]
 
 
