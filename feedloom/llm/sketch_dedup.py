@@ -25,6 +25,9 @@ BAND_ROWS = 4
 MAP_BITS = 4096
 BLOCK = 2048
 
+#: Bits of the table that tells frequent shingles from rare ones; its size is fixed.
+COUNT_BITS = 20
+
 
 def fast_sketch(sets: list[np.ndarray], t: int = COORDINATES) -> np.ndarray:
     """Sketches of non-empty sets, one row of ``t`` values each.
@@ -215,6 +218,73 @@ def _open_pairs(entries: DataFrame, of: DataFrame, maps: DataFrame, percent: int
     )
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        values = np.concatenate([np.empty(0, np.uint64), *[np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("hashes")]])
+        places, counts = np.unique(values >> np.uint64(64 - COUNT_BITS), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts)], ["place", "n"])
+
+
+def _rare_first(counts, percent: int):
+    """The shingles of each set that come first, from rare to frequent, and of which alike sets share one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequency = np.frombuffer(counts.value, np.uint8)
+        for batch in batches:
+            nodes, sizes, found = [], [], [np.empty(0, np.uint64)]
+            for node, x in zip(batch.column("node").to_pylist(), batch.column("hashes"), strict=True):
+                values = np.frombuffer(x.as_buffer(), np.uint64)
+                order = np.lexsort((values, frequency[values >> np.uint64(64 - COUNT_BITS)]))
+                first = values[order[: len(values) - -(-percent * len(values) // 100) + 1]]
+                nodes.append(np.full(len(first), node))
+                sizes.append(np.full(len(first), len(values)))
+                found.append(first)
+            columns = [np.concatenate(found).view(np.int64), *[np.concatenate([np.empty(0, np.int64), *x]) for x in (nodes, sizes)]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], ["key", "node", "n"])
+
+    return run
+
+
+def _one_per_members(entries: DataFrame) -> DataFrame:
+    """Entries ``key``, ``node``, ``n`` of the buckets with several members, one bucket for the same members."""
+    buckets = (
+        entries.groupBy("key")
+        .agg(
+            F.count("*").alias("members"),
+            F.min("node").alias("leader"),
+            F.bit_xor(F.xxhash64("node")).alias("s1"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"),
+        )
+        .where("members > 1")
+        # Buckets of the same members are one.
+        .groupBy("members", "leader", "s1", "s2")
+        .agg(F.min("key").alias("key"))
+        .select("key", "members", "leader")
+    )
+    return entries.join(buckets, "key")
+
+
+def _shared_rare(entries: DataFrame, of: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Buckets of the shingles that documents of unsettled buckets have first, from rare to frequent.
+
+    Two sets that are alike enough share so many shingles that the first common one, in any order of all shingles, is among
+    the first quarter of either. With rare shingles first, pages of one template, which share
+    only what all of them have, do not meet. How frequent a shingle is is told by a table of fixed size; another
+    order would give the same links.
+    """
+    member = entries.join(of, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    split = member.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    nodes = member.join(split.select("key"), "key").select(F.col("node").alias("doc_id")).distinct()
+    texts = docs.join(nodes.hint("merge"), "doc_id", "left_semi")
+    sets = staged(texts.mapInArrow(_sets, "node long, hashes binary").where("length(hashes) > 0"), "sets")
+    found = sets.mapInArrow(_counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    frequency = np.zeros(1 << COUNT_BITS, np.uint8)
+    frequency[found.column("place").to_numpy()] = np.minimum(4 * np.log2(found.column("n").to_numpy() + 1), 255)
+    counts = docs.sparkSession.sparkContext.broadcast(frequency.tobytes())
+    first = sets.mapInArrow(_rare_first(counts, percent), "key long, node long, n long").distinct()
+    return staged(_one_per_members(staged(first, "rare")).drop("leader"), "rare")
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 75
 ) -> DataFrame:
@@ -226,11 +296,13 @@ def near_duplicates(
 
     Equal sets are one class from the start, so copies of any number are one node. Classes that
     share a band are candidates. In a bucket, first the least member is held against all others,
-    which joins most buckets to one component. Where several components remain, members outside
-    the largest one are held against all others, in blocks and by bit maps that bound their
+    which joins most buckets to one component. Where several components remain, their members meet anew in
+    buckets of the shingles that they have first, from rare to frequent, which no two that are alike enough miss;
+    there, members outside the largest component are held against all others, in blocks and by bit maps that bound their
     likeness: first the most promising pair with each other component goes to verification,
     then every pair that the bound allows and that is still not linked. So no pair of candidates
-    in different components is left out, but what belongs together never makes all pairs.
+    in different components is left out, but what belongs together never makes all pairs, and pages that
+    share no more than a template do not meet.
 
     Null or empty texts have no shingles: they are linked with nothing and kept. Rows of one
     ``doc_id`` are one document. Rows without ``doc_id`` are linked with nothing and kept, with
@@ -254,21 +326,7 @@ def near_duplicates(
         "classes",
     )
     entries = classes.select("node", "n", F.explode("bands").alias("key"))
-    buckets = (
-        entries.groupBy("key")
-        .agg(
-            F.count("*").alias("members"),
-            F.min("node").alias("leader"),
-            F.bit_xor(F.xxhash64("node")).alias("s1"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s2"),
-        )
-        .where("members > 1")
-        # Buckets of the same members are one.
-        .groupBy("members", "leader", "s1", "s2")
-        .agg(F.min("key").alias("key"))
-        .select("key", "members", "leader")
-    )
-    entries = staged(entries.join(buckets, "key"), "buckets")
+    entries = staged(_one_per_members(entries), "buckets")
     close_sizes = f"100 * least(n, m) >= {percent} * greatest(n, m)"
 
     sizes = entries.select(F.col("node").alias("leader"), F.col("n").alias("m")).distinct()
@@ -285,8 +343,9 @@ def near_duplicates(
     links = staged(_links(tested, pairs_of, percent), "links")
     of = staged(components(links), "components")
     maps = classes.select("node", "map")
+    rare = _shared_rare(entries, of, pairs_of, percent)
     for best in (True, False):
-        pairs = _open_pairs(entries, of, maps, percent, best).join(tested, ["a", "b"], "left_anti")
+        pairs = _open_pairs(rare, of, maps, percent, best).join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         found = staged(_links(pairs, pairs_of, percent), "links")
         if not found.isEmpty():

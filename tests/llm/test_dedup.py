@@ -1,8 +1,10 @@
 """Near duplicates, repeated lines and repeated strings against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -67,6 +69,55 @@ def test_near_duplicates(table, seed):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def template_pages(rnd, n, own=55, shared=60):
+    """Pages that share well over half of their words in a row, and some with a near copy."""
+    template = [f"t{i}" for i in range(shared)]
+    pages = []
+    for i in range(n):
+        words = template + [f"p{i}w{rnd.randrange(10**6)}" for _ in range(own)]
+        pages.append(" ".join(words))
+        if i % 40 == 0:
+            pages.append(" ".join([*words[:-2], "changed", "end"]))
+    return pages
+
+
+def test_pages_of_one_template_do_not_meet(spark, table, monkeypatch):
+    """They fill buckets together, but have no rare shingle in common; their near copies do."""
+    met = []
+    whole = sketch_dedup._open_pairs
+
+    def counted(entries, *args):
+        met.append(entries.count())
+        return whole(entries, *args)
+
+    monkeypatch.setattr(sketch_dedup, "_open_pairs", counted)
+    texts = template_pages(random.Random(1), 200)
+    got = {r.doc_id: r.component_id for r in sketch_dedup.near_duplicates(table(texts)).collect()}
+    assert got == brute_components({i: shingle_set(t) for i, t in enumerate(texts)})
+    assert len(set(got.values())) == 200 and max(met) < 3 * len(texts)
+
+
+def test_recall_on_the_given_documents(spark):
+    """Groups of the tables at hand are those of all pairs: no link is lost there."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    sets = {r.doc_id: shingle_set(r.text) for r in docs.collect()}
+    holders = {}
+    for i, s in sets.items():
+        for shingle in s:
+            holders.setdefault(shingle, []).append(i)
+    shared = Counter(pair for of in holders.values() for pair in itertools.combinations(sorted(of), 2))
+    least = {i: i for i in sets}
+    links = [(i, j) for (i, j), n in shared.items() if 100 * n >= 75 * (len(sets[i]) + len(sets[j]) - n)]
+    for _ in range(len(sets)):
+        before = dict(least)
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+        if least == before:
+            break
+    got = {r.doc_id: r.component_id for r in sketch_dedup.near_duplicates(docs).collect()}
+    assert len(links) > 50 and got == least
+
+
 def test_near_duplicates_without_ids_and_with_repeated_rows(table):
     text = "one two three four five six seven"
     rows = [(5, text), (5, text), (None, text), (7, text + " "), (None, None), (9, "other")]
