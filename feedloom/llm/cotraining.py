@@ -181,13 +181,18 @@ def cotrain(
     return Model(views, fit_logistic(odds, y[held], penalty=0.5))
 
 
-_PICKS = "view int, label int, sure double, turn long, text array<float>, page array<float>"
+_FEATURES = "text binary, page binary"
+_PICKS = f"view int, label int, sure double, turn long, {_FEATURES}"
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
-    """A list column of one length as rows of a table."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+def packed(features: np.ndarray) -> pa.Array:
+    """Rows of features as half-precision numbers, a binary value each."""
+    return pa.array([row.tobytes() for row in np.clip(features, -60_000, 60_000).astype(np.float16)], pa.binary())
+
+
+def unpacked(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
+    rows = b"".join(x.as_buffer() for x in column)
+    return np.frombuffer(rows, np.float16).reshape(-1, width).astype(np.float32)
 
 
 def surest_of(unlabelled: DataFrame, views: list[View], given: list[np.ndarray], most: int = PASSED_ON) -> Picks:
@@ -198,9 +203,9 @@ def surest_of(unlabelled: DataFrame, views: list[View], given: list[np.ndarray],
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            features = [_matrix(batch.column(i + 1), WIDTHS[i]) for i in (0, 1)]
+            features = [unpacked(batch.column(i + 1), WIDTHS[i]) for i in (0, 1)]
             found = surest(views, batch.column(0).to_numpy(), features, given, most)
-            lists = [pa.array(list(x), pa.list_(pa.float32())) for x in found.features]
+            lists = [packed(x) for x in found.features]
             numbers = [pa.array(found.view, pa.int32()), pa.array(found.label, pa.int32()), pa.array(found.sure), pa.array(found.turn)]
             yield pa.RecordBatch.from_arrays([*numbers, *lists], ["view", "label", "sure", "turn", "text", "page"])
 
@@ -209,19 +214,15 @@ def surest_of(unlabelled: DataFrame, views: list[View], given: list[np.ndarray],
     best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     found = best.orderBy("view", F.desc("label"), "rank").toArrow()
     columns = [found.column(c).to_numpy() for c in ("view", "label", "sure", "turn")]
-    return Picks(*columns, [_matrix(found.column(c), w) for c, w in zip(("text", "page"), WIDTHS, strict=True)])
+    return Picks(*columns, [unpacked(found.column(c), w) for c, w in zip(("text", "page"), WIDTHS, strict=True)])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b in pieces(batch.column("text")):
             part = batch.slice(a, b - a)
-            both = _both(part)
-            kind = pa.list_(pa.float32())
-            yield pa.RecordBatch.from_arrays(
-                [*[part.column(c) for c in ("doc_id", "label")], *[pa.array(list(x.astype(np.float32)), kind) for x in both]],
-                ["doc_id", "label", "text", "page"],
-            )
+            columns = [part.column("doc_id"), *[packed(x) for x in _both(part)]]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "page"])
 
 
 def _both(part: pa.RecordBatch) -> list[np.ndarray]:
@@ -250,24 +251,26 @@ def fit_quality(
 ) -> Model:
     """Fit on at most ``most`` labelled documents, chosen by hash, and on what the views find among all others.
 
-    The features of the documents without a label are written once; in each round both views score all of
-    them. Rows without an id have no label. Without labelled documents every score is one half.
+    The features of all documents are written once; in each round both views score every document that
+    is not among those fitted on. Rows without an id have no label. Without labelled documents every score is
+    one half.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).where(
-        "_id IS NOT NULL AND label IN (0, 1)"
+    known = labels.select(F.col("doc_id").alias("_of"), F.col(label).cast("int").alias("label")).where(
+        "_of IS NOT NULL AND label IN (0, 1)"
     )
     rows = _inputs(docs, doc_id, text, source, lang)
-    joined = rows.join(known, F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    fields = "doc_id long, label int, text array<float>, page array<float>"
-    turn = [F.xxhash64("_of", F.lit("quality")), "_of"]
-    ids = joined.where("label IS NOT NULL").select(F.col("doc_id").alias("_of")).distinct().orderBy(*turn).limit(most)
-    chosen = joined.where("label IS NOT NULL").join(F.broadcast(ids), F.col("doc_id") == F.col("_of"))
-    found = chosen.select(*joined.columns).mapInArrow(_features, fields).toArrow().sort_by("doc_id").combine_chunks()
-    labelled = [_matrix(found.column(c), w) for c, w in zip(("text", "page"), WIDTHS, strict=True)]
-    rest = joined.where("label IS NULL").mapInArrow(_features, fields)
-    unlabelled = staged(rest.withColumn("turn", F.xxhash64("doc_id", "text", "page")).select("turn", "text", "page"), "features")
+    every = staged(
+        rows.mapInArrow(_features, f"doc_id long, {_FEATURES}").withColumn("turn", F.xxhash64("doc_id", "text", "page")), "features"
+    )
+    there = every.select(F.col("doc_id").alias("_of")).distinct()
+    ids = known.join(there, "_of", "left_semi").orderBy(F.xxhash64("_of", F.lit("quality")), "_of", "label").limit(most)
+    found = every.join(F.broadcast(ids), F.col("doc_id") == F.col("_of")).toArrow().sort_by([("doc_id", "ascending"), ("turn", "ascending")])
+    labelled = [unpacked(found.column(c), w) for c, w in zip(("text", "page"), WIDTHS, strict=True)]
+    own = found.column("turn").to_numpy()
     return cotrain(
-        labelled, found.column("label").to_numpy().astype(np.int64), lambda views, given: surest_of(unlabelled, views, given)
+        labelled,
+        found.column("label").to_numpy().astype(np.int64),
+        lambda views, given: surest_of(every, views, [np.append(own, g) for g in given]),
     )
 
 

@@ -171,8 +171,10 @@ def test_a_round_of_exchange_sees_all_documents(spark):
         cotraining.View(np.append(rng.normal(size=w), 0.3), np.zeros(w), np.ones(w), np.array([0.4, 0.1]))
         for w in cotraining.WIDTHS
     ]
-    rows = [(int(t), *[x[i].tolist() for x in features]) for i, t in enumerate(turns)]
-    table = spark.createDataFrame(rows, "turn long, text array<float>, page array<float>").repartition(5)
+    stored = [cotraining.packed(x) for x in features]
+    features = [cotraining.unpacked(x, w) for x, w in zip(stored, cotraining.WIDTHS)]
+    rows = [(int(t), *[x[i].as_py() for x in stored]) for i, t in enumerate(turns)]
+    table = spark.createDataFrame(rows, "turn long, text binary, page binary").repartition(5)
     given = [turns[:500], turns[200:900]]
     got = cotraining.surest_of(table, views, given, most=40)
     taken = sorted(zip(got.view.tolist(), got.label.tolist(), got.turn.tolist()))
