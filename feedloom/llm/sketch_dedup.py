@@ -25,6 +25,9 @@ BAND_ROWS = 4
 MAP_BITS = 4096
 BLOCK = 2048
 
+#: Pairs of a bucket that are tried in blocks at most, where no component has half of it.
+CROWD = 1 << 21
+
 #: Bits of the table that tells frequent shingles from rare ones; its size is fixed.
 COUNT_BITS = 20
 
@@ -264,17 +267,25 @@ def _one_per_members(entries: DataFrame) -> DataFrame:
     return entries.join(buckets, "key")
 
 
-def _shared_rare(entries: DataFrame, of: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
-    """Buckets of the shingles that documents of unsettled buckets have first, from rare to frequent.
+def _crowded(entries: DataFrame, of: DataFrame) -> DataFrame:
+    """Keys of buckets in which no component has half of the members and the others make more than ``CROWD`` pairs."""
+    member = entries.join(of, "node", "left").select("key", F.coalesce("component", "node").alias("component"))
+    sizes = member.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(
+        F.sum("n").alias("members"), F.max("n").alias("main")
+    )
+    apart = F.col("members") - F.col("main")
+    return sizes.where((F.col("main") * 2 < F.col("members")) & (apart * F.col("members") > CROWD)).select("key")
+
+
+def _shared_rare(entries: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """Buckets of the shingles that the documents of some buckets have first, from rare to frequent.
 
     Two sets that are alike enough share so many shingles that the first common one, in any order of all shingles, is among
     the first quarter of either. With rare shingles first, pages of one template, which share
     only what all of them have, do not meet. How frequent a shingle is is told by a table of fixed size; another
     order would give the same links.
     """
-    member = entries.join(of, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    split = member.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    nodes = member.join(split.select("key"), "key").select(F.col("node").alias("doc_id")).distinct()
+    nodes = entries.select(F.col("node").alias("doc_id")).distinct()
     texts = docs.join(nodes.hint("merge"), "doc_id", "left_semi")
     sets = staged(texts.mapInArrow(_sets, "node long, hashes binary").where("length(hashes) > 0"), "sets")
     found = sets.mapInArrow(_counted, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
@@ -296,11 +307,12 @@ def near_duplicates(
 
     Equal sets are one class from the start, so copies of any number are one node. Classes that
     share a band are candidates. In a bucket, first the least member is held against all others,
-    which joins most buckets to one component. Where several components remain, their members meet anew in
-    buckets of the shingles that they have first, from rare to frequent, which no two that are alike enough miss;
-    there, members outside the largest component are held against all others, in blocks and by bit maps that bound their
+    which joins most buckets to one component. Where several components remain, members outside
+    the largest one are held against all others, in blocks and by bit maps that bound their
     likeness: first the most promising pair with each other component goes to verification,
-    then every pair that the bound allows and that is still not linked. So no pair of candidates
+    then every pair that the bound allows and that is still not linked. Large buckets in which no component has half of the
+    members give way to buckets of the shingles that these have first, from rare to frequent, which
+    no two that are alike enough miss. So no pair of candidates
     in different components is left out, but what belongs together never makes all pairs, and pages that
     share no more than a template do not meet.
 
@@ -343,9 +355,13 @@ def near_duplicates(
     links = staged(_links(tested, pairs_of, percent), "links")
     of = staged(components(links), "components")
     maps = classes.select("node", "map")
-    rare = _shared_rare(entries, of, pairs_of, percent)
+    crowded = staged(_crowded(entries, of), "crowded")
+    if not crowded.isEmpty():
+        rare = _shared_rare(entries.join(crowded, "key"), pairs_of, percent)
+        columns = ["key", "members", "node", "n"]
+        entries = entries.join(crowded, "key", "left_anti").select(columns).union(rare.select(columns))
     for best in (True, False):
-        pairs = _open_pairs(rare, of, maps, percent, best).join(tested, ["a", "b"], "left_anti")
+        pairs = _open_pairs(entries, of, maps, percent, best).join(tested, ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         found = staged(_links(pairs, pairs_of, percent), "links")
         if not found.isEmpty():

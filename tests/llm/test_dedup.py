@@ -81,7 +81,8 @@ def template_pages(rnd, n, own=55, shared=60):
     return pages
 
 
-def test_pages_of_one_template_do_not_meet(spark, table, monkeypatch):
+@pytest.mark.parametrize("crowd", [1 << 21, 50])
+def test_pages_of_one_template_do_not_meet(spark, table, monkeypatch, crowd):
     """They fill buckets together, but have no rare shingle in common; their near copies do."""
     met = []
     whole = sketch_dedup._open_pairs
@@ -91,10 +92,20 @@ def test_pages_of_one_template_do_not_meet(spark, table, monkeypatch):
         return whole(entries, *args)
 
     monkeypatch.setattr(sketch_dedup, "_open_pairs", counted)
+    monkeypatch.setattr(sketch_dedup, "CROWD", crowd)
     texts = template_pages(random.Random(1), 200)
     got = {r.doc_id: r.component_id for r in sketch_dedup.near_duplicates(table(texts)).collect()}
     assert got == brute_components({i: shingle_set(t) for i, t in enumerate(texts)})
-    assert len(set(got.values())) == 200 and max(met) < 3 * len(texts)
+    assert len(set(got.values())) == 200
+    assert crowd > 50 or max(met) < 3 * len(texts)
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_near_duplicates_of_crowded_buckets(table, monkeypatch, seed):
+    monkeypatch.setattr(sketch_dedup, "CROWD", 1)
+    texts = near_copies(random.Random(seed), copies=12) + template_pages(random.Random(seed), 30) + ODD
+    got = {r.doc_id: r.component_id for r in sketch_dedup.near_duplicates(table(texts)).collect()}
+    assert got == brute_components({i: shingle_set(t) for i, t in enumerate(texts)})
 
 
 def test_recall_on_the_given_documents(spark):
