@@ -39,6 +39,8 @@ def check(spark, name, sf_dir):
     rows = [tuple(r) for r in result.collect()]
     sql = entry_points.oracle_sql().get(name)
     if sql is None:
+        # Only what the optional parts add may do without; their own tests hold it against brute force.
+        assert name.startswith("op") or name == "pipeline"
         return
     want_columns, want = expected(sql, sf_dir)
     assert sorted(result.columns) == sorted(want_columns)
