@@ -36,10 +36,15 @@ PART = 24
 #: Decisions below this count as this: nothing of interest.
 FLOOR = -1.0
 
-#: Labelled documents of each class that the model is fitted on at most. Of longer texts than this, whole
-#: sentences from all over the text take part, in about as many bytes.
+#: Labelled documents of each class that the model is fitted on at most.
 SAMPLE_DOCS = 3000
-SAMPLE_BYTES = 20_000
+
+#: Words are learnt from texts of at most so many bytes, as longer ones have nearly all words; how decisions on words make one on
+#: a document is learnt from texts of any length.
+WORD_BYTES = 20_000
+
+#: Of longer texts than this, whole sentences from all over the text are fitted on, in about as many bytes.
+SAMPLE_BYTES = 80_000
 
 #: Landmarks for each class.
 LANDMARKS = 96
@@ -277,7 +282,8 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3, seed: int = 0) ->
 
     A sentence of a clean document is clean. Of a toxic document the most telling sentence
     is toxic, and others are if the machine of the round before says so; the rest take no side.
-    A third of the documents is kept out and fits the step from word decisions to a score.
+    A third of the documents, and those over WORD_BYTES, are kept out and fit the step from word decisions to a
+    score.
     """
     rng = np.random.default_rng(seed)
     toxic = toxic.astype(np.int64)
@@ -285,7 +291,7 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3, seed: int = 0) ->
     sentences = [
         [[same.setdefault(w, w) for w in words_of(s)] for s in _SENTENCE.split(t)] for t in texts
     ]
-    own = rng.random(len(texts)) < 2 / 3
+    own = (rng.random(len(texts)) < 2 / 3) & np.array([len(t.encode()) <= WORD_BYTES for t in texts], bool)
     rows = np.flatnonzero(own)
     flat = [[w for s in doc for w in s] for doc in sentences]
     odds = _odds([flat[i] for i in rows], toxic[rows])
