@@ -10,6 +10,7 @@ the landmarks, whose kernel falls off steeply with the likeness of the first.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -44,7 +45,7 @@ SAMPLE_DOCS = 3000
 WORD_BYTES = 20_000
 
 #: Of longer texts than this, whole sentences from all over the text are fitted on, in about as many bytes.
-SAMPLE_BYTES = 80_000
+SAMPLE_BYTES = 40_000
 
 #: Landmarks for each class.
 LANDMARKS = 96
@@ -288,12 +289,14 @@ def fit(texts: list[str], toxic: np.ndarray, rounds: int = 3, seed: int = 0) ->
     rng = np.random.default_rng(seed)
     toxic = toxic.astype(np.int64)
     same: dict[str, str] = {}  # one object for each word
-    sentences = [
-        [[same.setdefault(w, w) for w in words_of(s)] for s in _SENTENCE.split(t)] for t in texts
-    ]
     own = (rng.random(len(texts)) < 2 / 3) & np.array([len(t.encode()) <= WORD_BYTES for t in texts], bool)
     rows = np.flatnonzero(own)
-    flat = [[w for s in doc for w in s] for doc in sentences]
+    # Sentences matter where words are learnt only.
+    sentences, flat = [], []
+    for text, mine in zip(texts, own, strict=True):
+        doc = [[same.setdefault(w, w) for w in words_of(s)] for s in _SENTENCE.split(text)]
+        sentences.append(doc if mine else None)
+        flat.append([w for s in doc for w in s])
     odds = _odds([flat[i] for i in rows], toxic[rows])
     telling = [w for w, z in sorted(odds.items(), key=lambda x: (-x[1], x[0])) if z > 2.5]
     plain = sorted({w for i in rows if not toxic[i] for w in flat[i] if len(w) >= 3})
@@ -416,7 +419,12 @@ def fit_labelled(
         taken += sorted(
             (doc, shown, value) for doc, shown in zip(found["_doc"].to_pylist(), found["shown"].to_pylist(), strict=True)
         )
-    return fit([t for _, t, _ in taken], np.array([v for _, _, v in taken], np.int64))
+    model = fit([t for _, t, _ in taken], np.array([v for _, _, v in taken], np.int64))
+    # What the fit has used goes back to the system, as the driver has more to do.
+    del taken, found
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 class _Scorer:
