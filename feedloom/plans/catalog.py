@@ -575,8 +575,10 @@ def page_links_extracted(spark, sf_dir):
     "regexp_extract(html, '<a href=\"([^\"]*)\"', 1)) as link from pages where html like '%<a href=%'"
 )
 def first_links(spark, sf_dir):
-    link = fn.absolute_url("url", fn.first_href("html")).alias("link")
-    return _pages(spark, sf_dir, "page_id", "url", "html").select("page_id", link).where("link is not null")
+    pages = _pages(spark, sf_dir, "page_id", "url", "html")
+    # In steps: the address names the link many times, and each would read the page again.
+    linked = pages.select("page_id", "url", fn.first_href("html").alias("href"))
+    return linked.select("page_id", fn.absolute_url("url", "href").alias("link")).where("link is not null")
 
 
 # ---- extraction -------------------------------------------------------------------------------
