@@ -29,3 +29,9 @@ def test_first_links_read_each_page_once(spark, tmp_path, capsys):
     plan = plan_of(links, capsys)
     calls = [x for x in plan.splitlines() if "Arguments: [_first_links(" in x or "ArrowEvalPython [_first_links(" in x]
     assert calls and all(x.count("_first_links(") == 1 for x in calls), plan
+
+
+def test_the_tree_cleaner_takes_pages_one_at_a_time():
+    pages = pa.array(["<p>a<b>b</b>", None, ""])
+    assert markup._tree_spaced.func(pages).to_pylist() == ["a b", None, ""]
+    assert markup._tree_compact.func(pages).to_pylist() == ["ab", None, ""]
