@@ -408,9 +408,9 @@ def incremental_scan(spark, sf_dir):
 )
 def captured_jobs(spark, sf_dir):
     """Pages of a store, by a range of page numbers that chooses the files to open."""
-    path = shared_folder(spark, "captures")
-    _store_job_pages(spark, sf_dir, path)
-    pages = store.captured(spark, path, PAGES_PER_BLOCK).where("kind = 'job' AND page_no BETWEEN 2 AND 5")
+    path, per_block = shared_folder(spark, "captures"), _pages_per_block(spark, sf_dir)
+    _store_job_pages(spark, sf_dir, path, per_block)
+    pages = store.captured(spark, path, per_block).where("kind = 'job' AND page_no BETWEEN 2 AND 5")
     return _stored_jobs(pages)
 
 
@@ -421,20 +421,29 @@ def captured_jobs(spark, sf_dir):
 def captured_jobs_followed(spark, sf_dir):
     """The same store as a stream, which is stopped and goes on where it was."""
     path, out, checkpoint = (shared_folder(spark, x) for x in ("captures", "followed", "checkpoint"))
-    for part in (F.col("page_no") < 3, F.col("page_no") >= 3):
-        _store_job_pages(spark, sf_dir, path, part)
-        stream.append_available(store.follow_captured(spark, path, PAGES_PER_BLOCK), out, checkpoint)
+    per_block = _pages_per_block(spark, sf_dir)
+    # A block is written once, so the store stops at the end of one.
+    for part in (F.col("page_no") < per_block, F.col("page_no") >= per_block):
+        _store_job_pages(spark, sf_dir, path, per_block, part)
+        stream.append_available(store.follow_captured(spark, path, per_block), out, checkpoint)
     return _stored_jobs(spark.read.schema(store.SCHEMA).parquet(out))
 
 
+#: The fewest pages of a block, and the most blocks of a feed: each is a file, and longer feeds get larger ones.
 PAGES_PER_BLOCK = 3
+BLOCKS_PER_FEED = 40
 
 
-def _store_job_pages(spark, sf_dir, path, part=None):
+def _pages_per_block(spark, sf_dir):
+    last = captures.job_cards(spark, sf_dir).agg(F.max("page_no")).first()[0] or 0
+    return max(PAGES_PER_BLOCK, last // BLOCKS_PER_FEED + 1)
+
+
+def _store_job_pages(spark, sf_dir, path, per_block, part=None):
     pages = captures.job_pages(spark, sf_dir)
     pages = pages if part is None else pages.where(part)
     url = F.concat(F.lit(f"{captures.SITE}/jobs?page="), "page_no")
-    store.write_captures(pages.withColumns({"kind": F.lit("job"), "url": url}), path, PAGES_PER_BLOCK)
+    store.write_captures(pages.withColumns({"kind": F.lit("job"), "url": url}), path, per_block)
 
 
 def _stored_jobs(pages):

@@ -35,3 +35,21 @@ def test_the_tree_cleaner_takes_pages_one_at_a_time():
     pages = pa.array(["<p>a<b>b</b>", None, ""])
     assert markup._tree_spaced.func(pages).to_pylist() == ["a b", None, ""]
     assert markup._tree_compact.func(pages).to_pylist() == ["ab", None, ""]
+
+
+def test_long_feeds_have_larger_blocks(spark, tmp_path, monkeypatch):
+    kept = folders(monkeypatch, tmp_path)
+    rows = [(50 * i, f"job {i}", "brand", "ECONOMY" if i % 9 == 0 else "type") for i in range(300)]
+    spark.createDataFrame(rows, captures.TABLES["part"]).write.parquet(f"{tmp_path}/part.parquet")
+    got = catalog.captured_jobs(spark, str(tmp_path)).collect()
+    assert sorted(r.page_no for r in got) == [2, 3, 4, 5]
+    assert len(glob.glob(f"{kept}/captures/**/*.parquet", recursive=True)) <= catalog.BLOCKS_PER_FEED
+
+
+def test_a_followed_store_gives_every_page_of_larger_blocks(spark, tmp_path, monkeypatch):
+    folders(monkeypatch, tmp_path)
+    rows = [(50 * i, f"job {i}", "brand", "type") for i in range(150)]
+    spark.createDataFrame(rows, captures.TABLES["part"]).write.parquet(f"{tmp_path}/part.parquet")
+    assert catalog._pages_per_block(spark, str(tmp_path)) == 4
+    got = catalog.captured_jobs_followed(spark, str(tmp_path)).collect()
+    assert sorted(r.page_no for r in got) == list(range(1, 151))
