@@ -817,9 +817,11 @@ def row_count_report(spark, sf_dir):
 
 # ---- streams ----------------------------------------------------------------------------------
 
-#: Records in a file of a feed, and the least number of files.
+#: Records in a file of a feed, and the least and most files. A round costs a task result for each
+#: shuffle partition, so a larger feed comes in larger files, not in more rounds.
 FILE_ROWS = 50_000
 FEED_FILES = 8
+MOST_FILES = 32
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -835,7 +837,7 @@ def _followed(spark, sf_dir):
     path = shared_folder(spark, "feed")
     events = _read(spark, sf_dir, "events", "event_id", "user_id", "event_type", "ts")
     columns = ["event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("posted_at")]
-    files = max(FEED_FILES, captures.rows_in(spark, sf_dir, "events") // FILE_ROWS)
+    files = min(MOST_FILES, max(FEED_FILES, captures.rows_in(spark, sf_dir, "events") // FILE_ROWS))
     events.select(*columns).repartition(files, "event_id").write.parquet(path)
     return stream.read_feed(spark, path, EVENTS, files_per_round=2)
 

@@ -53,3 +53,14 @@ def test_a_followed_store_gives_every_page_of_larger_blocks(spark, tmp_path, mon
     assert catalog._pages_per_block(spark, str(tmp_path)) == 4
     got = catalog.captured_jobs_followed(spark, str(tmp_path)).collect()
     assert sorted(r.page_no for r in got) == list(range(1, 151))
+
+
+def test_a_larger_feed_comes_in_larger_files(spark, tmp_path, monkeypatch):
+    kept = folders(monkeypatch, tmp_path)
+    monkeypatch.setattr(catalog, "FILE_ROWS", 10)
+    rows = [(i, datetime(2024, 1, 1), i % 70, "click", 1.0) for i in range(2_000)]
+    spark.createDataFrame(rows, EVENTS).write.parquet(f"{tmp_path}/events.parquet")
+    followed = catalog._followed(spark, str(tmp_path))
+    assert followed.isStreaming
+    assert len(glob.glob(f"{kept}/feed/*.parquet")) <= catalog.MOST_FILES
+    assert spark.read.parquet(f"{kept}/feed").count() == 2_000
