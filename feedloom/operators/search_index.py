@@ -67,7 +67,7 @@ class SearchIndex:
         block = F.floor(F.col(self.seq) / self.per_block).cast("long")
         posts.select(self.schema.names).withColumn("block", block).repartition("block").write.mode(
             "overwrite"
-        ).partitionBy("block").parquet(folder)
+        ).partitionBy("block").parquet(folder, compression="zstd")
         stored = self._posts(posts.sparkSession).where(F.col("round") == round_no)
         found = stored.select("block", F.lower(self.text)).mapInArrow(_postings, "three long, block long")
         # In order, so that a search reads a few row groups of it.

@@ -64,3 +64,11 @@ def test_a_larger_feed_comes_in_larger_files(spark, tmp_path, monkeypatch):
     assert followed.isStreaming
     assert len(glob.glob(f"{kept}/feed/*.parquet")) <= catalog.MOST_FILES
     assert spark.read.parquet(f"{kept}/feed").count() == 2_000
+
+
+def test_stored_posts_are_packed(spark, tmp_path):
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("description", T.StringType())])
+    index = SearchIndex(str(tmp_path / "index"), schema, per_block=10)
+    index.add(spark.range(30).select(F.col("id").alias("seq"), F.lit("some words").alias("description")), 0)
+    files = glob.glob(f"{tmp_path}/index/posts/**/*.parquet", recursive=True)
+    assert files and all(".zstd." in f for f in files)
