@@ -53,3 +53,17 @@ def test_pages_are_put_together_without_a_copy_of_all_texts(spark, tmp_path):
     pages = captures.feed_pages(spark, str(tmp_path))
     assert sum(len(r.html) for r in pages.where("page_id % 100 = 0").collect()) > 8 * 25 * 8_000
     assert set(glob.glob(f"{folder}/*")) == before
+
+
+def test_texts_are_joined_last(spark, tmp_path):
+    tables(spark, str(tmp_path), range(30), [(i, "text", "en", "web") for i in range(5)], [(i, "u", "") for i in range(5)])
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        posts = captures.posts(spark, str(tmp_path), text=True, link=True)
+        plan = posts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    joins = [x for x in plan.splitlines() if "Join [" in x]
+    assert len(joins) == 2 and "doc_id" in joins[0] and "link_id" in joins[1], plan
+    assert posts.columns[-2:] == ["description", "post_link"]
