@@ -67,3 +67,21 @@ def test_texts_are_joined_last(spark, tmp_path):
     joins = [x for x in plan.splitlines() if "Join [" in x]
     assert len(joins) == 2 and "doc_id" in joins[0] and "link_id" in joins[1], plan
     assert posts.columns[-2:] == ["description", "post_link"]
+
+
+def sent(plan) -> int:
+    """Bytes that the exchanges of a plan have dealt out."""
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return sent(plan.executedPlan())
+    below = [plan.plan()] if name.endswith("QueryStage") else [plan.children().apply(i) for i in range(plan.children().size())]
+    own = plan.metrics().apply("dataSize").value() if name == "Exchange" else 0
+    return own + sum(map(sent, below))
+
+
+def test_texts_are_sent_to_the_pages_hardly_more_than_once(spark, tmp_path):
+    texts = [(i, f"{i:05d}" * 200, "en", "web") for i in range(8_000)]
+    tables(spark, str(tmp_path), range(100), texts, [(i, f"https://a.b/{i}", "") for i in range(5)])
+    pages = captures.feed_pages(spark, str(tmp_path))
+    assert len(pages.collect()) == 4
+    assert sent(pages._jdf.queryExecution().executedPlan()) < 1.6 * 8_000 * 1_000
