@@ -21,7 +21,7 @@ from feedloom.functions.links import absolute_url
 from feedloom.functions.markup import with_clean_text
 from feedloom.operators.branches import job_or_post, with_content, with_defaults
 from feedloom.operators.counts import containers_per_page
-from feedloom.operators.dedup import first_per_key
+from feedloom.operators.dedup import first_long_per_key, first_per_key
 from feedloom.operators.extract import extract_cards
 from feedloom.operators.filters import (
     accepted,
@@ -37,6 +37,7 @@ from feedloom.operators.limits import cap, first_rounds, soft_cap
 from feedloom.operators.numbering import number_rows
 from feedloom.operators.ordering import by_age, in_feed_order, with_age
 from feedloom.operators.paging import page_prefix, page_range
+from feedloom.session import staged
 from feedloom.sources.pages import JOB_CARD
 
 
@@ -137,7 +138,7 @@ def all_posts_compact(
     found = _described(search.before_text(cards), compact=True)
     complete = _complete(search.on_text(found), v.POST)
     if dedup:
-        complete = first_per_key(complete.select(*_names(v.POST), "seq"), "post_link")
+        complete = first_long_per_key(complete.select(*_names(v.POST), "seq"), "post_link")
     return _feed_order(complete, v.POST, numbered)
 
 
@@ -181,10 +182,13 @@ def profile_posts(
     """
     linked = search.before_text(cards).withColumn("profile_link", absolute_url("url", "first_href"))
     complete = _complete(search.on_text(linked), v.PROFILE_POST)
-    firsts = first_per_key(
-        complete.select(*_names(v.PROFILE_POST), "batch", "seq"), "profile_link"
-    )
-    return _feed_order(soft_cap(firsts, soft, hard), v.PROFILE_POST, False)
+    # The posts are chosen without their texts, which only those chosen bring along.
+    firsts = staged(first_per_key(complete.select("profile_link", "batch", "seq"), "profile_link"), "firsts")
+    taken = staged(soft_cap(firsts, soft, hard), "taken")
+    places = F.broadcast(taken.select(*[F.col(c).alias(f"_{c}") for c in taken.columns]))
+    there = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in taken.columns]
+    found = first_per_key(complete.join(places, there, "left_semi"), "profile_link")
+    return _feed_order(found, v.PROFILE_POST, False)
 
 
 def posts_with_job_branch(

@@ -140,7 +140,9 @@ class Quarantine:
     def __call__(self, records: DataFrame, round_no: int) -> None:
         checked = check_required(records, self.required)
         rows = checked.withColumn(REJECTED, F.col("error").isNotNull())
-        rows.write.mode("overwrite").partitionBy(REJECTED).parquet(round_folder(self.path, round_no))
+        rows.write.mode("overwrite").partitionBy(REJECTED).parquet(
+            round_folder(self.path, round_no), compression="zstd"
+        )
 
     def _written(self, spark: SparkSession, schema: StructType, bad: bool) -> DataFrame:
         fields = [f for f in schema.fields if f.name != "error"]

@@ -5,8 +5,8 @@ from datetime import datetime
 
 import pytest
 
-from feedloom.plans import captures
-from feedloom.session import shared_folder
+from feedloom.plans import captures, catalog
+from feedloom.session import shared_folder, staged
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
 
@@ -85,3 +85,19 @@ def test_texts_are_sent_to_the_pages_hardly_more_than_once(spark, tmp_path):
     pages = captures.feed_pages(spark, str(tmp_path))
     assert len(pages.collect()) == 4
     assert sent(pages._jdf.queryExecution().executedPlan()) < 1.6 * 8_000 * 1_000
+
+
+def test_cards_that_a_search_leaves_out_are_not_written(spark, tmp_path, monkeypatch):
+    texts = [(i, "the end" if i % 2 else "an end", "en", "web") for i in range(40)]
+    tables(spark, str(tmp_path), range(100), texts, [(i, f"https://a.b/{i}", "") for i in range(5)])
+    written = []
+
+    def kept(*args, **named):
+        written.append(staged(*args, **named))
+        return written[-1]
+
+    monkeypatch.setattr(catalog, "staged", kept)
+    for name, rows in (("recent_posts_sorted", 50), ("all_posts_compact_rounds", 5)):
+        written.clear()
+        assert catalog.QUERIES[name](spark, str(tmp_path)).count() == rows
+        assert written[0].count() == 50

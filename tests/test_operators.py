@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import branches, counts, dedup, filters, limits, ordering, paging
 from feedloom.operators.numbering import number_rows
+from feedloom.session import staged
+from tests.test_captures import sent
 
 SPLITS = [1, 4, 32]
 
@@ -40,6 +42,27 @@ def test_first_per_key(spark, parts):
     assert got.count() == len(first)
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_first_long_per_key(spark, most):
+    keys = [None, "a", "b", "b", "c", None, "d", "a", "b"]
+    rows = [(None if i == 7 else 9 - i, k, f"text {i}") for i, k in enumerate(keys)]
+    df = frame(spark, rows, "seq bigint, key string, text string", 3)
+    want = sorted(dedup.first_per_key(df, "key").collect(), key=repr)
+    assert sorted(dedup.first_long_per_key(df, "key", sent=most).collect(), key=repr) == want
+    placed = df.withColumn("seq", F.struct(F.lit(1), "seq"))
+    want = sorted(dedup.first_per_key(placed, "key").collect(), key=repr)
+    assert sorted(dedup.first_long_per_key(placed, "key", sent=most).collect(), key=repr) == want
+
+
+def test_first_long_per_key_shuffles_the_texts_of_firsts_only(spark):
+    df = spark.range(4_000, numPartitions=8).select(
+        F.col("id").alias("seq"), F.when(F.col("id") < 2_000, F.col("id") % 10).otherwise(F.col("id")).alias("key"), F.repeat(F.lit("x"), 1_000).alias("text")
+    )
+    firsts = dedup.first_long_per_key(staged(df, "records"), "key")
+    assert len(firsts.collect()) == 2_010
+    assert sent(firsts._jdf.queryExecution().executedPlan()) < 200_000
+
+
 def test_first_per_key_reduces_before_the_shuffle(spark, capsys):
     plan = plan_of(dedup.first_per_key(frame(spark, hot_rows(), "seq bigint, key string"), "key"), capsys)
     assert plan.count("WindowGroupLimit") == 2
