@@ -10,6 +10,7 @@ the landmarks, whose kernel falls off steeply with the likeness of the first.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 from collections import Counter
@@ -422,9 +423,17 @@ def fit_labelled(
     model = fit([t for _, t, _ in taken], np.array([v for _, _, v in taken], np.int64))
     # What the fit has used goes back to the system, as the driver has more to do.
     del taken, found
+    _give_back()
+    return model
+
+
+def _give_back() -> None:
     gc.collect()
     pa.default_memory_pool().release_unused()
-    return model
+    # Freed memory between what is kept stays with the process until it is told to return that.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 class _Scorer:

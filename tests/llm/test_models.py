@@ -1,5 +1,6 @@
 """The trained operators by held-out accuracy, and the pipeline by a brute-force version."""
 
+import os
 import random
 import zlib
 
@@ -201,3 +202,22 @@ def test_quality_without_labels_or_documents(spark, table):
         assert [(r.score, r.text_score, r.page_score) for r in got] == [(0.5, 0.5, 0.5)] * 4
     model = cotraining.fit_quality(docs, some)
     assert all(0 <= r.score <= 1 for r in cotraining.quality(docs, model).collect())
+
+
+def test_the_driver_gives_back_what_the_fit_has_used(spark, monkeypatch):
+    kept = []
+
+    def fit(texts, toxic):
+        used = [bytes(2_000) for _ in range(150_000)]
+        kept.extend(used[::1_000])
+
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * os.sysconf("SC_PAGE_SIZE")
+
+    monkeypatch.setattr(string_kernel, "fit", fit)
+    docs = spark.createDataFrame([(1, "text"), (2, "text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    before = resident()
+    string_kernel.fit_labelled(docs, labels)
+    assert len(kept) == 150 and resident() - before < 100 << 20
