@@ -8,7 +8,7 @@ from feedloom.functions.markup import (
     with_clean_text,
 )
 from feedloom.functions.tags import contains_all_terms, format_description, hashtags
-from feedloom.functions.text import squeeze, strip
+from feedloom.functions.text import packed, squeeze, strip, unpacked
 
 __all__ = [
     "absolute_url",
@@ -21,9 +21,11 @@ __all__ = [
     "format_description",
     "hashtags",
     "list_item_links",
+    "packed",
     "site_root",
     "squeeze",
     "strip",
     "title_text",
+    "unpacked",
     "with_clean_text",
 ]

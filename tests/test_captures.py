@@ -1,6 +1,8 @@
 """Captured pages put together from tables of the test's own."""
 
+import csv
 import glob
+import gzip
 from datetime import datetime
 
 import pytest
@@ -107,3 +109,22 @@ def test_texts_meet_their_posts_by_a_merge_at_any_size(spark, tmp_path):
     tables(spark, str(tmp_path), range(30), [(i, "text", "en", "web") for i in range(5)], [(i, "u", "") for i in range(5)])
     plan = captures.posts(spark, str(tmp_path), text=True, link=True)._jdf.queryExecution().executedPlan().toString()
     assert [x for x in plan.splitlines() if "SortMergeJoin [doc_id" in x], plan
+
+
+def test_exported_texts_are_packed_while_they_are_put_in_order(spark, tmp_path, monkeypatch):
+    texts = [(i, None if i == 3 else f"{i}\u2003\u00e9 \U0001f600  " + "a \"b\", c\n" * 2_000, "en", "web") for i in range(6)]
+    tables(spark, str(tmp_path), range(40), texts, [(i, f"https://a.b/{i}", "") for i in range(5)])
+    monkeypatch.setattr(catalog, "shared_folder", lambda spark, purpose: str(tmp_path / "out"))
+    ordered, in_order = [], catalog.ordering.in_feed_order
+    monkeypatch.setattr(catalog.ordering, "in_feed_order", lambda df: ordered.append(df) or in_order(df))
+    got = [tuple(r) for r in catalog.export_csv(spark, str(tmp_path)).collect()]
+    assert sorted(got, key=str) == sorted(map(tuple, catalog.post_table(spark, str(tmp_path)).collect()), key=str)
+    assert dict(ordered[0].dtypes)["description"] == "binary"
+    parts = sorted(glob.glob(f"{tmp_path}/out/part-*"))
+    assert parts and all(x.endswith(".csv.gz") for x in parts)
+    assert [p for f in parts for p in read_authors(f)] == [f"user-{k}" for k in range(40)]
+
+
+def read_authors(part):
+    with gzip.open(part, "rt", newline="") as rows:
+        return [r["Author"] for r in csv.DictReader(rows)]

@@ -281,3 +281,9 @@ def test_start_tags_end_open_elements():
     assert text("<table><tr><td>a<td>b<tr><td>c</table>", "tr") == "a b"
     assert text("<select><option>a<option>b</select>", "option") == "a"
     assert text("<li>a<button><p>b<p>c</button>d", "li") == "a b c d"
+
+
+def test_packed_texts_come_back(spark):
+    values = [None, "", "a\u00e9\U0001f600\n" * 5_000, " x "]
+    assert evaluate(spark, values, lambda v: fn.unpacked(fn.packed(v))) == values
+    assert max(evaluate(spark, values[1:], lambda v: F.length(fn.packed(v)))) < 5_000
