@@ -3,10 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from feedloom.streaming import feed as stream
 
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 SCHEMA = "seq bigint, link string, author string, posted_at timestamp"
 ROWS = [
     (i, "hot" if i % 3 == 0 else f"l{i % 17}", None if i % 10 == 9 else f"a{i}") for i in range(200)
@@ -114,3 +116,19 @@ def test_quarantine(spark, folder, tmp_path):
     assert sorted(r.seq for r in passed.collect()) == [s for s, _, a in ROWS if a]
     failed = sink.rejected(spark, feed.schema).collect()
     assert sorted((r.seq, r.error) for r in failed) == [(s, "missing: author") for s, _, a in ROWS if not a]
+
+
+def test_quarantine_writes_records_as_they_come(spark, tmp_path, monkeypatch):
+    sink = stream.Quarantine(str(tmp_path / "out"), ("author",), ("seq",))
+    rows = spark.createDataFrame([(i, None if i % 3 == 0 else "x") for i in range(9)], "seq int, author string")
+    before, write, writers = spark.conf.get(WRITERS), DataFrameWriter.parquet, []
+
+    def noted(self, *args, **named):
+        writers.append(int(spark.conf.get(WRITERS)))
+        return write(self, *args, **named)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    sink(rows, 0)
+    assert len(writers) == 1 and writers[0] >= 2 and spark.conf.get(WRITERS) == before
+    assert sorted(r.seq for r in sink.accepted(spark, rows.schema).collect()) == [1, 2, 4, 5, 7, 8]
+    assert sorted(r.seq for r in sink.rejected(spark, rows.schema).collect()) == [0, 3, 6]
