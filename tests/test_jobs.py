@@ -102,6 +102,24 @@ def test_profile_posts(spark):
     assert jobs.profile_posts(found, soft=3, hard=3).count() == 3
 
 
+def test_texts_do_not_wait_for_the_links_of_profiles(spark, tmp_path, monkeypatch):
+    rows = [("a", f"text {i}", "5m", f"/in/user-{i % 4}", "https://a.b/c", i, i) for i in range(8)]
+    columns = "author string, description string, time_posted string, first_href string, url string, batch bigint, seq bigint"
+    spark.createDataFrame(rows, columns).write.parquet(f"{tmp_path}/cards")
+    plans, first_per_key = [], jobs.first_per_key
+
+    def noted(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return first_per_key(df, *args)
+
+    monkeypatch.setattr(jobs, "first_per_key", noted)
+    got = jobs.profile_posts(spark.read.parquet(f"{tmp_path}/cards"), soft=3).collect()
+    assert [r.description for r in got] == ["text 0", "text 1", "text 2"]
+    lines = plans[0].splitlines()
+    at = next(i for i, x in enumerate(lines) if "ArrowEvalPython" in x)
+    assert "first_href" in lines[at + 1] and "description" not in lines[at + 1], plans[0]
+
+
 def test_job_branch(spark):
     found = cards(spark, src.JOB_BRANCH_CARD).withColumn("job_description", F.lit("the job"))
     got = {r.author: r.description for r in jobs.posts_with_job_branch(found).collect()}
