@@ -4,12 +4,15 @@ import glob
 from datetime import datetime
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.functions import markup
 from feedloom.operators.search_index import SearchIndex
 from feedloom.plans import captures, catalog
+from feedloom.session import ROW_GROUP, staged
+from feedloom.streaming import feed as stream
 from tests.test_operators import plan_of
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
@@ -72,3 +75,42 @@ def test_stored_posts_are_packed(spark, tmp_path):
     index.add(spark.range(30).select(F.col("id").alias("seq"), F.lit("some words").alias("description")), 0)
     files = glob.glob(f"{tmp_path}/index/posts/**/*.parquet", recursive=True)
     assert files and all(".zstd." in f for f in files)
+
+
+def row_groups(folder):
+    files = glob.glob(f"{folder}/**/*.parquet", recursive=True)
+    found = [pq.ParquetFile(f).metadata for f in files]
+    return [m.row_group(i).total_byte_size for m in found for i in range(m.num_row_groups)]
+
+
+def long_texts(spark, rows):
+    """Texts of 100 KB that are all different."""
+    return spark.range(rows, numPartitions=1).select(
+        F.col("id").alias("page_id"), F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(5_000)), lambda i: F.hex(F.xxhash64("id", i)))).alias("html")
+    )
+
+
+def test_long_texts_are_written_in_small_row_groups(spark, tmp_path):
+    path = staged(long_texts(spark, 600), "pages").inputFiles()[0].removeprefix("file:").rsplit("/", 1)[0]
+    checked = stream.Quarantine(str(tmp_path / "checked"), ("html",), ("page_id",))
+    checked(long_texts(spark, 600).withColumn("error", F.lit(None).cast("string")), 0)
+    for folder in (path, tmp_path / "checked"):
+        sizes = row_groups(folder)
+        assert len(sizes) >= 3 and max(sizes) < 2 * ROW_GROUP
+
+
+def test_rounds_hand_small_batches_to_python(spark, tmp_path):
+    long_texts(spark, 300).write.parquet(str(tmp_path / "feed"))
+    kept, seen = spark.conf.get(stream.BATCH_BYTES), []
+
+    def lengths(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": pa.array([sum(len(x.as_py()) for x in batch.column(0))])})
+
+    def write(records, round_no):
+        seen.extend(r.size for r in records.select("html").mapInArrow(lengths, "size long").collect())
+
+    feed = stream.read_feed(spark, str(tmp_path / "feed"), long_texts(spark, 1).schema)
+    stream.write_rounds(feed, write, str(tmp_path / "checkpoint"))
+    assert sum(seen) > 20_000_000 and max(seen) < 2 * stream.MOST_BYTES
+    assert spark.conf.get(stream.BATCH_BYTES) == kept
