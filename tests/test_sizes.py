@@ -11,8 +11,9 @@ from pyspark.sql import types as T
 from feedloom.functions import markup
 from feedloom.operators.search_index import SearchIndex
 from feedloom.plans import captures, catalog
-from feedloom.session import ROW_GROUP, staged
+from feedloom.session import GROUP_PAGES, ROW_GROUP, staged
 from feedloom.streaming import feed as stream
+from tests.test_captures import tables
 from tests.test_operators import plan_of
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
@@ -99,6 +100,16 @@ def test_long_texts_are_written_in_small_row_groups(spark, tmp_path):
         assert len(sizes) >= 3 and max(sizes) < 2 * ROW_GROUP
 
 
+def test_pages_that_pack_well_are_held_in_small_numbers_too(spark, tmp_path, monkeypatch):
+    kept = folders(monkeypatch, tmp_path)
+    tables(spark, str(tmp_path), range(25_000), [(0, "word " * 100, "en", "web")], [(0, "https://a.b/0", "")])
+    for query in (catalog.stream_extract, catalog.all_posts_followed):
+        query(spark, str(tmp_path))
+        found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{kept}/captured/*.parquet")]
+        rows = [m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)]
+        assert sum(rows) >= 1_000 and max(rows) <= GROUP_PAGES
+
+
 def test_rounds_hand_small_batches_to_python(spark, tmp_path):
     long_texts(spark, 300).write.parquet(str(tmp_path / "feed"))
     kept, seen = spark.conf.get(stream.BATCH_BYTES), []
