@@ -16,10 +16,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from feedloom.operators.filters import matching
+from feedloom.operators.numbering import ROW_BITS
+from feedloom.session import SMALL_GROUPS, WRITERS, setting
 
 #: Characters have 21 bits, so three of them fit in a long one after the other.
 BITS = 21
 PIECE = 1 << 21
+#: Where posts stay as they lie: the blocks of a task are numbered in so many bits, and so many are written at once.
+TASK_BITS = 20
+OPEN_BLOCKS = 16
 
 
 def threes(text: str) -> np.ndarray:
@@ -54,20 +59,35 @@ class SearchIndex:
     """Posts in blocks of ``per_block`` places in the feed, and the blocks of every three characters.
 
     ``seq`` is a number. A round replaces what it stored before. Text is compared in lower case, as
-    :func:`feedloom.operators.filters.matching` does it.
+    :func:`feedloom.operators.filters.matching` does it. With ``as_they_lie`` a block is so many posts of one task as
+    they come, whatever their places are: no text is shuffled, and posts that lie together are stored together.
     """
 
-    def __init__(self, path: str, schema: StructType, text: str = "description", seq: str = "seq", per_block: int = 10_000):
+    def __init__(
+        self,
+        path: str,
+        schema: StructType,
+        text: str = "description",
+        seq: str = "seq",
+        per_block: int = 10_000,
+        as_they_lie: bool = False,
+    ):
         self.path, self.text, self.seq, self.per_block = path, text, seq, per_block
-        self.schema = schema
+        self.schema, self.as_they_lie = schema, as_they_lie
 
     def add(self, posts: DataFrame, round_no: int) -> None:
         """Store the posts of a round and index them."""
         folder = f"{self.path}/posts/round={round_no}"
-        block = F.floor(F.col(self.seq) / self.per_block).cast("long")
-        posts.select(self.schema.names).withColumn("block", block).repartition("block").write.mode(
-            "overwrite"
-        ).partitionBy("block").parquet(folder, compression="zstd")
+        if self.as_they_lie:
+            row = F.monotonically_increasing_id()
+            of_task = F.floor(row.bitwiseAND((1 << ROW_BITS) - 1) / self.per_block)
+            dealt = posts.select(*self.schema.names, (F.shiftleft(F.shiftright(row, ROW_BITS), TASK_BITS) + of_task).alias("block"))
+        else:
+            block = F.floor(F.col(self.seq) / self.per_block).cast("long")
+            dealt = posts.select(self.schema.names).withColumn("block", block).repartition("block")
+        kept = int(posts.sparkSession.conf.get(WRITERS))
+        with setting(posts.sparkSession, WRITERS, max(OPEN_BLOCKS, kept) if self.as_they_lie else kept):
+            dealt.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy("block").parquet(folder, compression="zstd")
         stored = self._posts(posts.sparkSession).where(F.col("round") == round_no)
         found = stored.select("block", F.lower(self.text)).mapInArrow(_postings, "three long, block long")
         # In order, so that a search reads a few row groups of it.

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +17,9 @@ GROUP_PAGES = 128
 SMALL_GROUPS = {"parquet.block.size": str(ROW_GROUP)}
 PAGE_GROUPS = {**SMALL_GROUPS, "parquet.block.row.count.limit": str(GROUP_PAGES)}
 
+#: So many files a task may write to at once; with fewer than there are folders, Spark sorts all records first.
+WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
 
 def local_session(cores: str = "*") -> SparkSession:
     """A session for tests and measurements; a cluster brings its own."""
@@ -32,6 +36,17 @@ def local_session(cores: str = "*") -> SparkSession:
     return session
 
 
+@contextmanager
+def setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
+    """A setting of the session for as long as this lasts."""
+    kept = spark.conf.get(name)
+    spark.conf.set(name, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, kept)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name in the folder that all executors share.
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,27 +11,15 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from feedloom.operators.dedup import first_unseen
 from feedloom.operators.filters import accepted, check_required, rejected
-from feedloom.session import SMALL_GROUPS
+from feedloom.session import SMALL_GROUPS, WRITERS, setting
 
 ROUND = "round"
 REJECTED = "rejected"
-#: So many files a task may write to at once; with fewer than there are folders, Spark sorts all records first.
-WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
 #: Bytes of a batch that goes to Python in a round. Every task holds a few of them beside its heap.
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 MOST_BYTES = 8 << 20
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: int) -> Iterator[None]:
-    kept = spark.conf.get(name)
-    spark.conf.set(name, str(value))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, kept)
-
-
 def read_feed(
     spark: SparkSession, path: str, schema: StructType, files_per_round: int | None = None
 ) -> DataFrame:
@@ -104,7 +91,7 @@ def write_rounds(
         done += 1
 
     # A stream runs with the settings that it was started with.
-    with _setting(feed.sparkSession, BATCH_BYTES, MOST_BYTES):
+    with setting(feed.sparkSession, BATCH_BYTES, MOST_BYTES):
         query = (
             feed.writeStream.foreachBatch(step)
             .option("checkpointLocation", checkpoint)
@@ -161,7 +148,7 @@ class Quarantine:
         checked = check_required(records, self.required)
         rows = checked.withColumn(REJECTED, F.col("error").isNotNull())
         spark = records.sparkSession
-        with _setting(spark, WRITERS, max(2, int(spark.conf.get(WRITERS)))):
+        with setting(spark, WRITERS, max(2, int(spark.conf.get(WRITERS)))):
             rows.write.mode("overwrite").options(**SMALL_GROUPS).partitionBy(REJECTED).parquet(
                 round_folder(self.path, round_no), compression="zstd"
             )

@@ -206,3 +206,22 @@ def test_errors_beside_a_job(spark, tmp_path):
 def test_check_order_in_a_plan(spark):
     rows = frame(spark, [(i, f"t{i}") for i in range(20)], "seq bigint, text string")
     assert limits.cap(ordering.check_order(rows), 5).count() == 5
+
+
+def test_search_in_posts_that_stay_as_they_lie(spark, tmp_path, capsys):
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("description", T.StringType())])
+    index = SearchIndex(str(tmp_path / "index"), schema, per_block=10, as_they_lie=True)
+    # A task has the posts of one remainder.
+    posts = spark.range(5, numPartitions=5).select(
+        F.explode(F.transform(F.sequence(F.lit(0), F.lit(39)), lambda k: k * 5 + F.col("id"))).alias("seq")
+    )
+    posts = posts.select("seq", F.concat(F.lit("word"), F.col("seq").cast("string"), F.when(F.col("seq") != 9, F.lit(" end"))).alias("description"))
+    index.add(posts.where("seq < 100"), 0)
+    for _ in range(2):
+        index.add(posts.where("seq >= 100"), 1)
+    stored = index._posts(spark).groupBy("round", "block").agg(F.count("*").alias("n"), F.countDistinct(F.col("seq") % 5).alias("tasks")).collect()
+    assert len(stored) == 20 and all(r.n == 10 and r.tasks == 1 for r in stored)
+    assert sorted(r.seq for r in index.search(spark, "end").collect()) == [i for i in range(200) if i != 9]
+    assert [r.seq for r in index.search(spark, "word157").collect()] == [157]
+    assert index.blocks(spark, "word157").count() == 1
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
