@@ -287,3 +287,46 @@ def test_packed_texts_come_back(spark):
     values = [None, "", "a\u00e9\U0001f600\n" * 5_000, " x "]
     assert evaluate(spark, values, lambda v: fn.unpacked(fn.packed(v))) == values
     assert max(evaluate(spark, values[1:], lambda v: F.length(fn.packed(v)))) < 5_000
+
+
+class _Plain(tree._Builder):
+    """The library's parser for all of the markup."""
+
+    def read_regular(self, html):
+        return 0
+
+
+PIECES = [
+    "text", " ", "a < b", "&amp;", "&lt;p&gt;", "&amp;lt;", "&nbsp;&#39;&quot;", "&copy", "&#x41;", "&", "é ", "<p>", "</p>", "<P >", "</ p>",
+    "<br>", "<br/>", '<a href="x">', "<a href='x'>", "<a href=x>", '<a  HREF="1&amp;2"  href="y" data-x_1="">', '<a b=="c">', '<a b="c"d="e">', '<a b="<">',
+    "</a>", "</a b>", "<li>", "</li>", "<ul>", "</ul>", "<td>", "<tr>", "<table>", "</table>", "<div\tid='q'>", '<div id="q\n">', "</div>", "<b", "</b", "<",
+    "<!doctype html>", "<!DOCTYPE>", "<!-- <p> -->", "<!--", "<?pi?>", "<![CDATA[x]]>", "<script>", "if (a<b) '</p>'", "</script>", "<style>", "</style>",
+    "<title>", "</title>", "<textarea>", "</textarea>", '<span class="visually-hidden">', "</span>", "hashtag", "<x-y>", "<o:p>", "</x-y>", "\0", "<p\0>", ">",
+]
+
+
+def shape(node):
+    if isinstance(node, tree.Element):
+        return node.tag, node.attrs, [shape(c) for c in node.children]
+    return node if isinstance(node, str) else ("comment", node.markup)
+
+
+def test_regular_markup_is_read_like_any_other(monkeypatch):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choices(PIECES, k=rnd.randrange(1, 25))) for _ in range(20_000)]
+    read = []
+    builder = tree._Builder
+    for text in [*texts, *PIECES, ""]:
+        monkeypatch.setattr(tree, "_Builder", builder)
+        read.append(outcome(text))
+        monkeypatch.setattr(tree, "_Builder", _Plain)
+        assert read[-1] == outcome(text), text
+    card = '<div class="a b"><a href="/in/1"><span dir="ltr">x &amp; y</span></a><br></div>'
+    assert builder().read_regular(f"<!DOCTYPE html>{card}") == len(f"<!DOCTYPE html>{card}")
+
+
+def outcome(text):
+    try:
+        return shape(tree.parse(text))
+    except AssertionError as problem:
+        return type(problem)
