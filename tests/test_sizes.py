@@ -101,9 +101,9 @@ def test_long_texts_are_written_in_small_row_groups(spark, tmp_path):
 
 
 def test_pages_that_pack_well_are_held_in_small_numbers_too(spark, tmp_path, monkeypatch):
-    kept = folders(monkeypatch, tmp_path)
     tables(spark, str(tmp_path), range(25_000), [(0, "word " * 100, "en", "web")], [(0, "https://a.b/0", "")])
     for query in (catalog.stream_extract, catalog.all_posts_followed):
+        kept = folders(monkeypatch, tmp_path / query.__name__)
         query(spark, str(tmp_path))
         found = [pq.ParquetFile(f).metadata for f in glob.glob(f"{kept}/captured/*.parquet")]
         rows = [m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)]
